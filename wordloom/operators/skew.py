@@ -21,9 +21,10 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, hits: str, spread: str
     total = right.agg(F.sum(hits)).scalar()
     is_hot = F.col(hits) * HOT_SHARE > total
     hot = F.broadcast(right.where(is_hot).select(key, F.lit(True).alias("_hot")))
+    zero = F.lit(0).cast("bigint")
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(zero)
     ).drop("_hot")
-    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.withColumn("_salt", F.explode(salts).cast("bigint"))
+    salts = F.when(is_hot, F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
+    salted_right = right.withColumn("_salt", F.explode(salts))
     return salted_left.join(salted_right, [key, "_salt"]).drop("_salt")
