@@ -45,7 +45,7 @@ def trim_all(text: Column) -> Column:
 
 
 def collapse_spaces(text: Column) -> Column:
-    return trim_all(F.regexp_replace(text, rf"[{WIDE_SPACE}]+", " "))
+    return F.trim(F.regexp_replace(text, rf"[{WIDE_SPACE}]+", " "))
 
 
 def normalize_phrase(text: Column) -> Column:

@@ -6,8 +6,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SENTENCE_BREAK = r"(?<=[.!?]) +"
-LETTERS_ONLY = "[^a-zA-Z-]+"
-LETTERS_ONLY_UNICODE = r"[^\p{L}-]+"
+WORD = "[a-zA-Z-]+"
+WORD_UNICODE = r"[\p{L}-]+"
+# A negated class of several ranges makes the JVM's regex threads wait for each other;
+# a look-ahead for the hyphen in front of a plain negated class does not.
+NOT_WORD = "(?:(?!-)[^a-zA-Z])+"
+NOT_WORD_UNICODE = r"(?:(?!-)\P{L})+"
 
 
 def strip_caption(text: Column, strict: bool = False) -> Column:
@@ -31,7 +35,7 @@ def sentences(text: Column) -> Column:
 
 def clean_sentence(text: Column, keep_unicode: bool = False) -> Column:
     """Letters and hyphens only, single spaces, trimmed."""
-    pattern = LETTERS_ONLY_UNICODE if keep_unicode else LETTERS_ONLY
+    pattern = NOT_WORD_UNICODE if keep_unicode else NOT_WORD
     return F.trim(F.regexp_replace(text, pattern, " "))
 
 
@@ -41,7 +45,8 @@ def raw_tokens(text: Column, keep_unicode: bool = False) -> Column:
     Sentence breaks fall on spaces, which split tokens anyway, so the multiset of
     tokens is the same as that of the cleaned sentences.
     """
-    return F.split(text, LETTERS_ONLY_UNICODE if keep_unicode else LETTERS_ONLY)
+    pattern = WORD_UNICODE if keep_unicode else WORD
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
 def token(raw: Column) -> Column:

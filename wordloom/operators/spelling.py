@@ -17,53 +17,71 @@ BLANK = "\u0001"
 MAX_EDITS = 2
 
 
-def _without(word: Column, at: Column) -> Column:
-    return F.concat(F.left(word, at - 1), F.substr(word, at + 1))
-
+def _skeleton(dels: int, blanks: int, *parts: Column) -> Column:
+    return F.struct(
+        F.concat(*parts).alias("skeleton"), F.lit(dels).alias("dels"), F.lit(blanks).alias("blanks")
+    )
 
-def _blanked(word: Column, at: Column) -> Column:
-    return F.concat(F.left(word, at - 1), F.lit(BLANK), F.substr(word, at + 1))
 
+def skeletons(words: DataFrame, edits: int, *keep: str) -> DataFrame:
+    """``word, skeleton, dels, blanks`` for all ways to take up to ``edits`` steps.
 
-def _places(word: Column) -> Column:
-    return F.when(F.length(word) > 0, F.sequence(F.lit(1), F.length(word))).otherwise(
-        F.array().cast("array<int>")
+    One row per choice of places, and per choice of deleting or blanking each of them.
+    """
+    word, i, j = F.col("word"), F.col("i"), F.col("j")
+    mark = F.lit(BLANK)
+    size = F.length(word)
+    placed = words.select("word", *keep, F.explode(F.sequence(F.lit(0), size)).alias("i"))
+    second = F.array(F.lit(0))
+    if edits == 2:
+        later = F.when((i > 0) & (i < size), F.sequence(i + 1, size)).otherwise(
+            F.array().cast("array<int>")
+        )
+        second = F.concat(second, later)
+    placed = placed.withColumn("j", F.explode(second))
+    head = F.left(word, i - 1)
+    tail = F.substr(word, i + 1)
+    middle = F.substr(word, i + 1, j - i - 1)
+    end = F.substr(word, j + 1)
+    shapes = (
+        F.when(i == 0, F.array(_skeleton(0, 0, word)))
+        .when(j == 0, F.array(_skeleton(1, 0, head, tail), _skeleton(0, 1, head, mark, tail)))
+        .otherwise(
+            F.array(
+                _skeleton(2, 0, head, middle, end),
+                _skeleton(1, 1, head, mark, middle, end),
+                _skeleton(1, 1, head, middle, mark, end),
+                _skeleton(0, 2, head, mark, middle, mark, end),
+            )
+        )
     )
+    return placed.select("word", *keep, F.explode(shapes).alias("s")).select("word", *keep, "s.*")
 
 
-def _step(state: Column) -> Column:
-    """All skeletons one step further: a letter deleted, or a letter blanked."""
-    text = state["skeleton"]
-    letters = F.filter(
-        _places(text), lambda i: F.substr(text, i, F.lit(1)) != BLANK
-    )
-    dropped = F.transform(
-        letters,
-        lambda i: F.struct(
-            _without(text, i).alias("skeleton"), (state["dels"] + 1).alias("dels"),
-            state["blanks"].alias("blanks"),
-        ),
-    )
-    blanked = F.transform(
-        letters,
-        lambda i: F.struct(
-            _blanked(text, i).alias("skeleton"), state["dels"].alias("dels"),
-            (state["blanks"] + 1).alias("blanks"),
-        ),
-    )
-    return F.concat(dropped, blanked)
+def _nearest(asked: DataFrame, dictionary: DataFrame, edits: int) -> DataFrame:
+    """Best dictionary word per asked word that has one within ``edits``.
 
+    Skeletons outgrow their words many times over, so the join is always sorted and
+    merged: size estimates made from the words must not turn it into a broadcast.
+    """
+    term = F.struct((-F.col("count")).alias("rank"), F.col("word").alias("term"))
+    dels = range(edits + 1)
+    best = skeletons(dictionary, edits, "count").groupBy("skeleton", "blanks").agg(
+        *[F.min(F.when(F.col("dels") == n, term)).alias(f"best{n}") for n in dels]
+    )
 
-def skeletons(word: Column) -> Column:
-    """Distinct ``skeleton, dels, blanks`` of a word within ``MAX_EDITS`` steps."""
-    reached = F.array(
-        F.struct(word.alias("skeleton"), F.lit(0).alias("dels"), F.lit(0).alias("blanks"))
+    def reached(n: int) -> Column:
+        distance = F.col("dels") + F.col("blanks") + n
+        hit = F.col(f"best{n}").isNotNull() & (distance <= edits)
+        return F.when(hit, F.struct(distance.alias("distance"), F.col(f"best{n}").alias("best")))
+
+    return (
+        skeletons(asked, edits).hint("merge").join(best, ["skeleton", "blanks"])
+        .select("word", F.least(*[reached(n) for n in dels]).alias("m"))
+        .where(F.col("m").isNotNull())
+        .groupBy("word").agg(F.min("m").alias("m"))
+        .select("word", F.col("m.best.term").alias("corrected"), "m.distance")
     )
-    out = reached
-    for _ in range(MAX_EDITS):
-        reached = F.array_distinct(F.flatten(F.transform(reached, _step)))
-        out = F.concat(out, reached)
-    return F.array_distinct(out)
 
 
 def correct_words(words: DataFrame, dictionary: DataFrame, max_length: int = 32) -> DataFrame:
@@ -74,27 +92,16 @@ def correct_words(words: DataFrame, dictionary: DataFrame, max_length: int = 32)
     it is with a null distance. Dictionary words longer than ``max_length`` are left out
     by definition, so longer inputs, beyond two letters more, cannot match and are passed
     on without listing skeletons.
+
+    Words with a neighbour one edit away are settled first; only the others list the
+    many skeletons of two edits.
     """
     asked = words.select("word").distinct()
-    listed = asked.where(F.length("word") <= max_length + MAX_EDITS).select(
-        "word", F.explode(skeletons(F.col("word"))).alias("s")
-    ).select("word", "s.skeleton", F.col("s.dels").alias("dels"), "s.blanks")
-    best = (
-        dictionary.where(F.length("word") <= max_length)
-        .select("word", "count", F.explode(skeletons(F.col("word"))).alias("s"))
-        .groupBy("s.skeleton", "s.dels", "s.blanks")
-        .agg(F.min(F.struct((-F.col("count")).alias("rank"), F.col("word").alias("term"))).alias("best"))
-        .select("skeleton", F.col("dels").alias("their_dels"), "blanks", "best")
-    )
-    distance = F.col("dels") + F.col("blanks") + F.col("their_dels")
-    nearest = (
-        listed.join(best, ["skeleton", "blanks"])
-        .where(distance <= MAX_EDITS)
-        .groupBy("word")
-        .agg(F.min(F.struct(distance.alias("d"), "best")).alias("m"))
-    )
-    return asked.join(nearest, "word", "left").select(
-        "word",
-        F.coalesce("m.best.term", F.col("word")).alias("corrected"),
-        F.col("m.d").alias("distance"),
+    known = dictionary.where(F.length("word") <= max_length)
+    short = asked.where(F.length("word") <= max_length + MAX_EDITS)
+    near = _nearest(short, known, 1)
+    rest = short.join(near.select("word"), "word", "left_anti")
+    found = near.unionByName(_nearest(rest, known, MAX_EDITS))
+    return asked.join(found, "word", "left").select(
+        "word", F.coalesce("corrected", F.col("word")).alias("corrected"), "distance"
     )

@@ -63,5 +63,5 @@ def content_words(text: Column, stopwords: Sequence[str]) -> Column:
     Tokens are letters only, so a word held together by an apostrophe or hyphen is closed
     up. The stop list is a literal set: each token costs one hash lookup.
     """
-    letters = F.lower(F.regexp_replace(text, r"[^a-zA-Z\s]", ""))
+    letters = F.lower(F.regexp_replace(text, r"(?:(?!\s)[^a-zA-Z])+", ""))
     return F.filter(F.split(letters, r"\s+"), lambda w: (w != "") & ~w.isin(list(stopwords)))

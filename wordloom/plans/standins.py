@@ -17,6 +17,7 @@ from wordloom.operators import lexicon as lx
 from wordloom.operators import textprep as tp
 from wordloom.operators.pages import ArticleLayout, extract_articles
 from wordloom.operators.tagging import describe_tags
+from wordloom.sources.files import spread_small_input
 
 SUFFIXES = ("ing", "ed", "ly", "tion", "er", "en", "s")
 TAG_DESCRIPTIONS = (
@@ -25,6 +26,7 @@ TAG_DESCRIPTIONS = (
     ("NOUN", "Noun, name of a thing"),
     ("PROPN", "Proper noun, name of one thing"),
 )
+TEXT_TABLES = ("documents", "conversations", "pages")
 EMOTIONS = ("anger", "fear", "happy", "love", "sadness", "surprise")
 PAGE_LAYOUT = ArticleLayout(
     title=("title", None), meta=("nav", None), brief=("h1", None),
@@ -33,7 +35,8 @@ PAGE_LAYOUT = ArticleLayout(
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small_input(df) if name in TEXT_TABLES else df
 
 
 def counts(spark: SparkSession, sf: str, source: str = "documents") -> DataFrame:

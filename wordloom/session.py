@@ -11,7 +11,7 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "wordloom") -> SparkSession:
+                  app_name: str = "wordloom", memory: str | None = None) -> SparkSession:
     """A session with the settings the operators rely on.
 
     AQE coalesces small shuffle partitions, turns joins into broadcast joins once the
@@ -26,6 +26,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master)
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()

@@ -26,6 +26,17 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Give texts read from a few files to all cores.
+
+    Text work is heavy per byte, so an input of fewer splits than cores would leave most
+    of them idle. An input with enough splits, the usual case, is left as it is and not
+    shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_batch(df: DataFrame, table: str, batch_id: int | str) -> None:
     """Replace one batch of a table; writing the same batch again changes nothing."""
     df.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
