@@ -121,7 +121,7 @@ def extract_dictionary(pages: DataFrame) -> DataFrame:
     senses = F.flatten(F.transform(_tab_texts(F.col("html")), numbered_senses))
     return pages.select(
         "word",
-        F.transform(senses, expand_abbreviations).alias("meanings"),
+        F.transform(senses, lambda sense: expand_abbreviations(sense)).alias("meanings"),
         hx.links_after_heading(F.col("html"), SYNONYM_HEADING).alias("synonym"),
         hx.links_after_heading(F.col("html"), ANTONYM_HEADING).alias("antonym"),
     ).where(F.size("meanings") > 0)

@@ -36,12 +36,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (local tests) a temporary folder is set.
+    Only where the session names none (local tests) a temporary folder is set.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="wordloom-")
-        spark.conf.set(CHECKPOINT_KEY, folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -111,7 +111,9 @@ def read_labelled_csvs(spark: SparkSession, folder: str, label: str | None = Non
 
 
 def write_labelled_sentences(df: DataFrame, path: str) -> None:
-    df.select("cleaned_text", "label").write.mode("errorifexists").option("header", True).csv(path)
+    df.select("cleaned_text", "label").write.mode("errorifexists").option("header", True).option(
+        "escape", '"'
+    ).csv(path)
 
 
 def read_labelled_sentences(spark: SparkSession, path: str) -> DataFrame:
