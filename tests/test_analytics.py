@@ -146,7 +146,7 @@ def plain_bayes(vectors, labels, tests):
 def test_bayes_on_binary_terms(spark, folder):
     train = spark.createDataFrame(TRAIN, "id INT, label STRING, text STRING")
     docs = spark.createDataFrame(TEST, "id INT, text STRING")
-    model = nb.train(train, binary_terms(train, "id", "text", "label"), "id", "label", ["c", "b", "a"])
+    model = nb.train(train, binary_terms(train, "id", "text", "label"), "label", ["c", "b", "a"])
     model.save(folder)
     loaded = nb.BayesModel.load(spark, folder, ["a", "b", "c"])
 

@@ -58,8 +58,17 @@ def token(raw: Column) -> Column:
     return F.lower(bare)
 
 
+def has_letters(raw: Column, keep_unicode: bool = False) -> Column:
+    """Whether cleaning leaves anything; found at the first letter or hyphen."""
+    return F.rlike(raw, F.lit(r"[\p{L}-]" if keep_unicode else "[a-zA-Z-]"))
+
+
+def is_word(raw: Column) -> Column:
+    """Whether ``token`` will be longer than one letter, told from the raw token's ends."""
+    edges = F.startswith(raw, F.lit("-")).cast("int") + F.endswith(raw, F.lit("-")).cast("int")
+    return F.length(raw) - edges > 1
+
+
 def token_array(text: Column, keep_unicode: bool = False) -> Column:
     """Tokens of a text as an array, in order."""
-    return F.filter(
-        F.transform(raw_tokens(text, keep_unicode), token), lambda w: F.length(w) > 1
-    )
+    return F.transform(F.filter(raw_tokens(text, keep_unicode), is_word), token)

@@ -34,8 +34,11 @@ class BayesModel:
         )
 
 
-def train(docs: DataFrame, terms: DataFrame, key: str, label: str, labels: Sequence) -> BayesModel:
-    """``docs``: one row per training document; ``terms``: ``key, label, term, x``."""
+def train(docs: DataFrame, terms: DataFrame, label: str, labels: Sequence) -> BayesModel:
+    """``docs``: one row per training document with its label; ``terms``: ``label, term, x``.
+
+    Several steps read the model, so save it and go on from ``load``.
+    """
     labels = tuple(sorted(labels))
     per_class = [
         F.sum(F.when(F.col(label) == name, F.col("x")).otherwise(0.0)).alias(f"w{i}")

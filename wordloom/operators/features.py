@@ -38,21 +38,21 @@ class TfIdf:
     features: DataFrame
     size: int
 
-    def weights(self, docs: DataFrame, key: str, text: str) -> DataFrame:
+    def weights(self, docs: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
         """Weight of each known term per document, of length 1 per document.
 
         Texts are placed by document once; counting and normalising then need no
         further shuffle.
         """
-        placed = docs.select(key, text).repartition(key)
-        terms = placed.select(key, F.explode(word_pairs(F.col(text))).alias("term"))
+        placed = docs.select(key, *keep, text).repartition(key)
+        terms = placed.select(key, *keep, F.explode(word_pairs(F.col(text))).alias("term"))
         features = F.broadcast(self.features) if self.size <= BROADCAST_FEATURES else self.features
-        counted = terms.join(features, "term").groupBy(key, "term", "idf").agg(
+        counted = terms.join(features, "term").groupBy(key, *keep, "term", "idf").agg(
             F.count(F.lit(1)).alias("tf")
         )
-        raw = counted.select(key, "term", (F.col("tf") * F.col("idf")).alias("w"))
+        raw = counted.select(key, *keep, "term", (F.col("tf") * F.col("idf")).alias("w"))
         norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-        return raw.select(key, "term", (F.col("w") / norm).alias("x"))
+        return raw.select(key, *keep, "term", (F.col("w") / norm).alias("x"))
 
 
 def fit_tfidf(docs: DataFrame, text: str, max_features: int = 5000) -> TfIdf:

@@ -16,7 +16,8 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, hits: str, spread: str
     to it. A key with more than one in ``HOT_SHARE`` of all hits is hot; there are fewer
     than ``HOT_SHARE`` of them whatever the data size, so their list is broadcast. Hot
     keys are spread over ``SALTS`` sub-keys by ``spread`` and their right rows copied to
-    each; every other key joins as usual. No row is lost or doubled.
+    each; every other key joins as usual. No row is lost or doubled. The right side is read
+    three times, so it should be a stored table.
     """
     total = right.agg(F.sum(hits)).scalar()
     is_hot = F.col(hits) * HOT_SHARE > total

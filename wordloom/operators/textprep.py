@@ -24,8 +24,8 @@ def sentence_rows(df: DataFrame, text: str, keys: Sequence[str], keep_unicode: b
     """Cleaned, non-empty sentences with their position in the text."""
     return (
         df.select(*keys, F.posexplode(tx.sentences(F.col(text))).alias("sent_pos", "raw"))
+        .where(tx.has_letters(F.col("raw"), keep_unicode))
         .select(*keys, "sent_pos", tx.clean_sentence(F.col("raw"), keep_unicode).alias("sentence"))
-        .where(F.col("sentence") != "")
     )
 
 
@@ -33,17 +33,20 @@ def sentence_tokens(sentences: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Words of cleaned sentences with their position in the sentence."""
     return (
         sentences.select(*keys, F.posexplode(F.split("sentence", " ")).alias("word_pos", "raw"))
+        .where(tx.is_word(F.col("raw")))
         .select(*keys, "word_pos", tx.token(F.col("raw")).alias("word"))
-        .where(F.length("word") > 1)
     )
 
 
 def text_tokens(df: DataFrame, text: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Words of whole texts without positions: one pass over each text."""
+    """Words of whole texts without positions: one pass over each text.
+
+    Tokens are filtered before they are rewritten, so no expression runs twice.
+    """
     return (
         df.select(*keys, F.explode(tx.raw_tokens(F.col(text))).alias("raw"))
+        .where(tx.is_word(F.col("raw")))
         .select(*keys, tx.token(F.col("raw")).alias("word"))
-        .where(F.length("word") > 1)
     )
 
 

@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from wordloom.functions.phrases import TEST_EMOTIONS, normalize_emotion, sentiment_code
 from wordloom.operators import bayes as nb
 from wordloom.operators import evaluate as ev
-from wordloom.operators.features import binary_terms, fit_tfidf
+from wordloom.operators.features import TfIdf, binary_terms, fit_tfidf
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
+from wordloom.session import staged, work_folder
 
 SENTIMENTS = ("negative", "neutral", "positive")
 LANGUAGES = ("de", "en", "es", "fr")
@@ -24,9 +25,15 @@ RAW_EMOTIONS = ("sad", "Angry", "happy", "FEAR", "love", "surprise", "neutral",
 
 def _sentiment_model(spark: SparkSession, sf: str) -> nb.BayesModel:
     docs = si.labelled_documents(spark, sf)
-    return nb.train(
-        docs, binary_terms(docs, "doc_id", "text", "label"), "doc_id", "label", SENTIMENTS
-    )
+    terms = binary_terms(docs, "doc_id", "text", "label")
+    return _stored(nb.train(docs, terms, "label", SENTIMENTS))
+
+
+def _stored(model: nb.BayesModel) -> nb.BayesModel:
+    """Save the model and go on from its files: training runs once."""
+    path = work_folder(model.terms.sparkSession, "model")
+    model.save(path)
+    return nb.BayesModel.load(model.terms.sparkSession, path, model.labels)
 
 
 def nb_train(spark: SparkSession, sf: str) -> DataFrame:
@@ -51,8 +58,9 @@ def nb_tfidf_predict(spark: SparkSession, sf: str) -> DataFrame:
     train = si.labelled_documents(spark, sf).select("doc_id", "text", "lang")
     docs = si.table(spark, sf, "documents")
     model = fit_tfidf(train, "text", MAX_FEATURES)
-    known = model.weights(train, "doc_id", "text").join(train.select("doc_id", "lang"), "doc_id")
-    bayes = nb.train(train, known, "doc_id", "lang", LANGUAGES)
+    model = TfIdf(staged(model.features, "features"), model.size)
+    known = model.weights(train, "doc_id", "text", "lang")
+    bayes = _stored(nb.train(train, known, "lang", LANGUAGES))
     return nb.predict(bayes, docs, model.weights(docs, "doc_id", "text"), "doc_id")
 
 

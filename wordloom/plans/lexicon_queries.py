@@ -14,6 +14,7 @@ from wordloom.operators.numbering import page_rows
 from wordloom.operators.tagging import describe_tags, tag_words
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
+from wordloom.session import staged
 
 REVIEWED = "the"
 POS_SUMMARY = "SELECT POS, count(*) AS words, sum(word_count) AS uses FROM {lexicon} GROUP BY POS"
@@ -59,19 +60,22 @@ def _antonyms(spark: SparkSession, sf: str) -> DataFrame:
 
 def all_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Article words, then their base forms, synonyms and antonyms where not there yet."""
+    dictionary = staged(si.dictionary(spark, sf), "dictionary")
+    tags = staged(si.tags(spark, sf), "tags")
+    enriched = staged(lx.enrich(si.counts(spark, sf), dictionary, tags), "enriched")
     others = F.concat(F.array("base"), "synonym", "antonym")
-    derived = si.enriched(spark, sf).select(F.explode(F.array_distinct(others)).alias("word"))
-    nodes = lx.dictionary_nodes(derived, si.dictionary(spark, sf), si.tags(spark, sf))
-    return lx.insert_if_absent(si.lexicon(spark, sf), lx.as_nodes(nodes), "word")
+    derived = enriched.select(F.explode(F.array_distinct(others)).alias("word"))
+    nodes = lx.dictionary_nodes(derived, dictionary, tags)
+    return lx.insert_if_absent(lx.as_nodes(enriched), lx.as_nodes(nodes), "word")
 
 
 def lexicon_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(all_nodes(spark, sf))
 
 
-def _requests(spark: SparkSession, sf: str) -> DataFrame:
+def _requests(enriched: DataFrame) -> DataFrame:
     """Synonym edges as asked for, ends unchecked."""
-    return si.enriched(spark, sf).select(
+    return enriched.select(
         F.lit("SYNONYM_OF").alias("rel"), F.lit(eg.WORD).alias("src_type"), F.col("word").alias("src"),
         F.lit(eg.WORD).alias("dst_type"), F.explode("synonym").alias("dst"),
     )
@@ -82,13 +86,15 @@ def _node_keys(nodes: DataFrame) -> DataFrame:
 
 
 def edges_valid(spark: SparkSession, sf: str) -> DataFrame:
-    asked = _requests(spark, sf)
-    return eg.valid_edges(asked.unionByName(asked), _node_keys(si.lexicon(spark, sf)))
+    enriched = staged(si.enriched(spark, sf), "enriched")
+    asked = _requests(enriched)
+    return eg.valid_edges(asked.unionByName(asked), _node_keys(enriched))
 
 
 def edges_multiset(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = lx.append_nodes(si.lexicon(spark, sf), lx.plain_word_nodes(si.dictionary(spark, sf)))
-    return eg.multiset_edges(_requests(spark, sf), _node_keys(nodes))
+    enriched = staged(si.enriched(spark, sf), "enriched")
+    nodes = lx.append_nodes(lx.as_nodes(enriched), lx.plain_word_nodes(si.dictionary(spark, sf)))
+    return eg.multiset_edges(_requests(enriched), _node_keys(nodes))
 
 
 def proverbs(spark: SparkSession, sf: str) -> DataFrame:
@@ -117,7 +123,8 @@ def edges_mentioned(spark: SparkSession, sf: str) -> DataFrame:
     docs = si.table(spark, sf, "documents").select(
         F.concat(F.lit("doc/"), F.col("doc_id")).alias("url"), "text"
     )
-    return eg.mention_edges(tp.distinct_words(docs, "text", "url"), si.lexicon(spark, sf), "url")
+    lexicon = staged(si.lexicon(spark, sf).select("word", "word_count"), "lexicon")
+    return eg.mention_edges(tp.distinct_words(docs, "text", "url"), lexicon, "url")
 
 
 def update_where(spark: SparkSession, sf: str) -> DataFrame:

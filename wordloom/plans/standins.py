@@ -49,8 +49,8 @@ def used_in_sentences(df: DataFrame, *order: str) -> DataFrame:
     at = F.struct(*order, "sent_pos")
     used = sentences.select(*order, "sent_pos", "sentence", F.explode(F.split("sentence", " ")).alias("raw"))
     return (
-        used.select(at.alias("at"), "sentence", tx.token(F.col("raw")).alias("word"))
-        .where(F.length("word") > 1)
+        used.where(tx.is_word(F.col("raw")))
+        .select(at.alias("at"), "sentence", tx.token(F.col("raw")).alias("word"))
         .groupBy("word")
         .agg(F.min_by("sentence", "at").alias("first"), F.max_by("sentence", "at").alias("last"))
     )
@@ -132,14 +132,14 @@ def lemma_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def proverb_rows(spark: SparkSession, sf: str) -> DataFrame:
     """First sentence of each document as a phrase, the second as its meaning."""
-    parts = tx.sentences(F.col("text"))
+    row = F.struct(
+        normalize_phrase(F.col("parts")[0]).alias("peribahasa"),
+        F.coalesce(F.get("parts", F.lit(1)), F.lit("")).alias("meaning"),
+    )
     return (
         table(spark, sf, "documents")
-        .select(F.col("doc_id").alias("ord"), parts.alias("parts"))
-        .select(
-            "ord", normalize_phrase(F.col("parts")[0]).alias("peribahasa"),
-            F.coalesce(F.get("parts", F.lit(1)), F.lit("")).alias("meaning"),
-        )
+        .select(F.col("doc_id").alias("ord"), tx.sentences(F.col("text")).alias("parts"))
+        .select("ord", F.inline(F.array(row)))
         .where(F.col("peribahasa") != "")
     )
 

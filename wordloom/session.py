@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -49,3 +49,14 @@ def shared_folder(spark: SparkSession) -> str:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared one; runs never see each other's files."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table that several later steps read, and read it back.
+
+    The work behind it is done once, and what follows starts from files, also after an
+    executor is lost.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

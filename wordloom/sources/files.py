@@ -34,7 +34,17 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if _splits(tuple(sorted(df.inputFiles())), df) < cores else df
+
+
+_SPLITS: dict[tuple[str, ...], int] = {}
+
+
+def _splits(files: tuple[str, ...], df: DataFrame) -> int:
+    """Number of input splits, planned once per set of files."""
+    if files not in _SPLITS:
+        _SPLITS[files] = df.rdd.getNumPartitions()
+    return _SPLITS[files]
 
 
 def write_batch(df: DataFrame, table: str, batch_id: int | str) -> None:
