@@ -85,6 +85,9 @@ def test_numbering(spark, rows):
     got = number_rows(df, "k").orderBy("k").collect()
     assert [r.no for r in got] == list(range(1, rows + 1))
     assert number_rows(df.limit(0), "k").count() == 0
+    crowded = df.select(F.when(F.col("k") < 100, F.col("k")).otherwise(F.col("k") + 2**52).alias("k"))
+    got = number_rows(crowded, "k", first=0).orderBy("k").collect()
+    assert [r.no for r in got] == list(range(rows))
 
 
 def test_page_rows(spark):

@@ -6,31 +6,44 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
+CELLS = 64
 
 
 def number_rows(df: DataFrame, order: str, name: str = "no", first: int = 1) -> DataFrame:
     """Number the rows by a unique numeric column.
 
-    The column's quantiles (a list of fixed length) cut the table into even ranges; rows
-    are numbered inside their range, and the rows of earlier ranges are added.
+    The column's quantiles (a list of fixed length) cut the table into even ranges, and
+    each range is cut into cells of equal width: some 4,000 ordered cells. Rows are
+    numbered inside their cell, and the rows of earlier cells, whose sizes are a table of
+    fixed length too, are added.
     """
-    cuts = df.agg(F.percentile_approx(order, [i / RANGES for i in range(1, RANGES)])).first()[0]
-    if not cuts:
+    shares = [i / RANGES for i in range(1, RANGES)]
+    low, high, cuts = df.agg(
+        F.min(order), F.max(order), F.percentile_approx(order, shares)
+    ).first()
+    if low is None:
         return df.withColumn(name, F.lit(None).cast("bigint"))
-    cuts = sorted(set(cuts))
+    cuts = sorted(set(cuts) - {high})
     key = F.col(order)
-    part = sum((key > c).cast("int") for c in cuts)
+    start = F.array(*[F.lit(v) for v in [low, *cuts]])
+    end = F.array(*[F.lit(v) for v in [*cuts, high]])
+    part = sum(((key > c).cast("int") for c in cuts), F.lit(0))
     ranged = df.withColumn("_range", part)
-    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    from_value, to_value = F.get(start, F.col("_range")), F.get(end, F.col("_range"))
+    inside = (key - from_value).cast("double") / (to_value - from_value + 1)
+    placed = ranged.withColumn("_cell", F.col("_range") * CELLS + F.floor(inside * CELLS).cast("int")).drop(
+        "_range"
+    )
+    sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        "_cell", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    rank = F.row_number().over(Window.partitionBy("_range").orderBy(order))
+    rank = F.row_number().over(Window.partitionBy("_cell").orderBy(order))
     return (
-        ranged.join(F.broadcast(offsets), "_range")
+        placed.join(F.broadcast(offsets), "_cell")
         .withColumn(name, (F.col("_before") + rank + F.lit(first - 1)).cast("bigint"))
-        .drop("_range", "_before")
+        .drop("_cell", "_before")
     )
 
 

@@ -60,8 +60,8 @@ def _antonyms(spark: SparkSession, sf: str) -> DataFrame:
 
 def all_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """Article words, then their base forms, synonyms and antonyms where not there yet."""
-    dictionary = staged(si.dictionary(spark, sf), "dictionary")
-    tags = staged(si.tags(spark, sf), "tags")
+    dictionary = si.dictionary(spark, sf)
+    tags = staged(si.tags(spark, sf, dictionary), "tags")
     enriched = staged(lx.enrich(si.counts(spark, sf), dictionary, tags), "enriched")
     others = F.concat(F.array("base"), "synonym", "antonym")
     derived = enriched.select(F.explode(F.array_distinct(others)).alias("word"))

@@ -17,7 +17,8 @@ from wordloom.operators import lexicon as lx
 from wordloom.operators import textprep as tp
 from wordloom.operators.pages import ArticleLayout, extract_articles
 from wordloom.operators.tagging import describe_tags
-from wordloom.sources.files import spread_small_input
+from wordloom.session import staged
+from wordloom.sources.files import read_texts
 
 SUFFIXES = ("ing", "ed", "ly", "tion", "er", "en", "s")
 TAG_DESCRIPTIONS = (
@@ -35,8 +36,8 @@ PAGE_LAYOUT = ArticleLayout(
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf}/{name}.parquet")
-    return spread_small_input(df) if name in TEXT_TABLES else df
+    path = f"{sf}/{name}.parquet"
+    return read_texts(spark, path) if name in TEXT_TABLES else spark.read.parquet(path)
 
 
 def counts(spark: SparkSession, sf: str, source: str = "documents") -> DataFrame:
@@ -44,26 +45,34 @@ def counts(spark: SparkSession, sf: str, source: str = "documents") -> DataFrame
 
 
 def used_in_sentences(df: DataFrame, *order: str) -> DataFrame:
-    """Words with the first and the last sentence that uses them."""
+    """Words with the first and the last sentence that uses them.
+
+    Only places go through the aggregate; the two sentences of a word are fetched after
+    it, so no sentence is carried along with each of its words.
+    """
+    keys = [*order, "sent_pos"]
+    at = F.struct(*keys)
     sentences = tp.sentence_rows(df, "text", order)
-    at = F.struct(*order, "sent_pos")
-    used = sentences.select(*order, "sent_pos", "sentence", F.explode(F.split("sentence", " ")).alias("raw"))
-    return (
-        used.where(tx.is_word(F.col("raw")))
-        .select(at.alias("at"), "sentence", tx.token(F.col("raw")).alias("word"))
-        .groupBy("word")
-        .agg(F.min_by("sentence", "at").alias("first"), F.max_by("sentence", "at").alias("last"))
+    ends = (
+        tp.sentence_tokens(sentences, keys).groupBy("word")
+        .agg(F.array_distinct(F.array(F.min(at), F.max(at))).alias("ends"))
+        .select("word", F.inline("ends"))
+    )
+    return ends.join(sentences, keys).groupBy("word").agg(
+        F.min_by("sentence", at).alias("first"), F.max_by("sentence", at).alias("last")
     )
 
 
 def dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored, as a dictionary would be: joins then know its true size before they start."""
     used = used_in_sentences(table(spark, sf, "benchmark"), "item_id")
-    return used.select(
+    entries = used.select(
         "word",
         F.array_distinct(F.array("first", "last")).alias("meanings"),
         F.array(*[F.concat("word", F.lit(s)) for s in SUFFIXES]).alias("synonym"),
         F.array(F.reverse("word")).alias("antonym"),
     )
+    return staged(entries, "dictionary")
 
 
 def external_definitions(spark: SparkSession, sf: str) -> DataFrame:
@@ -110,16 +119,17 @@ def tag_descriptions(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TAG_DESCRIPTIONS), "tag STRING, description STRING")
 
 
-def tags(spark: SparkSession, sf: str) -> DataFrame:
+def tags(spark: SparkSession, sf: str, entries: DataFrame) -> DataFrame:
     """Base form, POS and sentiment of the dictionary's words."""
-    words = dictionary(spark, sf).select("word")
+    words = entries.select("word")
     bases = lx.stem_by_suffix(words, words, SUFFIXES)
     pos = describe_tags(tag_codes(words), tag_descriptions(spark)).select("word", "POS")
     return bases.join(pos, "word").join(word_labels(spark, sf), "word", "left")
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return lx.enrich(counts(spark, sf), dictionary(spark, sf), tags(spark, sf))
+    entries = dictionary(spark, sf)
+    return lx.enrich(counts(spark, sf), entries, tags(spark, sf, entries))
 
 
 def lexicon(spark: SparkSession, sf: str) -> DataFrame:

@@ -26,25 +26,21 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Give texts read from a few files to all cores.
+_SPLITS: dict[str, int] = {}
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table of texts, given to all cores even where it has few splits.
 
     Text work is heavy per byte, so an input of fewer splits than cores would leave most
     of them idle. An input with enough splits, the usual case, is left as it is and not
-    shuffled.
+    shuffled. Splits are planned once per path.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if _splits(tuple(sorted(df.inputFiles())), df) < cores else df
-
-
-_SPLITS: dict[tuple[str, ...], int] = {}
-
-
-def _splits(files: tuple[str, ...], df: DataFrame) -> int:
-    """Number of input splits, planned once per set of files."""
-    if files not in _SPLITS:
-        _SPLITS[files] = df.rdd.getNumPartitions()
-    return _SPLITS[files]
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return df.repartition(cores) if _SPLITS[path] < cores else df
 
 
 def write_batch(df: DataFrame, table: str, batch_id: int | str) -> None:
