@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import byte_bpe, host_trust, packing, quality_rules
+from wordloom.llm import byte_bpe, host_trust, packing, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -25,6 +25,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, labels).drop("evidence")
+
+
 def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_trust.judge_pages(read_table(spark, sf_dir, "pages"))
 
@@ -33,6 +38,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_host_trust": op10_host_trust,
 }
 ORACLES: dict[str, str] = {}
