@@ -5,10 +5,15 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import byte_bpe, host_trust, packing, quality_rules, toxicity
+from wordloom.llm import byte_bpe, host_trust, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
+def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality_qda.score_quality(docs, labels)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(read_table(spark, sf_dir, "documents"), path)
@@ -35,6 +40,7 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_qda": op1_quality_qda,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
