@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import byte_bpe, host_trust, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import byte_bpe, dartminhash, host_trust, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -30,6 +30,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path)
 
 
+def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.score_toxicity(docs, labels).drop("evidence")
@@ -44,6 +48,7 @@ QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_dart_minhash": op6_dart_minhash,
     "op8_toxicity": op8_toxicity,
     "op10_host_trust": op10_host_trust,
 }
