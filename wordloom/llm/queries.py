@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import byte_bpe, dartminhash, host_trust, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import byte_bpe, dartminhash, host_trust, line_dedup, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -39,6 +39,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, labels).drop("evidence")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.find_similar_lines(read_table(spark, sf_dir, "documents"))
+
+
 def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_trust.judge_pages(read_table(spark, sf_dir, "pages"))
 
@@ -50,6 +54,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_dart_minhash": op6_dart_minhash,
     "op8_toxicity": op8_toxicity,
+    "op9_line_dedup": op9_line_dedup,
     "op10_host_trust": op10_host_trust,
 }
 ORACLES: dict[str, str] = {}
