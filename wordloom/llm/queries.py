@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wordloom.llm import byte_bpe, dartminhash, host_trust, line_dedup, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import byte_bpe, dartminhash, host_trust, html_cut, line_dedup, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -25,6 +25,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op4_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract_pages(read_table(spark, sf_dir, "pages"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), path)
@@ -51,6 +55,7 @@ QUERIES = {
     "op1_quality_qda": op1_quality_qda,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_html_cut": op4_html_cut,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_dart_minhash": op6_dart_minhash,
     "op8_toxicity": op8_toxicity,
