@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wordloom.llm import byte_bpe, dartminhash, host_trust, html_cut, line_dedup, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import byte_bpe, dartminhash, hamming_index, host_trust, html_cut, line_dedup, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -38,6 +39,10 @@ def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_hamming_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming_index.search_nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.score_toxicity(docs, labels).drop("evidence")
@@ -58,6 +63,7 @@ QUERIES = {
     "op4_html_cut": op4_html_cut,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_dart_minhash": op6_dart_minhash,
+    "op7_hamming_index": op7_hamming_index,
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_host_trust": op10_host_trust,
