@@ -127,8 +127,9 @@ def with_votes(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
 def vote_patterns(voted: DataFrame) -> DataFrame:
     """How many of the texts that pass the base rules have each pattern of votes, stored."""
-    voted = voted.where(~F.col("base_failed"))
-    return staged(voted.groupBy("votes").agg(F.count(F.lit(1)).alias("texts")).coalesce(1), "patterns")
+    passed = F.count(F.when(~F.col("base_failed"), 1))
+    counted = voted.groupBy("votes").agg(passed.alias("texts")).coalesce(1)
+    return staged(counted, "patterns").where("texts > 0")
 
 
 def _decide(voted: DataFrame, model: VoteModel) -> DataFrame:
@@ -150,5 +151,9 @@ def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
 def keep_good(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged; the texts are read twice and never shuffled."""
     model = fit_votes(vote_patterns(with_votes(docs, key, text)))
-    kept = _decide(with_votes(docs, key, text, carry=True), model).where("kept")
+    judged = _decide(with_votes(docs, key, text, carry=True), model)
+    # A filter is not pushed below a projection with a random column, where it would repeat all
+    # of the expressions above many times over.
+    marked = judged.select("row", "kept", F.rand(0).alias("any"))
+    kept = marked.where(F.col("kept") & (F.col("any") >= 0))
     return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
