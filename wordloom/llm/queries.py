@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import byte_bpe, dartminhash, hamming_index, host_trust, html_cut, line_dedup, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import byte_bpe, dartminhash, hamming_index, host_trust, html_cut, line_dedup, oracles, packing, quality_qda, quality_rules, toxicity
 from wordloom.llm.tables import read_table
 
 
@@ -68,4 +68,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_host_trust": op10_host_trust,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_quality_rules": oracles.quality_rules(),
+    "op10_host_trust": oracles.host_trust(),
+}
