@@ -9,9 +9,10 @@ probability of their weighted Jaccard similarity. Only about ``k log k`` darts o
 thrown for a document, however long it is.
 
 Documents that agree in all coordinates of a band are candidates. Within such a bucket all
-members are compared with one hub, the member that meets most others; members unlike
-their hub are compared with the whole bucket. Pairs whose signatures leave a similarity of
-``SIMILAR`` possible are then checked exactly on all their shingles.
+members are compared with one hub, the member that meets most others; members that are not
+in the hub's class then are compared with all members of other classes, so that no link
+between two classes is missed and a large group does not turn into all its pairs. Pairs whose
+signatures leave the outcome open are checked exactly on all their shingles.
 """
 
 from __future__ import annotations
@@ -32,9 +33,11 @@ from wordloom.session import staged
 #: Bands and their coordinates: pairs of similarity 0.8 share a band with a chance of 0.9995.
 BANDS, ROWS = 32, 7
 SIMILAR = 0.8
-#: Coordinates in which a pair has to agree to be checked: 4.5 deviations below a similarity of 0.8.
+#: Agreement of the coordinates from which a pair is checked exactly, and from which it is sure:
+#: 4.5 deviations below and above SIMILAR.
 COORDINATES = BANDS * ROWS
-LIKELY = SIMILAR - 4.5 * math.sqrt(SIMILAR * (1 - SIMILAR) / COORDINATES)
+_MARGIN = 4.5 * math.sqrt(SIMILAR * (1 - SIMILAR) / COORDINATES)
+LIKELY, SURE = SIMILAR - _MARGIN, SIMILAR + _MARGIN
 #: The first interval of ranks and the longest one.
 FINEST, WIDEST = 2.0**-5, 32.0
 
@@ -138,19 +141,19 @@ def sign_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 
 def _elements(docs: DataFrame) -> DataFrame:
-    """doc_id and its shingles, the n-th of equal ones told from the others."""
+    """doc_id and 32-bit hashes of its shingles, the n-th of equal ones told from the others."""
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 hashes, rows, repeat = numbered(*shingles(part["text"]))
-                values = mix(hashes ^ mix(repeat.astype(np.uint64))).view(np.int64)
+                values = (mix(hashes ^ mix(repeat.astype(np.uint64))) >> np.uint64(32)).astype(np.uint32).view(np.int32)
                 offsets = np.searchsorted(rows, np.arange(part.num_rows + 1)).astype(np.int32)
                 listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], listed], ["doc_id", "elements"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(collect, f"doc_id {kind}, elements array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(collect, f"doc_id {kind}, elements array<int>")
 
 
 def _both_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
@@ -159,30 +162,32 @@ def _both_ends(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     return pairs
 
 
-def _likely(pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, marks_a, marks_b) whose signatures leave the similarity possible."""
+def _agreement(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, marks_a, marks_b) that may be similar, with the agreement of their signatures."""
 
     def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends = [np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8) for c in ("marks_a", "marks_b")]
             equal = (ends[0] == ends[1]).reshape(batch.num_rows, COORDINATES).mean(axis=1)
-            yield batch.select(["a", "b"]).filter(pa.array(equal >= LIKELY))
+            out = pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(equal)], ["a", "b", "agreement"])
+            yield out.filter(pa.array(equal >= LIKELY))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.select("a", "b", "marks_a", "marks_b").mapInArrow(agree, f"a {kind}, b {kind}")
+    return pairs.select("a", "b", "marks_a", "marks_b").mapInArrow(agree, f"a {kind}, b {kind}, agreement double")
 
 
 def _similar(pairs: DataFrame, marks: DataFrame, elements: DataFrame) -> DataFrame:
     """The pairs whose weighted Jaccard similarity is SIMILAR or more, stored."""
-    likely = staged(_likely(_both_ends(pairs, marks, "marks")), "likely")
-    met = _both_ends(likely, elements, "elements")
+    likely = staged(_agreement(_both_ends(pairs, marks, "marks")), "likely")
+    open_ = _both_ends(likely.where(F.col("agreement") < SURE).select("a", "b"), elements, "elements")
     common = F.size(F.array_intersect("elements_a", "elements_b"))
     either = F.size("elements_a") + F.size("elements_b") - common
-    return staged(met.where(common >= SIMILAR * either).select("a", "b").distinct(), "similar")
+    checked = open_.where(common >= SIMILAR * either).select("a", "b")
+    return staged(likely.where(F.col("agreement") >= SURE).select("a", "b").unionByName(checked).distinct(), "similar")
 
 
-def _pair(x, y, *more) -> list:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), *more]
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
 def similar_pairs(texts: DataFrame, docs: DataFrame) -> DataFrame:
@@ -190,24 +195,29 @@ def similar_pairs(texts: DataFrame, docs: DataFrame) -> DataFrame:
 
     ``texts`` has a row for each different text: doc_id, bands and marks; ``docs`` has doc_id and text.
     """
-    listed = texts.select("doc_id", F.posexplode("bands").alias("band", "hash"))
-    met = listed.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    members = staged(listed.join(met, ["band", "hash"]), "members")
+    listed = texts.select("doc_id", F.explode("bands").alias("bucket"))
+    met = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    members = staged(listed.join(met, "bucket"), "members")
     degree = members.groupBy("doc_id").agg(F.sum("members").alias("degree"))
-    hubs = members.join(degree, "doc_id").groupBy("band", "hash").agg(
-        F.max_by("doc_id", F.struct("degree", "doc_id")).alias("hub"))
-    spokes = staged(members.join(hubs, ["band", "hash"]).where("doc_id != hub"), "spokes")
-    wanted = members.select("doc_id").distinct()
+    hubs = staged(members.join(degree, "doc_id").groupBy("bucket").agg(
+        F.max_by("doc_id", F.struct("degree", "doc_id")).alias("hub")), "hubs")
+    members = members.select("bucket", "doc_id")
+    # The texts are many times their keys, which a merge join takes at any size.
+    wanted = members.select("doc_id").distinct().hint("merge")
     elements = staged(_elements(docs.join(wanted, "doc_id", "left_semi")).dropDuplicates(["doc_id"]), "elements")
     marks = texts.select("doc_id", "marks")
-    tried = staged(spokes.select(*_pair("doc_id", "hub")).distinct(), "tried")
+    tried = staged(members.join(hubs, "bucket").where("doc_id != hub").select(*_pair("doc_id", "hub")).distinct(), "tried")
     similar = _similar(tried, marks, elements)
-    # Members unlike their hub meet the whole bucket.
-    keyed = spokes.select("band", "hash", F.col("doc_id").alias("x"), *_pair("doc_id", "hub"))
-    unlike = keyed.join(similar, ["a", "b"], "left_anti").select("band", "hash", "x")
-    swept = unlike.join(members.select("band", "hash", "doc_id"), ["band", "hash"]).where("x != doc_id")
-    swept = swept.select(*_pair("x", "doc_id")).distinct().join(tried, ["a", "b"], "left_anti")
-    return similar.unionByName(_similar(staged(swept, "swept"), marks, elements))
+    # Members outside their hub's class meet the members of other classes.
+    labels = connected(similar).select(F.col("node").alias("doc_id"), "label")
+    named = members.join(labels, "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("class"))
+    named = staged(named, "named")
+    mine = hubs.join(named.withColumnRenamed("doc_id", "hub"), ["bucket", "hub"]).select("bucket", F.col("class").alias("hub_class"))
+    apart = named.join(mine, "bucket").where("class != hub_class").select(
+        "bucket", F.col("doc_id").alias("x"), F.col("class").alias("x_class"))
+    swept = apart.join(named, "bucket").where("class != x_class").select(*_pair("x", "doc_id")).distinct()
+    swept = staged(swept.join(tried, ["a", "b"], "left_anti"), "swept")
+    return similar.unionByName(_similar(swept, marks, elements))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
