@@ -168,6 +168,7 @@ def test_lexicon_and_analyses(spark):
     messages = {}
     for row in analyses.analysis_messages(tables).collect():
         messages.setdefault(row.topic, []).append(row.value)
+    assert messages.pop("intrinsic_uncovered")
     assert len(messages) == 9
     assert messages["lexicon_analysis"] == ['{"totalWords":4,"totalPeri":2}']
     assert messages["lemma_length_analysis"] == [

@@ -10,7 +10,7 @@ from wordloom.functions.senses import numbered_senses
 from wordloom.functions.times import parse_publish_time
 from wordloom.operators import pages as pg
 from wordloom.operators.records import newer_prefix
-from wordloom.operators.spelling import correct_words
+from wordloom.operators.spelling import correct_texts, correct_words
 
 
 def one(spark, column, value):
@@ -160,7 +160,17 @@ def test_spelling_against_brute_force(spark):
     rng = random.Random(5)
     words = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) for _ in range(400)}
     words |= {"", "x" * 40, "x" * 33, "x" * 31, "ab" * 16, "kapal", "kapla", "kpl"}
+    for n in range(20, 62, 3):  # across the border between the two ways, up to three edits off
+        long = "".join(rng.choice("abcdefgh") for _ in range(n))
+        words.add(long)
+        for _ in range(6):
+            other = list(long)
+            for _ in range(rng.randint(1, 3)):
+                at = rng.randrange(len(other))
+                other[at : at + rng.randint(0, 1)] = rng.choice([[], ["q"], ["q", "r"]])
+            words.add("".join(other))
     dictionary = {w: rng.randint(1, 5) for w in sorted(words) if w and rng.random() < 0.12}
+    dictionary |= {w: rng.randint(1, 5) for w in sorted(words) if len(w) >= 20 and rng.random() < 0.3}
     dictionary |= {"kapal": 9, "x" * 32: 1, "y" * 40: 3}
     got = {
         r.word: (r.corrected, r.distance)
@@ -170,8 +180,15 @@ def test_spelling_against_brute_force(spark):
         ).collect()
     }
     assert set(got) == words
-    usable = {t: n for t, n in dictionary.items() if len(t) <= 32}
     for word in words:
-        best = min(((edits(word, t), -n, t) for t, n in usable.items()))
+        near = [t for t in dictionary if abs(len(t) - len(word)) <= 2]
+        best = min(((edits(word, t), -dictionary[t], t) for t in near), default=(3,))
         want = (best[2], best[0]) if best[0] <= 2 else (word, None)
         assert got[word] == want, word
+
+
+def test_texts_are_corrected_word_by_word(spark):
+    texts = [(1, "Kapal kapla  besar"), (2, None), (3, " "), (4, "zzzzzz kpal")]
+    dictionary = spark.createDataFrame([("kapal", 9), ("besar", 5)], "word STRING, count BIGINT")
+    got = {r.id: r.text for r in correct_texts(spark.createDataFrame(texts, "id INT, text STRING"), "id", "text", dictionary).collect()}
+    assert got == {1: "Kapal kapal besar", 2: None, 3: "", 4: "zzzzzz kapal"}

@@ -151,11 +151,60 @@ def test_stream_counts_equal_batch_counts(spark, folder):
     assert run(f"{folder}/cp-lost") == batch
 
 
+def test_stream_counts_survive_a_lost_checkpoint_and_other_batches(spark, folder):
+    rows = [(f"u{n % 9}", f"satu dua. {'tiga ' * (n % 9)}") for n in range(12)]
+    df = spark.createDataFrame(rows, "url STRING, text STRING")
+    df.repartition(4).write.parquet(f"{folder}/in")
+
+    def run(checkpoint, files):
+        stream = spark.readStream.schema("url STRING, text STRING").option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
+        jobs.count_words(stream, "text", f"{folder}/ledger", checkpoint, key="url").awaitTermination()
+        return {(r.word, r["count"]) for r in jobs.read_counts(spark, f"{folder}/ledger").collect()}
+
+    once = df.dropDuplicates(["url"])
+    batch = {(r.word, r["count"]) for r in tp.word_count(tp.text_tokens(once, "text")).collect()}
+    assert run(f"{folder}/cp", 1) == batch
+    assert run(f"{folder}/cp-lost", 10) == batch
+    assert run(f"{folder}/cp-lost-again", 2) == batch
+    jobs.fold_counts(spark, f"{folder}/ledger")
+    assert {(r.word, r["count"]) for r in jobs.read_counts(spark, f"{folder}/ledger").collect()} == batch
+    df.limit(3).write.mode("append").parquet(f"{folder}/in")
+    assert run(f"{folder}/cp-lost-again", 1) == batch
+    jobs.fold_counts(spark, f"{folder}/ledger")
+    assert run(f"{folder}/cp-lost-again", 1) == batch
+
+
+def test_a_running_stream_is_stopped(spark, folder):
+    spark.createDataFrame([("satu dua",)], "text STRING").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("text STRING").parquet(f"{folder}/in")
+    query = jobs.count_words(stream, "text", f"{folder}/ledger", f"{folder}/cp", every="1 second")
+    query.processAllAvailable()
+    query.stop()
+    assert jobs.read_counts(spark, f"{folder}/ledger").count() == 2
+
+
+def test_the_mark_can_be_set_again(spark, folder):
+    mark = RunMark(spark, f"{folder}/mark")
+    mark.advance(datetime(2024, 1, 1), 5)
+    mark.advance(datetime(2024, 2, 1), 7)
+    mark.advance(datetime(2024, 2, 1), 7)
+    assert (mark.current().run, mark.current().proverbs_done) == (1, 12)
+
+
+def test_quoted_line_breaks(spark, folder):
+
+    os.makedirs(f"{folder}/csv")
+    with open(f"{folder}/csv/x.csv", "w") as out:
+        out.write('word,note\na,"one\ntwo"\nb,three\n')
+    got = {(r.word, r.note, r.node_label) for r in fs.read_labelled_csvs(spark, f"{folder}/csv").collect()}
+    assert got == {("a", "one\ntwo", "x"), ("b", "three", "x")}
+
+
 def test_search_and_proverbs(spark):
     lexicon = spark.createDataFrame([("kapal", ["d"], 3, "N", "p")],
                                     "word STRING, definitions ARRAY<STRING>, word_count BIGINT, POS STRING, Label STRING")
     proverbs = spark.createDataFrame([("ada gula", "m1"), ("nasi", "m2")], "peribahasa STRING, meaning STRING")
-    terms = spark.createDataFrame([(" KAPAL ",), ("kapal",), ("Ada Gula",), ("zz",)], "term STRING")
+    terms = spark.createDataFrame([("\tKAPAL \n",), ("kapal",), ("Ada Gula",), ("zz",)], "term STRING")
     got = {(r.term, r.type, r.word_count, r.meaning) for r in lk.search(terms, lexicon, proverbs).collect()}
     assert got == {("kapal", "WORD", 3, None), ("ada gula", "PERIBAHASA", None, "m1")}
     asked = spark.createDataFrame([("ada gula",), ("nasi",), ("zz",), ("9x",)], "peribahasa STRING")
@@ -198,4 +247,6 @@ def test_pages_of_ten(spark):
                                 F.repeat(F.lit("x"), (F.col("id") * 10).cast("int")).alias("query"))
     rows = lk.list_pages(df, "id").orderBy("no").collect()
     assert [r.page for r in rows] == [1] * 10 + [2] * 10 + [3] * 5
+    empty = df.withColumn("id", F.when(F.col("id") < 8, F.col("id")))
+    assert sorted(r.no for r in lk.list_pages(empty, "id").collect()) == list(range(1, 26))
     assert len(rows[10].query) == 100 and rows[11].query == "x" * 100 + "..."

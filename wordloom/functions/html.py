@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import WIDE_SPACE, collapse_spaces, trim_all
 
-# Named entities; the ampersand is decoded last.
-ENTITIES = {
-    "&nbsp;": " ",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&copy;": "©",
-    "&middot;": "·",
-    "&amp;": "&",
-}
+# The named character references of the HTML standard, from the table of Python's library.
+NAMED = {name.removesuffix(";"): sign for name, sign in sorted(html5.items()) if name.endswith(";")}
+REFERENCE = r"&(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]{1,31});"
+PAIR = r"(?i)&#(?:x(d[89ab][0-9a-f]{2})|(5[5-6][0-9]{3}));&#(?:x(d[c-f][0-9a-f]{2})|(5[6-7][0-9]{3}));"
 SCRIPT_OR_STYLE = r"(?is)<(script|style)[^>]*>.*?</(script|style)>"
 TAG = r"<[^>]+>"
 
@@ -29,21 +24,46 @@ def opening(tag: str, css_class: str | None = None) -> str:
     return rf"(?is)<{tag}\s[^>]*class=\"{css_class}\"[^>]*>"
 
 
+def _code(reference: Column) -> Column:
+    """Number of a reference ``#...`` or ``#x...``."""
+    hexadecimal = F.conv(F.substring(reference, 3, 8), 16, 10)
+    decimal = F.substring(reference, 2, 8)
+    return F.when(F.lower(F.substring(reference, 2, 1)) == "x", hexadecimal).otherwise(decimal).cast("int")
+
+
+def _character(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _decoded(reference: Column) -> Column:
+    """What a reference stands for; null for an unknown name or a number that is no character."""
+    named = F.element_at(F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair]), reference)
+    code = _code(reference)
+    valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    return F.when(reference.startswith("#"), F.when(valid, _character(code))).otherwise(named)
+
+
 def decode_entities(text: Column) -> Column:
-    """Numeric entities, then the named ones."""
-    code_points = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6});"), F.lit(1)))
-    out = F.aggregate(
-        code_points,
-        text,
-        lambda acc, n: F.replace(
-            acc,
-            F.concat(F.lit("&#"), n, F.lit(";")),
-            F.decode(F.unhex(F.lpad(F.hex(n.cast("int")), 8, "0")), "UTF-32"),
-        ),
-    )
-    for name, sign in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(sign))
-    return out
+    """Character references decoded once, from left to right; unknown ones stay as they are.
+
+    Two references that are the halves of a surrogate pair are one character. The text is taken
+    apart at its references, so that what a reference gives is not read as another one.
+    """
+    pairs = F.array_distinct(F.regexp_extract_all(text, F.lit(PAIR), F.lit(0)))
+
+    def joined(acc: Column, pair: Column) -> Column:
+        halves = F.transform(F.regexp_extract_all(pair, F.lit(REFERENCE), F.lit(1)), _code)
+        high, low = F.get(halves, F.lit(0)) - 0xD800, F.get(halves, F.lit(1)) - 0xDC00
+        code = 0x10000 + high * 1024 + low
+        right = high.between(0, 1023) & low.between(0, 1023)
+        return F.when(right, F.replace(acc, pair, F.concat(F.lit("&#"), code.cast("string"), F.lit(";")))).otherwise(acc)
+
+    whole = F.aggregate(pairs, text, joined)
+    between = F.split(whole, REFERENCE)
+    found = F.regexp_extract_all(whole, F.lit(REFERENCE), F.lit(1))
+    signs = F.transform(found, lambda r: F.coalesce(_decoded(r), F.concat(F.lit("&"), r, F.lit(";"))))
+    mixed = F.zip_with(between, signs, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(mixed, "")).otherwise(text)
 
 
 def text_of(fragment: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.functions.phrases import normalize_phrase
+from wordloom.functions.phrases import normalize_phrase, trim_all
 
 DENSITY_POINTS = 200
 
@@ -49,6 +49,8 @@ def length_histogram(words: DataFrame, column: str = "word") -> DataFrame:
 def length_density(words: DataFrame, column: str = "word", points: int = DENSITY_POINTS) -> DataFrame:
     """Gaussian density over an even grid from min to max, bandwidth by Scott's rule.
 
+    One word, or words of one length, have no bandwidth and give no curve.
+
     The lengths are few and weighted by their counts; each is spread over the fixed grid
     and the grid points are summed up.
     """
@@ -56,14 +58,14 @@ def length_density(words: DataFrame, column: str = "word", points: int = DENSITY
     total = F.sum("n")
     mean = F.sum(F.col("length") * F.col("n")) / total
     squares = F.sum(F.col("length") * F.col("length") * F.col("n"))
-    deviation = F.sqrt((squares - total * mean * mean) / (total - 1))
+    deviation = F.sqrt(F.greatest(F.try_divide(squares - total * mean * mean, total - 1), F.lit(0.0)))
     shape = counts.agg(
         F.struct(
             F.min("length").alias("low"), F.max("length").alias("high"), total.alias("n"),
             (deviation * F.pow(total.cast("double"), F.lit(-0.2))).alias("h"),
         )
     ).scalar()
-    spread = counts.select(
+    spread = counts.where(shape["h"] > 0).select(
         "length", "n", shape.alias("s"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
     )
     x = F.col("s.low") + (F.col("s.high") - F.col("s.low")) * F.col("point") / F.lit(points - 1)
@@ -179,7 +181,7 @@ def definition_overlap(own: DataFrame, external: DataFrame) -> DataFrame:
 
 
 def is_covered(definitions: Column) -> Column:
-    return F.coalesce(F.exists(definitions, lambda d: F.trim(d) != ""), F.lit(False))
+    return F.coalesce(F.exists(definitions, lambda d: trim_all(d) != ""), F.lit(False))
 
 
 def coverage(lexicon: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.operators.skew import hot_join
+from wordloom.session import staged
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class BayesModel:
     classes: DataFrame
 
     def save(self, path: str) -> None:
+        """Write both tables; ``train`` stored the terms, so that this does not train again."""
         self.terms.write.mode("overwrite").parquet(f"{path}/terms")
         self.classes.write.mode("overwrite").parquet(f"{path}/classes")
 
@@ -37,16 +39,16 @@ class BayesModel:
 def train(docs: DataFrame, terms: DataFrame, label: str, labels: Sequence) -> BayesModel:
     """``docs``: one row per training document with its label; ``terms``: ``label, term, x``.
 
-    Several steps read the model, so save it and go on from ``load``.
+    The terms are stored as they are counted; the classes are derived from the stored table.
     """
     labels = tuple(sorted(labels))
     per_class = [
         F.sum(F.when(F.col(label) == name, F.col("x")).otherwise(0.0)).alias(f"w{i}")
         for i, name in enumerate(labels)
     ]
-    known = terms.where(F.col(label).isin(*labels)).groupBy("term").agg(
+    known = staged(terms.where(F.col(label).isin(*labels)).groupBy("term").agg(
         F.count(F.lit(1)).alias("hits"), *per_class
-    )
+    ), "terms")
     number = F.array_position(F.array(*[F.lit(n) for n in labels]), F.col(label)) - 1
     counted = docs.where(F.col(label).isin(*labels)).groupBy(number.cast("int").alias("label_no")).agg(
         F.count(F.lit(1)).alias("docs")

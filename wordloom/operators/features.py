@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import WIDE_SPACE
@@ -31,45 +31,58 @@ def word_pairs(text: Column) -> Column:
     return F.concat(words, pairs)
 
 
+def counted_terms(text: Column) -> Column:
+    """``term, tf`` for each different term of a text, counted inside the row.
+
+    Equal terms are neighbours once the terms are sorted, so a term's count is the distance
+    to the next other one.
+    """
+    terms = F.sort_array(word_pairs(text))
+    new = F.transform(terms, lambda t, i: F.when(F.coalesce(F.get(terms, i - 1) != t, F.lit(True)), i))
+    starts = F.filter(new, lambda i: i.isNotNull())
+    return F.transform(starts, lambda at, k: F.struct(
+        F.get(terms, at).alias("term"),
+        (F.coalesce(F.get(starts, k + 1), F.size(terms)) - at).alias("tf"),
+    ))
+
+
+def _listed(docs: DataFrame, text: str, *keep: str) -> DataFrame:
+    return docs.select(*keep, F.explode(counted_terms(F.col(text))).alias("t")).select(*keep, "t.term", "t.tf")
+
+
 @dataclass(frozen=True)
 class TfIdf:
-    """``features``: ``term, idf``; at most ``size`` rows."""
+    """``features``: ``term, idf``; at most ``size`` rows, which BROADCAST_FEATURES bounds."""
 
     features: DataFrame
     size: int
 
+    def __post_init__(self) -> None:
+        if self.size > BROADCAST_FEATURES:
+            raise ValueError(f"at most {BROADCAST_FEATURES} features")
+
     def weights(self, docs: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
-        """Weight of each known term per document, of length 1 per document.
+        """Weight of each known term per document (a row with its own key), of length 1 per document.
 
-        Texts are placed by document once; counting and normalising then need no
-        further shuffle.
+        Terms meet the features where they are counted; only their weights are gathered by key.
         """
-        placed = docs.select(key, *keep, text).repartition(key)
-        terms = placed.select(key, *keep, F.explode(word_pairs(F.col(text))).alias("term"))
-        features = F.broadcast(self.features) if self.size <= BROADCAST_FEATURES else self.features
-        counted = terms.join(features, "term").groupBy(key, *keep, "term", "idf").agg(
-            F.count(F.lit(1)).alias("tf")
-        )
-        raw = counted.select(key, *keep, "term", (F.col("tf") * F.col("idf")).alias("w"))
-        norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))
-        return raw.select(key, *keep, "term", (F.col("w") / norm).alias("x"))
+        known = _listed(docs, text, key, *keep).join(F.broadcast(self.features), "term")
+        weighed = known.select(key, *keep, F.struct("term", (F.col("tf") * F.col("idf")).alias("w")).alias("t"))
+        gathered = weighed.groupBy(key, *keep).agg(F.collect_list("t").alias("ts"))
+        squares = F.aggregate("ts", F.lit(0.0), lambda total, t: total + t["w"] * t["w"])
+        normed = gathered.select(key, *keep, "ts", F.sqrt(squares).alias("norm"))
+        return normed.select(key, *keep, "norm", F.explode("ts").alias("t")).select(
+            key, *keep, "t.term", (F.col("t.w") / F.col("norm")).alias("x"))
 
 
 def fit_tfidf(docs: DataFrame, text: str, max_features: int = 5000) -> TfIdf:
     """The most frequent terms of the corpus and their smoothed inverse document frequency.
 
-    Equal counts are cut in alphabetical order. Document frequency counts distinct terms
-    inside each row, for the chosen terms only.
+    One aggregate gives both how often a term occurs and how many documents hold it. Equal
+    counts are cut in alphabetical order.
     """
-    pairs = word_pairs(F.col(text))
-    chosen = (
-        docs.select(F.explode(pairs).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "term").limit(max_features).select("term")
-    )
-    held = docs.select(F.explode(F.array_distinct(pairs)).alias("term"))
-    wanted = F.broadcast(chosen) if max_features <= BROADCAST_FEATURES else chosen
-    frequency = held.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counted = _listed(docs, text).groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    chosen = counted.orderBy(F.desc("n"), "term").limit(max_features)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((1 + n) / (1 + F.col("df"))) + 1
-    return TfIdf(frequency.select("term", idf.alias("idf")), max_features)
+    return TfIdf(chosen.select("term", idf.alias("idf")), max_features)

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.functions.phrases import trim_all
 from wordloom.operators.lexicon import update_where
 from wordloom.operators.numbering import number_rows
 from wordloom.operators.records import first_per_key
 
+# The messages for a proverb that is not there, and for a first letter that is none.
 NOT_FOUND = "Proverb not found."
 BAD_LETTER = "Invalid first letter of the proverb."
 QUERY_KEYWORDS = ("SELECT", "WITH")
@@ -20,7 +22,7 @@ PAGE_SIZE = 10
 
 def search(terms: DataFrame, lexicon: DataFrame, proverbs: DataFrame) -> DataFrame:
     """Words and proverbs by lower-case, trimmed term; terms without a match are absent."""
-    asked = terms.select(F.trim(F.lower("term")).alias("term")).distinct()
+    asked = terms.select(trim_all(F.lower("term")).alias("term")).distinct()
     entries = lexicon.select(
         F.col("word").alias("term"), F.lit("WORD").alias("type"), "definitions", "POS", "Label",
         "word_count", F.lit(None).cast("string").alias("meaning"),

@@ -10,7 +10,7 @@ CELLS = 64
 
 
 def number_rows(df: DataFrame, order: str, name: str = "no", first: int = 1) -> DataFrame:
-    """Number the rows by a unique numeric column.
+    """Number the rows by a unique numeric column; rows where it is null come last, in any order.
 
     The column's quantiles (a list of fixed length) cut the table into even ranges, and
     each range is cut into cells of equal width: some 4,000 ordered cells. Rows are
@@ -21,17 +21,20 @@ def number_rows(df: DataFrame, order: str, name: str = "no", first: int = 1) ->
     low, high, cuts = df.agg(
         F.min(order), F.max(order), F.percentile_approx(order, shares)
     ).first()
-    if low is None:
-        return df.withColumn(name, F.lit(None).cast("bigint"))
+    if low is None:  # nothing to order by: any order will do
+        low, high, cuts = 0, 0, []
     cuts = sorted(set(cuts) - {high})
     key = F.col(order)
+    # Rows without a place in the order are spread over cells of their own behind all others.
+    behind = (len(cuts) + 1) * CELLS + F.pmod(F.xxhash64(F.struct("*")), F.lit(CELLS)).cast("int")
     start = F.array(*[F.lit(v) for v in [low, *cuts]])
     end = F.array(*[F.lit(v) for v in [*cuts, high]])
     part = sum(((key > c).cast("int") for c in cuts), F.lit(0))
     ranged = df.withColumn("_range", part)
     from_value, to_value = F.get(start, F.col("_range")), F.get(end, F.col("_range"))
     inside = (key - from_value).cast("double") / (to_value - from_value + 1)
-    placed = ranged.withColumn("_cell", F.col("_range") * CELLS + F.floor(inside * CELLS).cast("int")).drop(
+    cell = F.col("_range") * CELLS + F.floor(inside * CELLS).cast("int")
+    placed = ranged.withColumn("_cell", F.when(key.isNull(), behind).otherwise(cell)).drop(
         "_range"
     )
     sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
@@ -49,4 +52,5 @@ def number_rows(df: DataFrame, order: str, name: str = "no", first: int = 1) ->
 
 def page_rows(df: DataFrame, order: str, first: int, size: int) -> DataFrame:
     """Skip ``first`` rows of the ordered table, take ``size``."""
-    return df.orderBy(order).offset(first).limit(size)
+    numbered = number_rows(df, order, "_no", first=0)
+    return numbered.where(F.col("_no").between(first, first + size - 1)).orderBy("_no").drop("_no")

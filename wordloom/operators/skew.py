@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: A key with more than one in so many hits is hot.
 HOT_SHARE = 1000
-SALTS = 32
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, hits: str, spread: str) -> DataFrame:
@@ -15,17 +15,19 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, hits: str, spread: str
     ``hits`` on the right says how many left rows a key meets, or a number in proportion
     to it. A key with more than one in ``HOT_SHARE`` of all hits is hot; there are fewer
     than ``HOT_SHARE`` of them whatever the data size, so their list is broadcast. Hot
-    keys are spread over ``SALTS`` sub-keys by ``spread`` and their right rows copied to
-    each; every other key joins as usual. No row is lost or doubled. The right side is read
-    three times, so it should be a stored table.
+    keys are spread by ``spread`` over as many sub-keys as make each of them meet about one in
+    ``HOT_SHARE`` of the hits, and their right rows are copied to each; every other key joins as
+    usual. No row is lost or doubled. The right side is read three times, so it should be a
+    stored table.
     """
     total = right.agg(F.sum(hits)).scalar()
+    shares = F.ceil(F.try_divide(F.col(hits) * HOT_SHARE, total)).cast("bigint")
     is_hot = F.col(hits) * HOT_SHARE > total
-    hot = F.broadcast(right.where(is_hot).select(key, F.lit(True).alias("_hot")))
-    zero = F.lit(0).cast("bigint")
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    hot = F.broadcast(right.where(is_hot).select(key, shares.alias("_salts")))
     salted_left = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(zero)
-    ).drop("_hot")
-    salts = F.when(is_hot, F.sequence(zero, F.lit(SALTS - 1).cast("bigint"))).otherwise(F.array(zero))
+        "_salt", F.pmod(F.xxhash64(spread), F.coalesce("_salts", one))
+    ).drop("_salts")
+    salts = F.when(is_hot, F.sequence(zero, shares - 1)).otherwise(F.array(zero))
     salted_right = right.withColumn("_salt", F.explode(salts))
     return salted_left.join(salted_right, [key, "_salt"]).drop("_salt")

@@ -13,8 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.operators.skew import hot_join
+from wordloom.session import staged
+
 BLANK = "\u0001"
 MAX_EDITS = 2
+#: Letters of the longest dictionary word that is found by its skeletons.
+LONG = 24
 
 
 def _skeleton(dels: int, blanks: int, *parts: Column) -> Column:
@@ -80,28 +85,79 @@ def _nearest(asked: DataFrame, dictionary: DataFrame, edits: int) -> DataFrame:
         .select("word", F.least(*[reached(n) for n in dels]).alias("m"))
         .where(F.col("m").isNotNull())
         .groupBy("word").agg(F.min("m").alias("m"))
-        .select("word", F.col("m.best.term").alias("corrected"), "m.distance")
     )
 
 
-def correct_words(words: DataFrame, dictionary: DataFrame, max_length: int = 32) -> DataFrame:
+def _start(size: Column, part: Column) -> Column:
+    """Where one of three even parts of a word of that size begins, from 0."""
+    return F.floor(size * part / 3).cast("int")
+
+
+def _nearest_long(asked: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """As ``_nearest`` for dictionary words whose skeletons would be too many.
+
+    Two edits leave at least one of three parts of a dictionary word whole, at most two
+    places off. So a part is looked up at all those places, for all lengths that two edits
+    allow, and the words that meet are measured.
+    """
+    upto = lambda low, high: F.explode(F.sequence(F.lit(low), F.lit(high)))
+    start = _start(F.col("size"), F.col("part"))
+    length = _start(F.col("size"), F.col("part") + 1) - start
+    listed = dictionary.select(F.col("word").alias("term"), "count", F.length("word").alias("size"), upto(0, 2).alias("part"))
+    listed = listed.select("term", "count", "size", "part", F.substr("term", start + 1, length).alias("text"))
+    sized = asked.select("word", upto(-MAX_EDITS, MAX_EDITS).alias("longer"))
+    sized = sized.select("word", (F.length("word") + F.col("longer")).alias("size"), upto(0, 2).alias("part"))
+    places = sized.select("*", upto(-MAX_EDITS, MAX_EDITS).alias("moved")).where(start + F.col("moved") >= 0)
+    places = places.select("word", "size", "part", F.substr("word", start + F.col("moved") + 1, length).alias("text"))
+    met = places.join(listed, ["size", "part", "text"]).select("word", "term", "count").distinct()
+    distance = F.levenshtein("word", "term", MAX_EDITS)
+    best = F.struct((-F.col("count")).alias("rank"), F.col("term"))
+    return met.select("word", F.struct(distance.alias("distance"), best.alias("best")).alias("m")).where(
+        "m.distance >= 0").groupBy("word").agg(F.min("m").alias("m"))
+
+
+def correct_words(words: DataFrame, dictionary: DataFrame, long: int = LONG) -> DataFrame:
     """``word, corrected, distance`` for every distinct word.
 
     ``dictionary``: ``word, count``. The nearest dictionary word wins, then the more
     frequent, then the alphabetically first; a word with none within two edits stays as
-    it is with a null distance. Dictionary words longer than ``max_length`` are left out
-    by definition, so longer inputs, beyond two letters more, cannot match and are passed
-    on without listing skeletons.
+    it is with a null distance. Both tables should be stored, as they are read several times.
 
-    Words with a neighbour one edit away are settled first; only the others list the
-    many skeletons of two edits.
+    Dictionary words of more than ``long`` letters are found by their parts, the others by
+    skeletons, with the same results. Words with a short neighbour one edit away list only the
+    few skeletons of one edit.
     """
-    asked = words.select("word").distinct()
-    known = dictionary.where(F.length("word") <= max_length)
-    short = asked.where(F.length("word") <= max_length + MAX_EDITS)
-    near = _nearest(short, known, 1)
+    asked = staged(words.select("word").distinct(), "asked")
+    brief = dictionary.where(F.length("word") <= long)
+    short = asked.where(F.length("word") <= long + MAX_EDITS)
+    near = staged(_nearest(short, brief, 1), "near")
     rest = short.join(near.select("word"), "word", "left_anti")
-    found = near.unionByName(_nearest(rest, known, MAX_EDITS))
-    return asked.join(found, "word", "left").select(
-        "word", F.coalesce("corrected", F.col("word")).alias("corrected"), "distance"
+    far = asked.where(F.length("word") > long - MAX_EDITS)
+    found = near.unionByName(_nearest(rest, brief, MAX_EDITS)).unionByName(
+        _nearest_long(far, dictionary.where(F.length("word") > long)))
+    best = found.groupBy("word").agg(F.min("m").alias("m"))
+    return asked.join(best, "word", "left").select(
+        "word", F.coalesce("m.best.term", F.col("word")).alias("corrected"), F.col("m.distance").alias("distance")
     )
+
+
+def correct_texts(df: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
+    """``key`` and the text with each word that the dictionary lacks corrected.
+
+    Words are runs of non-blank characters, corrected once each in their lower case; words
+    within the dictionary and those without a neighbour stay as they are. White space becomes
+    one blank. Rows with a null text keep it.
+    """
+    parts = F.filter(F.split(F.col(text), r"\s+"), lambda w: w != "")
+    placed = staged(df.select(key, F.posexplode(parts).alias("at", "said")).withColumn("word", F.lower("said")), "placed")
+    counted = placed.groupBy("word").agg(F.count(F.lit(1)).alias("hits"))
+    unknown = staged(counted.join(dictionary.select("word"), "word", "left_anti"), "unknown")
+    found = correct_words(unknown, dictionary).where("distance IS NOT NULL")
+    fixes = staged(unknown.join(found, "word").select("word", "hits", "corrected"), "fixes")
+    fixed = hot_join(placed, fixes, "word", "hits", key).select(key, "at", "corrected")
+    words = placed.join(fixed, [key, "at"], "left").select(
+        key, F.struct("at", F.coalesce("corrected", "said").alias("word")).alias("w"))
+    joined = words.groupBy(key).agg(F.sort_array(F.collect_list("w")).alias("ws"))
+    joined = joined.select(key, F.array_join(F.col("ws.word"), " ").alias("_fixed"))
+    return df.select(key, text).join(joined, key, "left").select(
+        key, F.when(F.col(text).isNull(), F.col(text)).otherwise(F.coalesce("_fixed", F.lit(""))).alias(text))

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import short_description
+from wordloom.operators.skew import hot_join
+from wordloom.session import staged
 
 Tagger = Callable[[pd.DataFrame], pd.DataFrame]
 
@@ -43,9 +45,12 @@ def vote_per_sentence(tokens: DataFrame, table: DataFrame, keys: Sequence[str],
                       sentences: DataFrame, default: str = "neutral") -> DataFrame:
     """Label of each sentence by the votes of its words; no vote gives ``default``.
 
-    Ties go to the alphabetically first label.
+    Ties go to the alphabetically first label. Words that many tokens are are spread over
+    several tasks when they meet their label.
     """
-    votes = tokens.join(table.select("word", "label"), "word").groupBy(*keys, "label").agg(
+    counted = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("hits"))
+    voters = staged(counted.join(table.select("word", "label"), "word"), "voters")
+    votes = hot_join(tokens, voters, "word", "hits", keys[0]).groupBy(*keys, "label").agg(
         F.count(F.lit(1)).alias("n")
     )
     best = votes.groupBy(*keys).agg(

@@ -29,6 +29,7 @@ def analysis_tables(lexicon: Lexicon, stems: DataFrame, stopwords: DataFrame) ->
         "POSDistribution": an.value_counts(words, "POS", "pos"),
         "morphological_analysis": an.morphology(stems),
         "intrinsic_coverage": an.coverage(words),
+        "intrinsic_uncovered": an.uncovered(words),
     }
 
 

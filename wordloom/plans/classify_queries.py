@@ -15,7 +15,7 @@ from wordloom.operators import evaluate as ev
 from wordloom.operators.features import TfIdf, binary_terms, fit_tfidf
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
-from wordloom.session import staged, work_folder
+from wordloom.session import staged
 
 SENTIMENTS = ("negative", "neutral", "positive")
 LANGUAGES = ("de", "en", "es", "fr")
@@ -30,10 +30,8 @@ def _sentiment_model(spark: SparkSession, sf: str) -> nb.BayesModel:
 
 
 def _stored(model: nb.BayesModel) -> nb.BayesModel:
-    """Save the model and go on from its files: training runs once."""
-    path = work_folder(model.terms.sparkSession, "model")
-    model.save(path)
-    return nb.BayesModel.load(model.terms.sparkSession, path, model.labels)
+    """Training stored the terms; the few rows of the classes are stored as well."""
+    return nb.BayesModel(model.labels, model.terms, staged(model.classes, "classes"))
 
 
 def nb_train(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +47,9 @@ def nb_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     docs = si.table(spark, sf, "documents")
-    weights = fit_tfidf(docs, "text", MAX_FEATURES).weights(docs, "doc_id", "text")
+    model = fit_tfidf(docs, "text", MAX_FEATURES)
+    model = TfIdf(staged(model.features, "features"), model.size)
+    weights = model.weights(docs, "doc_id", "text")
     return weights.withColumn("x", F.round("x", 6))
 
 

@@ -178,4 +178,4 @@ def with_ctes(*names: str) -> str:
 
     for name in names:
         visit(name)
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in order) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({_CTES[n][1]})" for n in order) + "\n"

@@ -15,6 +15,7 @@ from wordloom.operators.records import newer_prefix
 from wordloom.operators.spelling import correct_words
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import NORMALIZED, with_ctes
+from wordloom.session import staged
 
 REFERENCE_TIME = "2024-02-01 00:00:00"
 ORDERS_SINCE = "1995-06-01 00:00:00"
@@ -101,9 +102,9 @@ def expanded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spell_correct(spark: SparkSession, sf: str) -> DataFrame:
-    """Words seen once, corrected by the words seen five times or more."""
-    counts = si.counts(spark, sf)
-    return correct_words(counts.where(F.col("count") == 1), counts.where(F.col("count") >= 5))
+    """Words seen less than five times, corrected by the others."""
+    counts = staged(si.counts(spark, sf), "counts")
+    return correct_words(counts.where(F.col("count") < 5), counts.where(F.col("count") >= 5))
 
 
 QUERIES = {
@@ -134,7 +135,26 @@ def _expand_sql() -> str:
     return f"SELECT doc_id, substr(t, 2, length(t) - 2) AS expanded FROM (SELECT doc_id, {text} AS t FROM documents)"
 
 
+def _deletes(table: str) -> str:
+    """Each word with what is left of it after up to two letters go."""
+    return f"""
+      SELECT DISTINCT word, key FROM (
+        SELECT word, word AS key FROM {table}
+        UNION ALL SELECT word, left(word, i - 1) || substr(word, i + 1)
+        FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM {table})
+        UNION ALL SELECT word, left(word, i - 1) || substr(word, i + 1, j - i - 1) || substr(word, j + 1)
+        FROM (SELECT word, i, unnest(range(i + 1, length(word) + 1)) AS j
+              FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM {table})))"""
+
+
 ORACLES = {
+    "q_spell_correct": with_ctes("wc") + f""", asked AS (SELECT word FROM wc WHERE n < 5),
+      known AS (SELECT word, n FROM wc WHERE n >= 5),
+      a AS ({_deletes("asked")}), k AS ({_deletes("known")}),
+      met AS (SELECT DISTINCT a.word, k.word AS term FROM a JOIN k USING (key)),
+      best AS (SELECT m.word, min(row(levenshtein(m.word, term), -n, term)) AS b
+               FROM met m JOIN known ON known.word = term WHERE levenshtein(m.word, term) <= 2 GROUP BY m.word)
+      SELECT word, coalesce(b[3], word) AS corrected, b[1] AS distance FROM asked LEFT JOIN best USING (word)""",
     "q_page_fields": with_ctes("art") + """
         SELECT page_id, url, title, author, rel_link, email, publish_text, brief, len(contents) AS paragraphs
         FROM art""",

@@ -36,11 +36,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where the session names none (local tests) a temporary folder is set.
+    A local session that names none gets a temporary one; on a cluster that is an error, as
+    every executor would write to its own disk.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wordloom-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

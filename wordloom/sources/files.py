@@ -26,21 +26,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-_SPLITS: dict[str, int] = {}
+#: A session setting: partitions to deal the rows of text tables to. Unset, nothing is dealt out.
+TEXT_PARTITIONS = "wordloom.texts.partitions"
 
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table of texts, given to all cores even where it has few splits.
+    """A Parquet table of texts, as its files are split.
 
-    Text work is heavy per byte, so an input of fewer splits than cores would leave most
-    of them idle. An input with enough splits, the usual case, is left as it is and not
-    shuffled. Splits are planned once per path.
+    Text work is heavy per byte, and a file of one row group is one task. Who has few such files
+    and many cores can set TEXT_PARTITIONS, which shuffles the texts once.
     """
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    return df.repartition(cores) if _SPLITS[path] < cores else df
+    partitions = spark.conf.get(TEXT_PARTITIONS, None)
+    return df.repartition(int(partitions)) if partitions else df
 
 
 def write_batch(df: DataFrame, table: str, batch_id: int | str) -> None:
@@ -108,7 +106,7 @@ def read_labelled_csvs(spark: SparkSession, folder: str, label: str | None = Non
     tables = []
     for path in paths:
         try:
-            table = spark.read.option("header", True).option("escape", '"').csv(path)
+            table = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
         except AnalysisException:
             continue
         stem = F.regexp_extract("_metadata.file_name", r"(.*)\.csv$", 1)

@@ -33,8 +33,13 @@ class RunMark:
         return rows.orderBy(F.desc("run")).first()
 
     def advance(self, crawl_start: datetime, proverbs: int = 0) -> None:
+        """Add a step for this crawl; saying it again for the same crawl replaces the step."""
         last = self.current()
-        run = last.run + 1 if last else 0
-        done = (last.proverbs_done if last else 0) + proverbs
+        if last and last.since == crawl_start:
+            earlier = read_or_empty(self.spark, self.path, MARK).where(F.col("run") < last.run)
+            run, before = last.run, earlier.orderBy(F.desc("run")).first()
+        else:
+            run, before = (last.run + 1 if last else 0), last
+        done = (before.proverbs_done if before else 0) + proverbs
         row = self.spark.createDataFrame([(run, crawl_start, done)], MARK)
         row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/step={run}")
