@@ -1,31 +1,33 @@
 """Line deduplication by an exact set-similarity join.
 
-A line is the set of its words; lines under MIN_WORDS words are left alone. Lines with equal
-sets are one class, of which the first line (by document key and line number) stands for all.
-The words of a line are put in order of rarity, counted over the whole corpus; lines of
-Jaccard similarity SIMILAR or more share one of the rarest few (prefix filter), are about as long
-(length filter), and have it at places that leave enough common words possible
-(positional filter). Candidates are verified on their words.
-
-What counts is whether a line has an earlier match. So all classes that share a prefix word
-are compared with the first of them alone; those like it are decided, and only those unlike
-it meet the other classes of that word. No match is lost, and thousands of variants of a line
-do not turn into all their pairs.
+A line is the set of its words; lines under MIN_WORDS words are left alone. A line goes when an
+earlier one (by document key and line number) has a Jaccard similarity of SIMILAR or more.
+The words of a line are put in order of rarity, counted over the whole corpus; similar lines
+share one of the rarest few (prefix filter), are about as long (length filter), and have it at
+places that leave enough common words possible (positional filter). Each line's words also
+set the bits of a small map; bits in which two maps differ are words that only one line has,
+which bounds what they have in common. Candidates are verified on their words.
+
+Only whether there is an earlier match counts. Lines come together by word, once, and each
+keeps its most likely earlier partners there; only lines that match none of them, but had more,
+meet all the others. No decision is lost, and thousands of copies or variants of a line do
+not turn into all their pairs.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.shingles import mix, slices, word_hashes
 from wordloom.llm.tables import narrow
-from wordloom.llm.text_stats import split_words
 from wordloom.session import staged
 
 MIN_WORDS = 5
@@ -33,7 +35,10 @@ MIN_WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Counters for the rarity of words; words that share one are ordered by their joint count.
 COUNTERS = 1 << 18
-_PLACE_BITS = 14
+#: Partners that a line keeps for each word, and rows of whole words that are worked on together.
+PARTNERS = 2
+TOGETHER = 100_000
+_SPACE = re.compile("[ \\t-\\r]+")
 
 
 def _line_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -55,143 +60,246 @@ def _line_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row[kept], number[kept], hashes[new], line[new]
 
 
-def word_counts(docs: DataFrame) -> np.ndarray:
-    """How many lines have a word of each counter: COUNTERS numbers whatever the corpus.
+def describe_lines(docs: DataFrame) -> DataFrame:
+    """A row for each line: doc_id, line, n (different words) and digest; and rows of counters.
 
-    Every task adds up its own counters before the shuffle.
+    ``digest`` is of the set of words. Every task adds up its own
+    COUNTERS numbers of how many lines have a word of each counter, in ``counter`` and ``seen``.
     """
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
+        names = ["doc_id", "line", "n", "digest", "counter", "seen"]
+        kind = None
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for part in slices(batch):
-                hashes = _line_sets(part)[2]
+                row, number, hashes, line = _line_sets(part)
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+                size = np.bincount(line, minlength=len(row))
+                starts = np.cumsum(size) - size
+                digest = np.add.reduceat(mix(hashes), starts) if len(row) else hashes
+                nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.int64())]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
+                     pa.array(mix(digest).view(np.int64)), *nothing], names)
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["counter", "n"])
+        if len(used):
+            empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int32(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), pa.array(total[used])], names)
 
-    counted = docs.select("text").mapInArrow(count, "counter bigint, n bigint").groupBy("counter").agg(F.sum("n").alias("n"))
-    out = np.zeros(COUNTERS, np.int64)
-    rows = counted.toPandas()
-    out[rows["counter"].to_numpy()] = rows["n"].to_numpy()
-    return out
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(
+        describe, f"doc_id {kind}, line int, n int, digest bigint, counter int, seen bigint")
 
 
-def line_classes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """doc_id, line, n (different words), ``same`` (128-bit digest of the set) and ``prefix`` of each line.
+def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+    """For each line 128 bits, each set if an odd number of its words falls on it, as two integers."""
+    odd = np.bincount(line * 128 + (hashes >> np.uint64(57)).astype(np.int64), minlength=128 * lines).reshape(lines, 128) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).reshape(lines, 16).view(np.int64)
 
-    An entry of ``prefix`` is a word's hash with its place in the last bits. Words that no other
-    line has cannot make a match and are left out.
-    """
+
+def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
+    """word, doc_id, line, n, place, high and low for each of the rarest words of each line."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
 
-    def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             for part in slices(batch):
                 row, number, hashes, line = _line_sets(part)
                 size = np.bincount(line, minlength=len(row))
-                starts = np.cumsum(size) - size
-                digests = [np.add.reduceat(mix(hashes ^ np.uint64(k)), starts) if len(row) else hashes for k in (1, 2)]
-                same = np.stack(digests, axis=1).astype("<u8")
+                maps = _bit_maps(hashes, line, len(row))
                 common = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
                 order = np.lexsort((hashes, common, line))
                 hashes, common = hashes[order], common[order]
-                place = np.arange(len(hashes)) - np.repeat(starts, size)
+                place = np.arange(len(hashes)) - np.repeat(np.cumsum(size) - size, size)
                 prefix = size - -(-size * NUMERATOR // DENOMINATOR) + 1
+                # Words that no other line has cannot make a match.
                 use = (place < prefix[line]) & (common > 1)
-                top = np.uint64((1 << _PLACE_BITS) - 1)
-                packed = (hashes & ~top) | np.minimum(place.astype(np.uint64), top)
-                offsets = np.searchsorted(line[use], np.arange(len(row) + 1)).astype(np.int32)
+                mine = line[use]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
-                     pa.array([s.tobytes() for s in same], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(packed[use].view(np.int64)))],
-                    ["doc_id", "line", "n", "same", "prefix"],
-                )
+                    [pa.array((hashes[use] >> np.uint64(1)).astype(np.int64)), part["doc_id"].take(pa.array(row[mine])),
+                     pa.array(number[mine], pa.int32()), pa.array(size[mine], pa.int32()), pa.array(place[use], pa.int32()),
+                     pa.array(maps[mine, 0]), pa.array(maps[mine, 1])],
+                    ["word", "doc_id", "line", "n", "place", "high", "low"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(describe, f"doc_id {kind}, line int, n int, same binary, prefix array<bigint>")
+    return docs.mapInArrow(post, f"word bigint, doc_id {kind}, line int, n int, place int, high bigint, low bigint")
+
 
+def _partners(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, more): for rows sorted by word and line, earlier rows y of the word that x may match.
 
-def _possible() -> Column:
-    """Length and positional filter, over n and place of both sides."""
-    n, m, i, j = (F.col(c).cast("bigint") for c in ("n_x", "n_y", "place_x", "place_y"))
-    overlap = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1)
-    return (
-        (F.least(n, m) * DENOMINATOR >= F.greatest(n, m) * NUMERATOR)
-        & (overlap * (NUMERATOR + DENOMINATOR) >= (n + m) * NUMERATOR)
-    )
+    ``more`` tells that x had more partners for the word than the PARTNERS likeliest it keeps.
+    Rows with a column ``asks`` give all partners of the rows where it is true.
+    """
+    word, n, place = (rows[c].to_numpy().astype(np.int64) for c in ("word", "n", "place"))
+    maps = [rows[c].to_numpy() for c in ("high", "low")]
+    asks = rows["asks"].to_numpy() if "asks" in rows.column_names else None
+    new = np.append(True, word[1:] != word[:-1])
+    rank = np.arange(len(word)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    best = [np.full(len(word), 1 << 20) for _ in range(PARTNERS)]  # bits that differ
+    kept = [np.full(len(word), -1) for _ in range(PARTNERS)]
+    met = np.zeros(len(word), np.int64)
+    x, back = np.flatnonzero(rank > 0 if asks is None else asks & (rank > 0)), 1
+    while len(x):
+        y = x - back
+        a, b, i, j = n[x], n[y], place[x], place[y]
+        total = (a + b) * NUMERATOR
+        ok = np.minimum(a, b) * DENOMINATOR >= np.maximum(a, b) * NUMERATOR
+        ok &= (np.minimum(i, j) + 1 + np.minimum(a - i - 1, b - j - 1)) * (NUMERATOR + DENOMINATOR) >= total
+        p, q = x[ok], y[ok]
+        differ = sum(np.bitwise_count((m[p] ^ m[q]).view(np.uint64)).astype(np.int64) for m in maps)
+        ok = (n[p] + n[q] - differ) * (NUMERATOR + DENOMINATOR) >= 2 * (n[p] + n[q]) * NUMERATOR
+        p, q, differ = p[ok], q[ok], differ[ok]
+        if asks is not None:
+            yield p, q, np.zeros(len(p), bool)
+        else:
+            met[p] += 1
+            for k in range(PARTNERS):  # what is pushed out of one place goes to the next
+                closer = differ < best[k][p]
+                at = p[closer]
+                old = best[k][at], kept[k][at]
+                best[k][at], kept[k][at] = differ[closer], q[closer]
+                differ[closer], q[closer] = old
+        back += 1
+        x = x[rank[x] >= back]
+    for k in range(PARTNERS):
+        p = np.flatnonzero(kept[k] >= 0)
+        yield p, kept[k][p], met[p] > PARTNERS
+
+
+def _meet(posted: DataFrame) -> DataFrame:
+    """(x, y, more): lines and earlier lines that they may match, of one word after another, stored.
+
+    Words are dealt out by hash and sorted, and each is worked on as it comes by.
+    """
+    kind = posted.schema["doc_id"].dataType.simpleString()
+    place = f"struct<doc_id:{kind},line:int>"
 
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            columns = [pa.concat_arrays(rows[c].chunks) for c in ("doc_id", "line")]
+            where = pa.StructArray.from_arrays(columns, ["doc_id", "line"])
+            for x, y, more in _partners(rows):
+                yield pa.RecordBatch.from_arrays([where.take(pa.array(x)), where.take(pa.array(y)), pa.array(more)], ["x", "y", "more"])
 
-def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """The pairs (x, y) of classes whose words are similar enough, stored."""
-    for side in ("x", "y"):
-        pairs = pairs.join(words.select(F.col("same").alias(side), F.col("words").alias(f"words_{side}")), side)
-    common = F.size(F.array_intersect("words_x", "words_y"))
-    either = F.size("words_x") + F.size("words_y") - common
-    return staged(pairs.where(common * DENOMINATOR >= either * NUMERATOR).select("x", "y"), "matches")
+        waiting, size = [], 0
+        for batch in batches:
+            waiting.append(batch)
+            size += batch.num_rows
+            if size < TOGETHER:
+                continue
+            rows = pa.Table.from_batches(waiting)
+            words = rows["word"].to_numpy()
+            end = int(np.searchsorted(words, words[-1]))  # the last word may go on
+            if end:
+                yield from pairs(rows.slice(0, end))
+            waiting = rows.slice(end).to_batches()
+            size = rows.num_rows - end
+        if size:
+            yield from pairs(pa.Table.from_batches(waiting))
+
+    dealt = posted.repartition("word").sortWithinPartitions("word", "doc_id", "line")
+    return staged(dealt.mapInArrow(meet, f"x {place}, y {place}, more boolean").where("x != y"), "partners")
+
+
+def _candidates(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """The different pairs with n and digest of both lines, stored."""
+    pairs = pairs.select("x", "y").distinct()
+    for side in "xy":
+        named = lines.select(F.struct("doc_id", "line").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("digest", "n")])
+        pairs = pairs.join(named, side)
+    return staged(pairs, "candidates")
+
+
+def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """digest, n and the different words of one line of each digest; texts travel compressed, stored."""
+
+    def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            texts = pa.array((small(t.as_py().encode()) for t in batch["text"]), pa.large_binary())
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], texts], ["doc_id", "text"])
 
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grow = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            for start in range(0, batch.num_rows, 64):
+                part = batch.slice(start, 64)
+                digests, sizes, words = [], [], []
+                for text, asked in zip(part["text"], part["asked"]):
+                    lines = grow(text.as_py()).decode().split("\n")
+                    for a in asked.as_py():
+                        digests.append(a["digest"])
+                        sizes.append(a["n"])
+                        words.append(list(dict.fromkeys(_SPACE.split(lines[a["line"]]))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digests, pa.int64()), pa.array(sizes, pa.int32()), pa.array(words, pa.list_(pa.string()))],
+                    ["digest", "n", "words"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    small = docs.mapInArrow(shrink, f"doc_id {kind}, text binary")
+    asked = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest", "n")).alias("asked"))
+    # The texts are many times the lines asked for; a merge join takes either at any size.
+    found = small.join(asked.hint("merge"), "doc_id").select("text", "asked")
+    found = found.mapInArrow(read, "digest bigint, n int, words array<string>")
+    return staged(found.select("digest", "n", F.array_remove("words", "").alias("words")).dropDuplicates(["digest", "n"]), "words")
 
-def earlier_matches(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs (x, y): the class x has the similar and earlier class y.
 
-    ``classes`` has same, first (its first line), n and prefix. Every class with an earlier match
-    has a row; of several matches over one word the first one is there.
+def _matches(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The lines x of the candidates (x, y) that match y, with the number of matches, stored.
+
+    Lines of one digest and size have equal words; others are compared on them.
     """
-    mask = (1 << _PLACE_BITS) - 1
-    posted = classes.select("same", "first", "n", F.explode("prefix").alias("p")).select(
-        "same", "first", "n", F.shiftrightunsigned("p", _PLACE_BITS).alias("word"),
-        F.col("p").bitwiseAND(F.lit(mask)).alias("place"))
-    heads = posted.groupBy("word").agg(
-        F.count(F.lit(1)).alias("classes"), F.min(F.struct("first", "same", "n", "place")).alias("head")
-    ).where("classes > 1").drop("classes")
-    met = staged(posted.join(heads, "word"), "met")
-    spokes = met.where(F.col("same") != F.col("head.same")).select(
-        "word", F.col("same").alias("x"), F.col("head.same").alias("y"), F.col("n").alias("n_x"), F.col("head.n").alias("n_y"),
-        F.col("place").alias("place_x"), F.col("head.place").alias("place_y"), F.col("first").alias("first_x"))
-    spokes = staged(spokes, "spokes")
-    tried = spokes.where(_possible()).select("x", "y").distinct()
-    # The words of every class that may be compared, from the first line of the class.
-    wanted = met.select("same", "first").distinct().select("same", "first.doc_id", "first.line")
-    fetched = docs.join(wanted, "doc_id").select("same", F.get(F.split("text", "\n"), F.col("line")).alias("line"))
-    words = staged(fetched.select("same", F.array_distinct(split_words(F.col("line"))).alias("words"))
-                   .dropDuplicates(["same"]), "words")
-    like = _matches(tried, words)
-    unlike = spokes.join(like, ["x", "y"], "left_anti")
-    others = met.where(F.col("same") != F.col("head.same")).select(
-        "word", F.col("same").alias("z"), F.col("first").alias("first_z"), F.col("n").alias("n_z"), F.col("place").alias("place_z"))
-    swept = (
-        unlike.drop("y", "n_y", "place_y").join(others, "word").where("first_z < first_x")
-        .withColumnsRenamed({"z": "y", "n_z": "n_y", "place_z": "place_y"})
-        .where(_possible()).select("x", "y").distinct()
-    )
-    return like.unionByName(_matches(staged(swept, "swept"), words))
+    names = ["digest_x", "n_x", "digest_y", "n_y"]
+    equal = (F.col("digest_x") == F.col("digest_y")) & (F.col("n_x") == F.col("n_y"))
+    open_ = pairs.where(~equal)
+    ends = open_.select(F.col("x").alias("at"), F.col("digest_x").alias("digest"), F.col("n_x").alias("n")).unionByName(
+        open_.select(F.col("y").alias("at"), F.col("digest_y").alias("digest"), F.col("n_y").alias("n")))
+    wanted = ends.groupBy("digest", "n").agg(F.min("at").alias("at")).select("at.doc_id", "at.line", "digest", "n")
+    words = _words_of(docs, wanted)
+    different = open_.select(*names).distinct()
+    for s in "xy":
+        named = words.select(F.col("digest").alias(f"digest_{s}"), F.col("n").alias(f"n_{s}"), F.col("words").alias(f"words_{s}"))
+        different = different.join(named, [f"digest_{s}", f"n_{s}"])
+    common = F.size(F.array_intersect("words_x", "words_y"))
+    either = F.size("words_x") + F.size("words_y") - common
+    alike = different.where(common * DENOMINATOR >= either * NUMERATOR).select(*names)
+    both = pairs.where(equal).select("x").unionByName(open_.join(alike, names).select("x"))
+    return staged(both.groupBy("x").agg(F.count(F.lit(1)).alias("links")), "matches")
 
 
 def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All lines that take part (doc_id, line, same), and the lines to remove (doc_id, line, links).
+    """All lines that take part, and those to remove (doc_id, line, links), stored.
 
-    ``docs`` has doc_id and text. A line goes if it is not the first of its class, or if its
-    class has an earlier match; ``links`` counts the classes it was matched with.
+    ``docs`` has doc_id and text; ``links`` counts the earlier lines that a line was found to match.
     """
-    lines = staged(line_classes(docs, word_counts(docs)), "lines")
-    classes = staged(lines.groupBy("same").agg(
-        F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("copies"),
-        F.first("n").alias("n"), F.first("prefix").alias("prefix")), "classes")
-    links = earlier_matches(classes, docs).groupBy(F.col("x").alias("same")).agg(F.count(F.lit(1)).alias("links"))
-    judged = classes.select("same", "first", "copies").join(links, "same", "left")
-    judged = judged.where("copies > 1 OR links > 0").select("same", "first", F.coalesce("links", F.lit(0)).alias("links"))
-    here = F.struct(F.col("doc_id"), F.col("line"))
-    removed = lines.select("doc_id", "line", "same").join(judged, "same").where((F.col("links") > 0) | (here != F.col("first")))
-    return lines, staged(removed.select("doc_id", "line", "links"), "removed")
+    described = staged(describe_lines(docs), "lines")
+    lines = described.where("line IS NOT NULL").drop("counter", "seen")
+    counted = described.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen")).toPandas()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[counted["counter"].to_numpy(int)] = counted["seen"].to_numpy(int)
+    posted = post_prefixes(docs, counts)
+    met = _meet(posted)
+    found = _matches(_candidates(met, lines), docs)
+    # Lines that match none of the partners they kept, but had more, meet all of them.
+    failed = staged(met.where("more").select("x").distinct().join(found, "x", "left_anti"), "failed")
+    if failed.limit(1).count():
+        here = F.struct("doc_id", "line")
+        asking = posted.join(failed.withColumnRenamed("x", "asked"), here == F.col("asked"), "left")
+        asking = asking.select("*", F.col("asked").isNotNull().alias("asks")).drop("asked")
+        more = _meet(asking).join(met.select("x", "y"), ["x", "y"], "left_anti")
+        found = found.unionByName(_matches(_candidates(more, lines), docs))
+    return lines, staged(found.select("x.doc_id", "x.line", "links"), "removed")
 
 
 def find_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per key: doc_id, n_lines that take part, n_removed, removed_lines (from 0) and n_links.
 
     Null and empty texts have no lines; rows with one key are one document, whose lines are
-    judged alike; rows without key take no part; an empty table gives no rows; other columns
+    judged alike, as the same line is not an earlier one; rows without key take no part; an empty table gives no rows; other columns
     are not read.
     """
     df = narrow(docs, key, text).where("doc_id IS NOT NULL")
