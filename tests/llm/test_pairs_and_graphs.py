@@ -279,3 +279,18 @@ def test_pipeline_on_an_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF).count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
+
+
+@pytest.mark.parametrize("head", [
+    '<svg class="i"/>', '<math display="block" />', '<svg-icon name="x"></svg-icon>', "<video-js></video-js>", "<title-bar></title-bar>",
+    "<button-group></button-group>", "<div><button>Menu</div>", "<div><select><option>One</div>", "<div><object data=x></div>",
+    "<div><video src=x></div>", "<div><canvas></div>", '<svg><path d="M0"><title/></svg>', "<svg><path d='M0'><p>", "<script>var a = '<svg>'</script >",
+])
+def test_markup_before_an_article_leaves_its_text(head):
+    text = "Body text, with some words. And more of them."
+    assert html_cut.main_text(f"{head}<article><p>{text}</p></article>") == text
+
+
+def test_silent_elements_inside_a_block_neither_show_nor_split_it():
+    page = "<article><p>One, two. <button><div>No</div></button><svg><text>No</text><path d=a /></svg><template><p>No</p></template>Three, four.</p></article>"
+    assert html_cut.main_text(page) == "One, two. Three, four."

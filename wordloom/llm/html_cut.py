@@ -20,8 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Elements whose content is never text, elements that end a block, and those that stand empty.
-SILENT = "script style noscript template title svg math iframe object canvas select button textarea audio video".split()
+#: Elements read as raw up to their end tag, and others whose content is never text either.
+RAW = frozenset("script style noscript title iframe textarea".split())
+SILENT = frozenset("template svg math object canvas select button audio video".split())
+#: Elements of drawings may close themselves; these end a drawing, those hold ordinary markup in it.
+FOREIGN = frozenset(("svg", "math"))
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+INTEGRATION = frozenset("foreignobject desc annotation-xml".split())
+#: Elements that end a block, and those that stand empty.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup p pre section "
@@ -31,7 +40,7 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 #: What an opening tag closes if it is still open: paragraphs and items do not nest.
 CLOSES = {t: ("p",) for t in BLOCKS} | {
     "li": ("li", "p"), "dt": ("dt", "dd", "p"), "dd": ("dt", "dd", "p"), "tr": ("tr", "td", "th"),
-    "td": ("td", "th"), "th": ("td", "th"),
+    "td": ("td", "th"), "th": ("td", "th"), "button": ("button",), "select": ("select",),
 }
 #: Weights of the classifier, in log odds of content.
 REGIONS = {"nav": -8.0, "menu": -8.0, "footer": -7.0, "aside": -7.0, "form": -7.0, "dialog": -7.0, "head": -9.0,
@@ -51,11 +60,12 @@ NEAR, SIBLINGS = 1.2, 1.0
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    rf"|<({'|'.join(SILENT)})\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][^\s/>]*+)([^>]*+)>|<[/!?a-z][^>]*+(?:>|\Z)|([^<]++|<)",
     re.S | re.I,
 )
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
+_UNQUOTED_END = re.compile(r"=\s*[^\s\"'>][^\s\"'>]*/\Z")
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
@@ -73,6 +83,7 @@ class Element:
     boilerplate: float
     links: int
     hidden: bool
+    foreign: bool
 
 
 @dataclass(slots=True)
@@ -102,7 +113,7 @@ def _name_weight(tag: str, attributes: str, inside: Element) -> float:
 
 def parse_blocks(source: str) -> list[Block]:
     """The blocks with text, in page order. Broken markup is read as far as it goes."""
-    top = Element("", 0, None, 0.0, 0.0, 0, False)
+    top = Element("", 0, None, 0.0, 0.0, 0, False, False)
     here, blocks, block = top, [], None
 
     def end() -> None:
@@ -123,8 +134,11 @@ def parse_blocks(source: str) -> list[Block]:
         if found.parent is not None:
             here = found.parent
 
-    for token in _TOKEN.finditer(source):
-        text = token[8]
+    at = 0
+    while at < len(source):
+        token = _TOKEN.match(source, at)
+        at = token.end()
+        text = token[7]
         if text is not None:
             if here.hidden:
                 continue
@@ -137,26 +151,39 @@ def parse_blocks(source: str) -> list[Block]:
             if here.links:
                 block.linked += len(text)
             continue
-        tag = (token[3] or token[6] or "").lower()
+        tag = (token[2] or token[5] or "").lower()
         if not tag:
             continue
-        if tag in BLOCKS:
+        if token[1] or token[4]:
+            close((tag,))
+            if tag in BLOCKS and not here.hidden:
+                end()
+            continue
+        attributes = token[3] or token[6] or ""
+        if here.foreign and tag in BREAKOUT:
+            while here.foreign:
+                here = here.parent
+        closed = attributes.endswith("/") and (here.foreign or tag in FOREIGN) and not _UNQUOTED_END.search(attributes)
+        if closed:
+            continue
+        if tag in RAW:
+            ended = _RAW_END[tag].search(source, at)
+            at = ended.end() if ended else len(source)
+            continue
+        if tag in BLOCKS and not here.hidden:
             end()
         elif tag == "br" and block is not None:
             block.parts.append(" ")
-        if token[2] or token[5]:
-            close((tag,))
-            continue
         if tag in EMPTY:
             continue
         if tag in CLOSES:
-            for closed in CLOSES[tag]:
-                close((closed,), BLOCKS - {"p", closed})
-        attributes = token[4] or token[7] or ""
-        weight = _name_weight(tag, attributes, here)
+            for ends in CLOSES[tag]:
+                close((ends,), (BLOCKS | SILENT) - {"p", ends})
+        weight = 0.0 if here.hidden else _name_weight(tag, attributes, here)
         here = Element(
-            tag, here.depth + 1, here, max(here.content, weight), min(here.boilerplate, weight),
-            here.links + (tag == "a"), here.hidden or bool(attributes and _HIDDEN.search(attributes)),
+            tag, here.depth + 1, here, max(here.content, weight), min(here.boilerplate, weight), here.links + (tag == "a"),
+            here.hidden or tag in SILENT or bool(attributes and _HIDDEN.search(attributes)),
+            tag in FOREIGN or (here.foreign and tag not in INTEGRATION),
         )
     end()
     return blocks
