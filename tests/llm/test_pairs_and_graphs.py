@@ -294,3 +294,19 @@ def test_markup_before_an_article_leaves_its_text(head):
 def test_silent_elements_inside_a_block_neither_show_nor_split_it():
     page = "<article><p>One, two. <button><div>No</div></button><svg><text>No</text><path d=a /></svg><template><p>No</p></template>Three, four.</p></article>"
     assert html_cut.main_text(page) == "One, two. Three, four."
+
+
+def crawl(spark, rows):
+    return spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id bigint, url string, html string")
+
+
+def verdicts(spark, rows, rules):
+    return {r["host"]: r["verdict"] for r in host_trust.judge_pages(crawl(spark, rows), rules).collect() if r["rule"] is None}
+
+
+def test_scores_spread_to_the_fixed_point(spark):
+    # A child of a parent of whose pages 17 % are blocked: 0.447 after 12 steps, 0.521 at the end.
+    rows = [(f"http://p.xyz/{'bad' if i < 17 else 'fine'}/{i}", "") for i in range(100)] + [("http://c.p.xyz/", "")]
+    assert verdicts(spark, rows, (("block", "p.xyz/bad"),))["c.p.xyz"] == "block"
+    rows = [(f"http://p.xyz/{'bad' if i < 16 else 'fine'}/{i}", "") for i in range(100)] + [("http://c.p.xyz/", "")]
+    assert verdicts(spark, rows, (("block", "p.xyz/bad"),))["c.p.xyz"] == "allow"

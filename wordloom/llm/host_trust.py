@@ -17,11 +17,12 @@ from wordloom.session import staged
 
 #: (verdict, host and start of the path)
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
-#: Share of a score that comes over links, steps at most, change at which to stop, threshold.
+#: Share of a score that comes over links, what may be still to come at the end, threshold.
 DAMPING = 0.85
-STEPS = 12
 SETTLED = 1e-6
 THRESHOLD = 0.5
+#: Steps that the check SQL writes out; spread_trust takes as many as the verdicts need.
+STEPS = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
@@ -92,31 +93,43 @@ def _flows(edges: DataFrame) -> DataFrame:
     return along.unionByName(against)
 
 
+def _settled(scores: DataFrame) -> bool:
+    """Whether what is still to come can move no verdict, or is less than SETTLED over all hosts.
+
+    Scores only grow, and a step's growth over all hosts is at most DAMPING times that of the
+    step before, which bounds the rest by a geometric series.
+    """
+    over = F.col("distrust") - F.col("trust") - THRESHOLD * (1 - DAMPING)
+    found = scores.agg(
+        F.sum("more_trust").alias("t"), F.sum("more_distrust").alias("d"),
+        F.min(F.when(over > 0, over)).alias("block"), F.min(F.when(over <= 0, -over)).alias("allow")).first()
+    trust, distrust = ((found[c] or 0.0) * DAMPING / (1 - DAMPING) for c in "td")
+    safe = (found["block"] is None or found["block"] > trust) and (found["allow"] is None or found["allow"] >= distrust)
+    return safe or trust + distrust < SETTLED
+
+
 def spread_trust(hosts: DataFrame, edges: DataFrame) -> DataFrame:
-    """host, pages, trust and distrust, after steps of propagation; both tables should be stored.
+    """host, pages, trust and distrust, propagated until no verdict moves; both tables should be stored.
 
-    Every step joins the scores to the edges and adds them up by receiver, and is written to
-    the shared folder, so that a lost executor costs one step and plans stay short.
+    Every step joins the growth of the step before to the edges and adds it up by receiver, and is
+    written to the shared folder, so that a lost executor costs one step and plans stay short.
     """
     flows = staged(_flows(edges), "flows")
     first = 1 - DAMPING
-    scores = hosts.select("*", (first * F.col("allowed")).alias("trust"), (first * F.col("blocked")).alias("distrust"))
-    for _ in range(STEPS):
-        sent = flows.join(
-            scores.select(F.col("host").alias("sender"), F.col("trust").alias("t"), F.col("distrust").alias("d")), "sender"
-        ).groupBy("receiver").agg(
-            F.sum(F.col("trust") * F.col("t")).alias("t"), F.sum(F.col("distrust") * F.col("d")).alias("d")
-        )
+    trust, distrust = first * F.col("allowed"), first * F.col("blocked")
+    scores = hosts.select("host", "pages", trust.alias("trust"), distrust.alias("distrust"),
+                          trust.alias("more_trust"), distrust.alias("more_distrust"))
+    while True:
+        grown = scores.where("more_trust > 0 OR more_distrust > 0").select(
+            F.col("host").alias("sender"), F.col("more_trust").alias("t"), F.col("more_distrust").alias("d"))
+        sent = flows.join(grown, "sender").groupBy("receiver").agg(
+            F.sum(F.col("trust") * F.col("t")).alias("t"), F.sum(F.col("distrust") * F.col("d")).alias("d"))
         joined = scores.join(sent, scores["host"] == sent["receiver"], "left")
-        got = lambda name: DAMPING * F.coalesce(F.col(name), F.lit(0.0))
-        trust, distrust = first * F.col("allowed") + got("t"), first * F.col("blocked") + got("d")
-        moved = F.abs(trust - F.col("trust")) + F.abs(distrust - F.col("distrust"))
-        scores = staged(joined.select("host", "pages", "allowed", "blocked", trust.alias("trust"),
-                                      distrust.alias("distrust"), moved.alias("moved")), "trust")
-        if (scores.agg(F.max("moved")).first()[0] or 0.0) < SETTLED:
-            break
-        scores = scores.drop("moved")
-    return scores
+        t, d = (DAMPING * F.coalesce(F.col(c), F.lit(0.0)) for c in "td")
+        scores = staged(joined.select("host", "pages", (F.col("trust") + t).alias("trust"), (F.col("distrust") + d).alias("distrust"),
+                                      t.alias("more_trust"), d.alias("more_distrust")), "trust")
+        if _settled(scores):
+            return scores
 
 
 def host_verdict() -> Column:
