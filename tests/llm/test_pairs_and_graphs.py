@@ -310,3 +310,18 @@ def test_scores_spread_to_the_fixed_point(spark):
     assert verdicts(spark, rows, (("block", "p.xyz/bad"),))["c.p.xyz"] == "block"
     rows = [(f"http://p.xyz/{'bad' if i < 16 else 'fine'}/{i}", "") for i in range(100)] + [("http://c.p.xyz/", "")]
     assert verdicts(spark, rows, (("block", "p.xyz/bad"),))["c.p.xyz"] == "allow"
+
+
+def test_linked_hosts_without_pages_take_part(spark):
+    link = lambda *urls: "".join(f'<a href="{u}">x</a>' for u in urls)
+    rules = (("block", "net/"), ("block", "mixed.org/bad"), ("allow", "good.org/"))
+    rows = [
+        ("http://a.xyz/", link("http://bad.net/x", "//worse.net/y")),  # links only to blocked hosts
+        ("http://b.xyz/", link("https://fine.org/x")),
+        ("http://good.org/1", link("http://t.xyz/", *[f"http://o{i}.xyz/" for i in range(99)])),  # 1 of 100 links
+        ("http://t.xyz/", link("http://bad2.net/")),
+        ("http://c.xyz/", link("http://mixed.org/good?bad")),
+    ]
+    got = verdicts(spark, rows, rules)
+    assert got == {"a.xyz": "block", "b.xyz": "allow", "t.xyz": "block", "c.xyz": "allow"}
+    assert host_trust.judge_pages(crawl(spark, rows), rules).count() == 5

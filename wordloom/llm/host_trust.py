@@ -25,6 +25,8 @@ THRESHOLD = 0.5
 STEPS = 12
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+LINKED_URL = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>][^"'\s>]*)"""
+#: The same without the path, for the check SQL.
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -45,32 +47,50 @@ def _fits(rule: str) -> Column:
 def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, the longest rule that fits and what it says (null where none does)."""
     parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    rule, said = _judged(rules)
+    return parsed.select("*", rule.alias("rule"), said.alias("said"))
+
+
+def _judged(rules) -> tuple[Column, Column]:
+    """The longest rule that fits ``host`` and ``path``, and what it says."""
     rule = said = F.lit(None).cast("string")
     for verdict, text in sorted(rules, key=lambda r: len(r[1])):  # the longest is asked first
         rule, said = F.when(_fits(text), text).otherwise(rule), F.when(_fits(text), verdict).otherwise(said)
-    return parsed.select("*", rule.alias("rule"), said.alias("said"))
+    return rule, said
 
 
-def host_seeds(ruled: DataFrame) -> DataFrame:
-    """Each host's pages and the shares of them that the rules allow and block."""
+def linked_urls(pages: DataFrame) -> DataFrame:
+    """source and the different ``urls`` (host, path) that a page links to, of pages that link."""
+    urls = F.transform(F.regexp_extract_all("html", F.lit(LINKED_URL), F.lit(1)), lambda u: F.concat(F.lit("http://"), u))
+    parts = F.array_distinct(F.transform(urls, lambda u: F.struct(host_of(u).alias("host"), path_of(u).alias("path"))))
+    return pages.select(host_of(F.col("url")).alias("source"), parts.alias("urls")).where(F.size("urls") > 0)
+
+
+def host_seeds(ruled: DataFrame, linked: DataFrame, rules=RULES) -> DataFrame:
+    """Each host's pages and the shares of them that the rules allow and block.
+
+    A linked host without pages has the shares of the different urls of it that are linked.
+    """
     share = lambda said: F.avg(F.when(F.col("said") == said, 1.0).otherwise(0.0))
-    return ruled.groupBy("host").agg(
-        F.count(F.lit(1)).alias("pages"), share("allow").alias("allowed"), share("block").alias("blocked")
-    )
+    shares = share("allow").alias("allowed"), share("block").alias("blocked")
+    crawled = staged(ruled.groupBy("host").agg(F.count(F.lit(1)).alias("pages"), *shares), "crawled")
+    urls = linked.select(F.explode("urls").alias("u")).select("u.host", "u.path").distinct()
+    judged = urls.join(crawled, "host", "left_anti").select("host", _judged(rules)[1].alias("said"))
+    others = judged.groupBy("host").agg(F.lit(0).cast("bigint").alias("pages"), *shares)
+    return crawled.unionByName(others)
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(source, target, links): links between hosts, and a host and its parent host if both have pages.
+def host_edges(linked: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(source, target, links): links between hosts, and a host and its parent host if both are in the graph.
 
-    Links to hosts without pages and within a host are left out, as they move nothing.
+    Links within a host are left out. Targets without pages are hosts like others: what they
+    take of the trust goes nowhere else, and those that the rules block send distrust back.
     """
-    targets = F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(LINK), F.lit(1)),
-                                           lambda h: F.translate(h, UPPER, LOWER)))
-    links = pages.select(host_of(F.col("url")).alias("source"), F.explode(targets).alias("target"))
-    links = links.groupBy("source", "target").agg(F.count(F.lit(1)).alias("links"))
+    targets = F.array_distinct(F.transform("urls", lambda u: u["host"]))
+    links = linked.select("source", F.explode(targets).alias("target"))
+    links = links.where("source != target").groupBy("source", "target").agg(F.count(F.lit(1)).alias("links"))
     named = hosts.select("host")
     known = named.withColumnRenamed("host", "target")
-    links = links.where("source != target").join(known, "target")
     up = named.select(F.col("host").alias("source"), F.regexp_extract("host", r"^[^.]+\.(.+)$", 1).alias("target"))
     up = up.join(known, "target").select("source", "target")
     family = up.unionByName(up.select(F.col("target").alias("source"), F.col("source").alias("target")))
@@ -140,14 +160,16 @@ def host_verdict() -> Column:
 def judge_pages(pages: DataFrame, rules=RULES) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule and verdict.
 
+    Hosts that are only linked to are judged by the rules and take part in the propagation.
     A null url, or one without ``://``, has an empty host and path, fits no rule, and shares the
     verdict of the empty host; a null html has no links. Repeated rows each count and stay; an
     empty table gives none; other columns are not read. Pages of a host with a large share
     of all rows are spread over many tasks when they meet its verdict.
     """
     ruled = staged(with_rules(pages, rules), "ruled")
-    hosts = staged(host_seeds(ruled), "hosts")
-    scores = spread_trust(hosts, staged(host_edges(pages, hosts), "edges"))
-    verdicts = staged(scores.select("host", "pages", host_verdict().alias("of_host")), "verdicts")
+    linked = staged(linked_urls(pages), "linked")
+    hosts = staged(host_seeds(ruled, linked, rules), "hosts")
+    scores = spread_trust(hosts, staged(host_edges(linked, hosts), "edges"))
+    verdicts = staged(scores.where("pages > 0").select("host", "pages", host_verdict().alias("of_host")), "verdicts")
     judged = hot_join(ruled, verdicts, "host", "pages", "page_id")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("said", "of_host").alias("verdict"))
