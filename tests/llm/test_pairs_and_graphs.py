@@ -325,3 +325,27 @@ def test_linked_hosts_without_pages_take_part(spark):
     got = verdicts(spark, rows, rules)
     assert got == {"a.xyz": "block", "b.xyz": "allow", "t.xyz": "block", "c.xyz": "allow"}
     assert host_trust.judge_pages(crawl(spark, rows), rules).count() == 5
+
+
+def plain_links(texts):
+    """doc_id to the number of earlier matches of all its lines, by comparing all pairs."""
+    lines = [(d, k, frozenset(x.split())) for d, t in enumerate(texts) for k, x in enumerate(t.split("\n")) if len(x.split()) >= 5]
+    out = collections.Counter()
+    for i, (d, _, s) in enumerate(lines):
+        out[d] += sum(5 * len(s & t) >= 4 * len(s | t) for _, _, t in lines[:i])
+    return out
+
+
+@pytest.mark.parametrize("block", [line_dedup.BLOCK, 3])
+def test_links_are_those_of_all_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    rng = random.Random(5)
+    base = [prose(i, rng.choice([8, 20, 60])) for i in range(4)]
+    texts = []
+    for _ in range(40):
+        lines = [rng.choice(base) for _ in range(3)]
+        texts.append("\n".join(edited(x, rng, 1) if rng.random() < 0.6 else x for x in lines))
+    got = {r["doc_id"]: r["n_links"] for r in line_dedup.find_similar_lines(documents(spark, texts)).collect()}
+    want = plain_links(texts)
+    assert max(want.values()) > 20
+    assert got == {d: want[d] for d in range(len(texts))}

@@ -8,10 +8,9 @@ places that leave enough common words possible (positional filter). Each line's
 set the bits of a small map; bits in which two maps differ are words that only one line has,
 which bounds what they have in common. Candidates are verified on their words.
 
-Only whether there is an earlier match counts. Lines come together by word, once, and each
-keeps its most likely earlier partners there; only lines that match none of them, but had more,
-meet all the others. No decision is lost, and thousands of copies or variants of a line do
-not turn into all their pairs.
+Lines with equal sets of words are one class and are joined once, however many they are. Classes
+come together by word; a word of very many is dealt out in pairs of blocks. All similar pairs of
+classes are found, and each line's earlier matches are counted over them, so no link is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordloom.llm.shingles import mix, slices, word_hashes
@@ -35,9 +34,11 @@ MIN_WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 #: Counters for the rarity of words; words that share one are ordered by their joint count.
 COUNTERS = 1 << 18
-#: Partners that a line keeps for each word, and rows of whole words that are worked on together.
-PARTNERS = 2
+#: Rows of one word that are compared with each other in one task, rows that are worked on together.
+BLOCK = 4000
 TOGETHER = 100_000
+#: Classes that a task keeps in mind to post them once.
+REMEMBERED = 500_000
 _SPACE = re.compile("[ \\t-\\r]+")
 
 
@@ -60,6 +61,13 @@ def _line_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return row[kept], number[kept], hashes[new], line[new]
 
 
+def _digests(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A number for each set of words, of the hashes of one line after another."""
+    if not len(size):
+        return np.zeros(0, np.int64)
+    return mix(np.add.reduceat(mix(hashes), np.cumsum(size) - size)).view(np.int64)
+
+
 def describe_lines(docs: DataFrame) -> DataFrame:
     """A row for each line: doc_id, line, n (different words) and digest; and rows of counters.
 
@@ -77,12 +85,10 @@ def describe_lines(docs: DataFrame) -> DataFrame:
                 row, number, hashes, line = _line_sets(part)
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
                 size = np.bincount(line, minlength=len(row))
-                starts = np.cumsum(size) - size
-                digest = np.add.reduceat(mix(hashes), starts) if len(row) else hashes
                 nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.int64())]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
-                     pa.array(mix(digest).view(np.int64)), *nothing], names)
+                     pa.array(_digests(hashes, size)), *nothing], names)
         used = np.flatnonzero(total)
         if len(used):
             empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int32(), pa.int64())]
@@ -100,16 +106,30 @@ def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
 
 
 def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """word, doc_id, line, n, place, high and low for each of the rarest words of each line."""
+    """word, digest, n, place, high and low for each of the rarest words of each class of equal lines.
+
+    A task posts a class once for every REMEMBERED different classes that it comes by.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
+        seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
-                row, number, hashes, line = _line_sets(part)
+                row, _, hashes, line = _line_sets(part)
                 size = np.bincount(line, minlength=len(row))
-                maps = _bit_maps(hashes, line, len(row))
+                digest = _digests(hashes, size)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                _, first = np.unique(digest, return_index=True)
+                fresh = np.zeros(len(row), bool)
+                fresh[[k for k in first.tolist() if int(digest[k]) not in seen]] = True
+                seen.update(digest[fresh].tolist())
+                index = np.cumsum(fresh) - 1
+                mine = fresh[line]
+                hashes, line, size, digest = hashes[mine], index[line[mine]], size[fresh], digest[fresh]
+                maps = _bit_maps(hashes, line, len(size))
                 common = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
                 order = np.lexsort((hashes, common, line))
                 hashes, common = hashes[order], common[order]
@@ -119,71 +139,70 @@ def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 use = (place < prefix[line]) & (common > 1)
                 mine = line[use]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((hashes[use] >> np.uint64(1)).astype(np.int64)), part["doc_id"].take(pa.array(row[mine])),
-                     pa.array(number[mine], pa.int32()), pa.array(size[mine], pa.int32()), pa.array(place[use], pa.int32()),
+                    [pa.array((hashes[use] >> np.uint64(1)).astype(np.int64)), pa.array(digest[mine]),
+                     pa.array(size[mine], pa.int32()), pa.array(place[use], pa.int32()),
                      pa.array(maps[mine, 0]), pa.array(maps[mine, 1])],
-                    ["word", "doc_id", "line", "n", "place", "high", "low"])
+                    ["word", "digest", "n", "place", "high", "low"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(post, f"word bigint, doc_id {kind}, line int, n int, place int, high bigint, low bigint")
+    return docs.mapInArrow(post, "word bigint, digest bigint, n int, place int, high bigint, low bigint")
 
 
-def _partners(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(x, y, more): for rows sorted by word and line, earlier rows y of the word that x may match.
+def _deal(posted: DataFrame) -> DataFrame:
+    """The rows with ``cell`` and ``block``: every two rows of a word meet in one of its cells.
 
-    ``more`` tells that x had more partners for the word than the PARTNERS likeliest it keeps.
-    Rows with a column ``asks`` give all partners of the rows where it is true.
+    The rows of a word with more than BLOCK are dealt to blocks by digest, and each pair of blocks
+    is a cell; a cell of one block has its pairs, one of two blocks the pairs between them.
     """
-    word, n, place = (rows[c].to_numpy().astype(np.int64) for c in ("word", "n", "place"))
+    sizes = posted.groupBy("word").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > BLOCK)
+    sizes = staged(sizes.select("word", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot")
+    dealt = posted.join(sizes, "word", "left").withColumn(
+        "block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("digest"), "blocks")).cast("int"))
+    others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    cell = F.struct(low.cast("int").alias("a"), high.cast("int").alias("b"))
+    dealt = dealt.select("*", F.explode(others).alias("other")).withColumn("cell", cell)
+    return dealt.select("word", "cell.a", "cell.b", "block", "digest", "n", "place", "high", "low")
+
+
+def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y): for rows sorted by word, cell, n and digest, earlier rows y of the cell that x may match."""
+    word, a, b, block, digest, n, place = (
+        rows[c].to_numpy().astype(np.int64) for c in ("word", "a", "b", "block", "digest", "n", "place"))
     maps = [rows[c].to_numpy() for c in ("high", "low")]
-    asks = rows["asks"].to_numpy() if "asks" in rows.column_names else None
-    new = np.append(True, word[1:] != word[:-1])
+    new = np.append(True, (word[1:] != word[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
     rank = np.arange(len(word)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-    best = [np.full(len(word), 1 << 20) for _ in range(PARTNERS)]  # bits that differ
-    kept = [np.full(len(word), -1) for _ in range(PARTNERS)]
-    met = np.zeros(len(word), np.int64)
-    x, back = np.flatnonzero(rank > 0 if asks is None else asks & (rank > 0)), 1
+    copy = np.append(False, ~new[1:] & (digest[1:] == digest[:-1]) & (n[1:] == n[:-1]))  # posted by several tasks
+    x, back = np.flatnonzero((rank > 0) & ~copy), 1
     while len(x):
         y = x - back
-        a, b, i, j = n[x], n[y], place[x], place[y]
-        total = (a + b) * NUMERATOR
-        ok = np.minimum(a, b) * DENOMINATOR >= np.maximum(a, b) * NUMERATOR
-        ok &= (np.minimum(i, j) + 1 + np.minimum(a - i - 1, b - j - 1)) * (NUMERATOR + DENOMINATOR) >= total
-        p, q = x[ok], y[ok]
-        differ = sum(np.bitwise_count((m[p] ^ m[q]).view(np.uint64)).astype(np.int64) for m in maps)
-        ok = (n[p] + n[q] - differ) * (NUMERATOR + DENOMINATOR) >= 2 * (n[p] + n[q]) * NUMERATOR
-        p, q, differ = p[ok], q[ok], differ[ok]
-        if asks is not None:
-            yield p, q, np.zeros(len(p), bool)
-        else:
-            met[p] += 1
-            for k in range(PARTNERS):  # what is pushed out of one place goes to the next
-                closer = differ < best[k][p]
-                at = p[closer]
-                old = best[k][at], kept[k][at]
-                best[k][at], kept[k][at] = differ[closer], q[closer]
-                differ[closer], q[closer] = old
+        near = n[y] * DENOMINATOR >= n[x] * NUMERATOR  # rows further back are no longer
+        x, y = x[near], y[near]
+        p, i, j = n[x], place[x], place[y]
+        q = n[y]
+        total = (p + q) * NUMERATOR
+        ok = ~copy[y] & ((a[x] == b[x]) | (block[x] != block[y]))
+        ok &= (np.minimum(i, j) + 1 + np.minimum(p - i - 1, q - j - 1)) * (NUMERATOR + DENOMINATOR) >= total
+        u, v = x[ok], y[ok]
+        differ = sum(np.bitwise_count((m[u] ^ m[v]).view(np.uint64)).astype(np.int64) for m in maps)
+        ok = (n[u] + n[v] - differ) * (NUMERATOR + DENOMINATOR) >= 2 * (n[u] + n[v]) * NUMERATOR
+        yield u[ok], v[ok]
         back += 1
         x = x[rank[x] >= back]
-    for k in range(PARTNERS):
-        p = np.flatnonzero(kept[k] >= 0)
-        yield p, kept[k][p], met[p] > PARTNERS
 
 
 def _meet(posted: DataFrame) -> DataFrame:
-    """(x, y, more): lines and earlier lines that they may match, of one word after another, stored.
+    """Pairs of classes that may match, by digest and n, each once, stored.
 
-    Words are dealt out by hash and sorted, and each is worked on as it comes by.
+    Cells are dealt out by hash and sorted, and each is worked on as it comes by.
     """
-    kind = posted.schema["doc_id"].dataType.simpleString()
-    place = f"struct<doc_id:{kind},line:int>"
+    names = ["digest_x", "n_x", "digest_y", "n_y"]
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            columns = [pa.concat_arrays(rows[c].chunks) for c in ("doc_id", "line")]
-            where = pa.StructArray.from_arrays(columns, ["doc_id", "line"])
-            for x, y, more in _partners(rows):
-                yield pa.RecordBatch.from_arrays([where.take(pa.array(x)), where.take(pa.array(y)), pa.array(more)], ["x", "y", "more"])
+            digest, n = rows["digest"].combine_chunks(), rows["n"].combine_chunks()
+            for x, y in _pairs_of(rows):
+                x, y = pa.array(x), pa.array(y)
+                yield pa.RecordBatch.from_arrays([digest.take(x), n.take(x), digest.take(y), n.take(y)], names)
 
         waiting, size = [], 0
         for batch in batches:
@@ -192,8 +211,9 @@ def _meet(posted: DataFrame) -> DataFrame:
             if size < TOGETHER:
                 continue
             rows = pa.Table.from_batches(waiting)
-            words = rows["word"].to_numpy()
-            end = int(np.searchsorted(words, words[-1]))  # the last word may go on
+            ends = [rows[c].to_numpy() for c in ("word", "a", "b")]
+            same = np.flatnonzero(np.any([e != e[-1] for e in ends], axis=0))
+            end = int(same[-1]) + 1 if len(same) else 0  # the last cell may go on
             if end:
                 yield from pairs(rows.slice(0, end))
             waiting = rows.slice(end).to_batches()
@@ -201,17 +221,9 @@ def _meet(posted: DataFrame) -> DataFrame:
         if size:
             yield from pairs(pa.Table.from_batches(waiting))
 
-    dealt = posted.repartition("word").sortWithinPartitions("word", "doc_id", "line")
-    return staged(dealt.mapInArrow(meet, f"x {place}, y {place}, more boolean").where("x != y"), "partners")
-
-
-def _candidates(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The different pairs with n and digest of both lines, stored."""
-    pairs = pairs.select("x", "y").distinct()
-    for side in "xy":
-        named = lines.select(F.struct("doc_id", "line").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("digest", "n")])
-        pairs = pairs.join(named, side)
-    return staged(pairs, "candidates")
+    dealt = _deal(posted).repartition("word", "a", "b").sortWithinPartitions("word", "a", "b", "n", "digest")
+    found = dealt.mapInArrow(meet, "digest_x bigint, n_x int, digest_y bigint, n_y int")
+    return staged(found.distinct(), "candidates")
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -248,51 +260,69 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return staged(found.select("digest", "n", F.array_remove("words", "").alias("words")).dropDuplicates(["digest", "n"]), "words")
 
 
-def _matches(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The lines x of the candidates (x, y) that match y, with the number of matches, stored.
-
-    Lines of one digest and size have equal words; others are compared on them.
-    """
+def _similar_classes(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """(digest, n, digest_y, n_y): the similar ones of the pairs of classes, in both directions, stored."""
     names = ["digest_x", "n_x", "digest_y", "n_y"]
-    equal = (F.col("digest_x") == F.col("digest_y")) & (F.col("n_x") == F.col("n_y"))
-    open_ = pairs.where(~equal)
-    ends = open_.select(F.col("x").alias("at"), F.col("digest_x").alias("digest"), F.col("n_x").alias("n")).unionByName(
-        open_.select(F.col("y").alias("at"), F.col("digest_y").alias("digest"), F.col("n_y").alias("n")))
-    wanted = ends.groupBy("digest", "n").agg(F.min("at").alias("at")).select("at.doc_id", "at.line", "digest", "n")
-    words = _words_of(docs, wanted)
-    different = open_.select(*names).distinct()
+    ends = pairs.select(F.col("digest_x").alias("digest"), F.col("n_x").alias("n")).unionByName(
+        pairs.select(F.col("digest_y").alias("digest"), F.col("n_y").alias("n"))).distinct()
+    first = lines.join(ends, ["digest", "n"], "left_semi").groupBy("digest", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
+    words = _words_of(docs, first.select("at.doc_id", "at.line", "digest", "n"))
+    different = pairs
     for s in "xy":
         named = words.select(F.col("digest").alias(f"digest_{s}"), F.col("n").alias(f"n_{s}"), F.col("words").alias(f"words_{s}"))
         different = different.join(named, [f"digest_{s}", f"n_{s}"])
     common = F.size(F.array_intersect("words_x", "words_y"))
     either = F.size("words_x") + F.size("words_y") - common
-    alike = different.where(common * DENOMINATOR >= either * NUMERATOR).select(*names)
-    both = pairs.where(equal).select("x").unionByName(open_.join(alike, names).select("x"))
-    return staged(both.groupBy("x").agg(F.count(F.lit(1)).alias("links")), "matches")
+    alike = staged(different.where(common * DENOMINATOR >= either * NUMERATOR).select(*names), "alike")
+    back = alike.select(*[F.col(c).alias(d) for c, d in zip(names, names[2:] + names[:2])])
+    return alike.unionByName(back.select(*names)).select(
+        F.col("digest_x").alias("digest"), F.col("n_x").alias("n"), "digest_y", "n_y")
+
+
+def _count_links(lines: DataFrame, similar: DataFrame) -> DataFrame:
+    """doc_id, line and links, the number of earlier lines of its and of similar classes, of each line with any.
+
+    Lines are dealt to ranges of the order. A class's lines in earlier ranges are added up by range;
+    lines meet only within a range, so a class of any size is counted in as many tasks as there are.
+    """
+    of = ["digest", "n"]
+    several = lines.groupBy(*of).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(*of)
+    linked = staged(several.unionByName(similar.select(*of)).distinct(), "linked")
+    placed = lines.join(linked, of, "left_semi").distinct().repartitionByRange("doc_id", "line")
+    placed = staged(placed.withColumn("range", F.spark_partition_id()), "placed")
+    per_range = staged(placed.groupBy(*of, "range").agg(F.count(F.lit(1)).alias("m")), "per_range")
+    # What each class has to look at: itself and the similar classes.
+    near = staged(linked.select(*of, F.col("digest").alias("digest_y"), F.col("n").alias("n_y")).unionByName(similar), "near")
+    theirs = per_range.select(F.col("digest").alias("digest_y"), F.col("n").alias("n_y"), "range", "m")
+    seen = near.join(theirs, ["digest_y", "n_y"]).groupBy(*of, "range").agg(F.sum("m").alias("m"))
+    mine = per_range.select(*of, "range", F.lit(0).cast("bigint").alias("m"), F.lit(True).alias("here"))
+    steps = seen.withColumn("here", F.lit(False)).unionByName(mine)
+    before = Window.partitionBy(*of).orderBy("range").rangeBetween(Window.unboundedPreceding, -1)
+    steps = steps.select(*of, "range", "here", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before")).where("here").drop("here")
+    # Within a range: the class's own lines, and as points all lines of the classes it looks at.
+    here = per_range.select(*of, "range")
+    points = near.join(here, of).join(
+        placed.select(F.col("digest").alias("digest_y"), F.col("n").alias("n_y"), "range", "doc_id", "line"),
+        ["digest_y", "n_y", "range"]).select(*of, "range", "doc_id", "line", F.lit(1).alias("point"))
+    events = placed.select(*of, "range", "doc_id", "line", F.lit(0).alias("point")).unionByName(points)
+    running = Window.partitionBy(*of, "range").orderBy("doc_id", "line", "point").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = events.withColumn("inside", F.sum("point").over(running)).where("point = 0").drop("point")
+    counted = ranked.join(steps, [*of, "range"]).select("doc_id", "line", (F.col("before") + F.col("inside")).alias("links"))
+    return staged(counted.where("links > 0").groupBy("doc_id", "line").agg(F.max("links").alias("links")), "removed")
 
 
 def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All lines that take part, and those to remove (doc_id, line, links), stored.
 
-    ``docs`` has doc_id and text; ``links`` counts the earlier lines that a line was found to match.
+    ``docs`` has doc_id and text; ``links`` counts all earlier lines that a line matches.
     """
     described = staged(describe_lines(docs), "lines")
     lines = described.where("line IS NOT NULL").drop("counter", "seen")
     counted = described.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen")).toPandas()
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted["counter"].to_numpy(int)] = counted["seen"].to_numpy(int)
-    posted = post_prefixes(docs, counts)
-    met = _meet(posted)
-    found = _matches(_candidates(met, lines), docs)
-    # Lines that match none of the partners they kept, but had more, meet all of them.
-    failed = staged(met.where("more").select("x").distinct().join(found, "x", "left_anti"), "failed")
-    if failed.limit(1).count():
-        here = F.struct("doc_id", "line")
-        asking = posted.join(failed.withColumnRenamed("x", "asked"), here == F.col("asked"), "left")
-        asking = asking.select("*", F.col("asked").isNotNull().alias("asks")).drop("asked")
-        more = _meet(asking).join(met.select("x", "y"), ["x", "y"], "left_anti")
-        found = found.unionByName(_matches(_candidates(more, lines), docs))
-    return lines, staged(found.select("x.doc_id", "x.line", "links"), "removed")
+    pairs = _meet(staged(post_prefixes(docs, counts), "posted"))
+    return lines, _count_links(lines, _similar_classes(pairs, lines, docs))
 
 
 def find_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
