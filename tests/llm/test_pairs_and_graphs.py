@@ -349,3 +349,21 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, block):
     want = plain_links(texts)
     assert max(want.values()) > 20
     assert got == {d: want[d] for d in range(len(texts))}
+
+
+def test_a_common_word_is_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 20)
+    rows = [(1, d, 6, 0, 0, 0) for d in range(300)] + [(2, d, 6, 0, 0, 0) for d in range(5)]
+    posted = spark.createDataFrame(rows, "word bigint, digest bigint, n int, place int, high bigint, low bigint")
+    cells = collections.defaultdict(list)
+    for r in line_dedup._deal(posted).collect():
+        cells[r["word"], r["a"], r["b"]].append((r["block"], r["digest"]))
+    assert max(map(len, cells.values())) < 4 * 20
+    met = {(w, *sorted((x[1], y[1]))) for (w, a, b), c in cells.items() for x in c for y in c if x[1] != y[1] and (a == b or x[0] != y[0])}
+    assert len(met) == 300 * 299 // 2 + 5 * 4 // 2
+
+
+def test_equal_lines_are_posted_once_by_a_task(spark):
+    docs = documents(spark, ["a b c d e\ne d c b a a"] * 3000).coalesce(1)
+    posted = line_dedup.post_prefixes(docs.select("doc_id", "text"), np.full(line_dedup.COUNTERS, 9))
+    assert posted.count() == 2  # the rarest two words of one set of five
