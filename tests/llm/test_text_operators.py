@@ -210,3 +210,14 @@ def test_lower_bound_never_exceeds_a_packing():
         bins, offsets, count = packing.best_fit_decreasing(lengths, 100)
         assert packing.lower_bound(lengths, 100) <= count
     assert packing.lower_bound(np.array([60] * 7), 100) == 7
+
+
+def test_rare_stretches_find_room_in_the_toxic_dictionary():
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(12)) for _ in range(20_000)})
+    marking = {f" {w} "[i : i + toxicity.GRAM] for w in words for i in range(10)}
+    content = toxicity._toxic_content(marking, [(w, 5 + i) for i, w in enumerate(words)])
+    assert all(f" {w} ".encode() in content for w in words)
+    model = toxicity.ToxicModel(b"", content, b" the carrier of a window ", ())
+    assert all(toxicity.evidence(model, w) > 0 for w in words[::400])
+    assert toxicity.evidence(model, "nothing of the kind in here") == 0
