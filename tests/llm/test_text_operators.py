@@ -218,6 +218,8 @@ def test_rare_stretches_find_room_in_the_toxic_dictionary():
     marking = {f" {w} "[i : i + toxicity.GRAM] for w in words for i in range(10)}
     content = toxicity._toxic_content(marking, [(w, 5 + i) for i, w in enumerate(words)])
     assert all(f" {w} ".encode() in content for w in words)
-    model = toxicity.ToxicModel(b"", content, b" the carrier of a window ", ())
-    assert all(toxicity.evidence(model, w) > 0 for w in words[::400])
-    assert toxicity.evidence(model, "nothing of the kind in here") == 0
+    ordinary = prose(1, 2500).encode()  # as large as a trained one
+    model = toxicity.ToxicModel(ordinary, content, ordinary[-toxicity.CARRIER_BYTES :], ())
+    # The passage lies at another offset in a larger dictionary, which may change a byte.
+    assert toxicity.evidence(model, "nothing of the kind in here") <= 1
+    assert all(toxicity.evidence(model, w) >= 5 for w in words[::400])
