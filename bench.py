@@ -1,10 +1,15 @@
-"""Time the headline queries and print one JSON line."""
+"""Time the headline queries and print one JSON line.
+
+Each query's time is also written to standard error as soon as it is known. A query that takes
+more than BENCH_LIMIT seconds is cancelled and counts as that limit; the others still run.
+"""
 
 from __future__ import annotations
 
 import json
 import os
 import sys
+import threading
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -30,23 +35,40 @@ ANALYSES = (
 )
 
 
+def timed(spark, name: str, sf: str, limit: int) -> tuple[float, bool]:
+    """Seconds a query takes, and whether it ended within its limit."""
+    start = time.perf_counter()
+    guard = threading.Timer(limit, spark.sparkContext.cancelAllJobs)
+    guard.start()
+    try:
+        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+    except Exception:
+        if time.perf_counter() - start < limit:
+            raise
+        return float(limit), False
+    finally:
+        guard.cancel()
+    return round(time.perf_counter() - start, 3), True
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
+    limit = int(os.environ.get("BENCH_LIMIT", "120"))
     names = sys.argv[1:] or list(dict.fromkeys((*HEADLINE, *ANALYSES)))
     spark = build_session(f"local[{cpus}]", cpus, "bench", "16g")
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set(TEXT_PARTITIONS, str(cpus))  # the test tables have one row group each
     QUERIES["q_word_count"](spark, sf).write.format("noop").mode("overwrite").save()
-    seconds = {}
+    seconds, late = {}, []
     for name in names:
-        start = time.perf_counter()
-        QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
-        print(name, seconds[name], file=sys.stderr, flush=True)
+        seconds[name], ended = timed(spark, name, sf, limit)
+        if not ended:
+            late.append(name)
+        print(json.dumps({"query": name, "sec": seconds[name], "ended": ended}), file=sys.stderr, flush=True)
     print(json.dumps({
         "metric": "headline query time", "value": round(sum(seconds.values()), 3), "unit": "sec",
-        "queries": seconds,
+        "queries": seconds, "late": late,
         "analyses": round(sum(seconds.get(n, 0.0) for n in ANALYSES), 3), "sf": sf.rstrip("/").rsplit("sf", 1)[-1],
     }))
     spark.stop()

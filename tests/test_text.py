@@ -1,6 +1,7 @@
 """Text expressions and word counting: article chain and edge cases."""
 
 import re
+import time
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as tx
 from wordloom.operators import textprep as tp
+from wordloom.operators.features import counted_terms
 from wordloom.sources import schemas
 
 
@@ -102,3 +104,15 @@ def test_article_to_words(spark):
     in_order = tp.sentence_tokens(rows, ["url", "part", "sent_pos"]).where("part = 'title'")
     assert [r.word for r in in_order.orderBy("sent_pos", "word_pos").collect()] == [
         "harga", "naik", "kerajaan", "jawab", "tidak"]
+
+
+def test_terms_of_a_long_text_take_linear_time(spark):
+    """20,000 different words; the work of a text once grew with the cube of its length."""
+    words = [f"w{i:05d}" for i in range(20_000)] + ["w00000", "w00001"]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, ""), (3, None), (4, "one"), (5, "ab ab ab")], "id INT, text STRING")
+    start = time.perf_counter()
+    rows = counted_terms(docs, "text", "id").collect()
+    assert time.perf_counter() - start < 60
+    long = {r.term: r.tf for r in rows if r.id == 1}
+    assert len(long) == 20_000 + 20_000 and long["w00000"] == 2 and long["w00000 w00001"] == 2
+    assert {(r.id, r.term, r.tf) for r in rows if r.id > 1} == {(4, "one", 1), (5, "ab", 3), (5, "ab ab", 2)}

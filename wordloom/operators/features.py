@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import WIDE_SPACE
@@ -21,33 +21,27 @@ def binary_terms(docs: DataFrame, key: str, text: str, *keep: str) -> DataFrame:
     )
 
 
-def word_pairs(text: Column) -> Column:
-    """Words of two or more characters, then the pairs of neighbours."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(WORD_OF_TWO), F.lit(0))
-    last = F.greatest(F.size(words) - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(words, 1, last), F.slice(words, 2, last), lambda a, b: F.concat_ws(" ", a, b)
-    )
-    return F.concat(words, pairs)
-
-
-def counted_terms(text: Column) -> Column:
+def counted_terms(docs: DataFrame, text: str, *keep: str) -> DataFrame:
     """``term, tf`` for each different term of a text, counted inside the row.
 
-    Equal terms are neighbours once the terms are sorted, so a term's count is the distance
-    to the next other one.
+    Terms are the words of two or more characters and the pairs of neighbours. Equal terms are
+    neighbours once the terms are sorted, so a term's count is the distance to the next other one.
+    Words, sorted terms and starts are columns of their own: a lambda that held the expressions
+    behind them would run these again for every element.
     """
-    terms = F.sort_array(word_pairs(text))
-    new = F.transform(terms, lambda t, i: F.when(F.coalesce(F.get(terms, i - 1) != t, F.lit(True)), i))
-    starts = F.filter(new, lambda i: i.isNotNull())
-    return F.transform(starts, lambda at, k: F.struct(
-        F.get(terms, at).alias("term"),
-        (F.coalesce(F.get(starts, k + 1), F.size(terms)) - at).alias("tf"),
+    words = docs.select(
+        *keep, F.regexp_extract_all(F.lower(F.col(text)), F.lit(WORD_OF_TWO), F.lit(0)).alias("_words"))
+    pairs = F.zip_with("_words", F.slice("_words", 2, F.greatest(F.size("_words"), F.lit(1))),
+                       lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+    terms = words.select(*keep, F.sort_array(F.array_compact(F.concat("_words", pairs))).alias("_terms"))
+    new = F.transform(
+        "_terms", lambda t, i: F.when(F.coalesce(F.get("_terms", i - 1) != t, F.lit(True)), i))
+    starts = terms.select(*keep, "_terms", F.array_compact(new).alias("_starts"))
+    counted = F.transform("_starts", lambda at, k: F.struct(
+        F.get("_terms", at).alias("term"),
+        (F.coalesce(F.get("_starts", k + 1), F.size("_terms")) - at).alias("tf"),
     ))
-
-
-def _listed(docs: DataFrame, text: str, *keep: str) -> DataFrame:
-    return docs.select(*keep, F.explode(counted_terms(F.col(text))).alias("t")).select(*keep, "t.term", "t.tf")
+    return starts.select(*keep, F.explode(counted).alias("t")).select(*keep, "t.term", "t.tf")
 
 
 @dataclass(frozen=True)
@@ -66,7 +60,7 @@ class TfIdf:
 
         Terms meet the features where they are counted; only their weights are gathered by key.
         """
-        known = _listed(docs, text, key, *keep).join(F.broadcast(self.features), "term")
+        known = counted_terms(docs, text, key, *keep).join(F.broadcast(self.features), "term")
         weighed = known.select(key, *keep, F.struct("term", (F.col("tf") * F.col("idf")).alias("w")).alias("t"))
         gathered = weighed.groupBy(key, *keep).agg(F.collect_list("t").alias("ts"))
         squares = F.aggregate("ts", F.lit(0.0), lambda total, t: total + t["w"] * t["w"])
@@ -81,7 +75,7 @@ def fit_tfidf(docs: DataFrame, text: str, max_features: int = 5000) -> TfIdf:
     One aggregate gives both how often a term occurs and how many documents hold it. Equal
     counts are cut in alphabetical order.
     """
-    counted = _listed(docs, text).groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
+    counted = counted_terms(docs, text).groupBy("term").agg(F.sum("tf").alias("n"), F.count(F.lit(1)).alias("df"))
     chosen = counted.orderBy(F.desc("n"), "term").limit(max_features)
     n = docs.agg(F.count(F.lit(1))).scalar()
     idf = F.ln((1 + n) / (1 + F.col("df"))) + 1
