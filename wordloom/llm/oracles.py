@@ -114,3 +114,57 @@ flows AS MATERIALIZED (
 {", ".join(steps)}
 SELECT page_id, host, path, rule, coalesce(said, CASE WHEN (distrust - trust) / {first} > {hosts.THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
 FROM ruled JOIN t{hosts.STEPS} USING (host)"""
+
+
+def lexical_search() -> str:
+    """Terms, normalisers and scores of all pairs of item and document that share a term."""
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    folded = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all({folded}, '{pattern}')) AS term FROM documents WHERE text IS NOT NULL
+), held AS (
+  SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term
+), lengths AS (
+  SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths
+), normal AS (
+  SELECT doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM lengths, corpus
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM held, corpus GROUP BY term, docs
+), asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({folded}, '{pattern}')) AS term FROM benchmark
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN normal USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+
+def hard_negatives() -> str:
+    """Positives and negatives of every anchor by all inner products."""
+    return """
+WITH valid AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+  FROM valid a JOIN valid b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INT AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 100 * s.score BETWEEN 30 * p.positive_score AND 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""

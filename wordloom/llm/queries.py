@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import byte_bpe, dartminhash, hamming_index, host_trust, html_cut, line_dedup, oracles, packing, quality_qda, quality_rules, toxicity
+from wordloom.llm import (
+    byte_bpe, dartminhash, hamming_index, hard_negatives, host_trust, html_cut, lexical_search, line_dedup, oracles,
+    packing, quality_qda, quality_rules, repeated_bytes, toxicity,
+)
 from wordloom.llm.tables import read_table
 
 
@@ -56,6 +59,24 @@ def op10_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_trust.judge_pages(read_table(spark, sf_dir, "pages"))
 
 
+def op11_stratum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return lexical_search.search_documents(docs, items)
+
+
+def op12_box_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeated_bytes.remove_repeated(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_qda": op1_quality_qda,
     "op2_byte_bpe": op2_byte_bpe,
@@ -67,8 +88,13 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_host_trust": op10_host_trust,
+    "op11_stratum_search": op11_stratum_search,
+    "op12_box_negatives": op12_box_negatives,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 ORACLES = {
     "op3_quality_rules": oracles.quality_rules(),
     "op10_host_trust": oracles.host_trust(),
+    "op11_stratum_search": oracles.lexical_search(),
+    "op12_box_negatives": oracles.hard_negatives(),
 }

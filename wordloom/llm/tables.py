@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,3 +24,15 @@ def narrow(docs: DataFrame, key: str, text: str, carry: bool = False) -> DataFra
     if carry:
         columns.append(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     return docs.select(*columns)
+
+
+#: Sub-keys of a group in the first of two rankings, so that no task ranks all rows of a group.
+RANK_SALTS = 32
+
+
+def first_ranks(rows: DataFrame, group: list[str], order: list[Column], k: int, spread: str) -> DataFrame:
+    """The first ``k`` rows of each group with their ``rank`` (from 1): first per sub-key, then of those."""
+    salted = Window.partitionBy(*group, F.pmod(F.xxhash64(spread), F.lit(RANK_SALTS))).orderBy(*order)
+    few = rows.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= k)
+    whole = Window.partitionBy(*group).orderBy(*order)
+    return few.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= k)
