@@ -18,8 +18,8 @@ boundary is compared across it by an aggregate of one row for each side.
 and near edits) get their contexts, are range-partitioned by suffix and sorted by
 a multikey quicksort over 8-byte words, forwards and, with the bytes before them, backwards. Lengths of
 common prefixes of neighbours then give, for each number of bytes before the suffix, the classes of
-equal strings. Groups of leading bytes that may cross a boundary send digests of their strings
-to an aggregate instead, which compares them across boundaries however many partitions a group fills.
+equal strings. Groups of leading bytes that may cross a boundary also send a digest of each
+of their different strings to an aggregate, which compares them across boundaries however many partitions a group fills.
 
 Edge cases: null texts are empty; nothing goes from texts under SPAN bytes. Documents come in the order
 of their key, null first, then of a digest of the text for equal keys; equal rows are one document
@@ -269,27 +269,41 @@ def _spans(table: pa.Table, rows: np.ndarray, begins: np.ndarray, ends: np.ndarr
          pa.array(begins.astype(np.int32)), pa.array(ends.astype(np.int32))], ["string", "doc", "text_id", "begin", "end"])
 
 
-def _inner(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """What whole groups of contexts hold that starts earlier: a span for each context."""
-    table = table.filter(pa.array(~_repeats(table)))
+def _later(table: pa.Table) -> tuple[np.ndarray, pa.RecordBatch | None]:
+    """By row and number of bytes before the suffix: strings that start earlier in the table; a span for each context."""
     at = table["at"].to_numpy().astype(np.int64)
-    least, most = np.full(len(at), BEFORE + 1), np.full(len(at), -1)
+    later = np.zeros((len(at), BEFORE + 1), bool)
     for o, rows in earlier_strings(table["left"].to_pylist(), table["right"].to_pylist(), _places(table)):
-        least[rows], most[rows] = np.minimum(least[rows], o), o
-    rows = np.flatnonzero(most >= 0)
-    if len(rows):  # strings of one context overlap, so they cover one span
-        yield _spans(table, rows, at[rows] - most[rows], at[rows] - least[rows] + SPAN, pa.nulls(len(rows), pa.binary()))
+        later[rows, o] = True
+    rows = np.flatnonzero(later.any(1))
+    if not len(rows):
+        return later, None
+    # The strings of one context overlap, so they cover one span.
+    least, most = later[rows].argmax(1), BEFORE - later[rows, ::-1].argmax(1)
+    return later, _spans(table, rows, at[rows] - most, at[rows] - least + SPAN, pa.nulls(len(rows), pa.binary()))
+
+
+def _inner(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """What whole groups of contexts hold that starts earlier."""
+    _, spans = _later(table.filter(pa.array(~_repeats(table))))
+    if spans is not None:
+        yield spans
 
 
 def _outer(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Every string of contexts whose group may go on across a boundary, as a digest."""
+    """The same for contexts whose group may go on across a boundary, and a digest of each string that is new here."""
+    table = table.filter(pa.array(~_repeats(table)))
+    later, spans = _later(table)
+    if spans is not None:
+        yield spans
     digests, rows, begins = [], [], []
     for i, (a, b, at) in enumerate(zip(table["left"].to_pylist(), table["right"].to_pylist(), table["at"].to_pylist())):
         text = a + b
-        for begin in range(len(text) - SPAN + 1):
-            digests.append(xxhash.xxh3_128_digest(text[begin : begin + SPAN]))
-            rows.append(i)
-            begins.append(at - len(a) + begin)
+        for o in range(max(0, SPAN - len(b)), len(a) + 1):
+            if not later[i, o]:
+                digests.append(xxhash.xxh3_128_digest(text[len(a) - o : len(a) - o + SPAN]))
+                rows.append(i)
+                begins.append(at - o)
     if rows:
         starts = np.array(begins, np.int64)
         yield _spans(table, np.array(rows), starts, starts + SPAN, pa.array(digests, pa.binary()))
@@ -301,7 +315,7 @@ def _group_starts(table: pa.Table) -> np.ndarray:
 
 
 def _second_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted contexts: the spans whose strings start earlier, and the strings of the outermost groups."""
+    """Of sorted contexts: the spans whose strings start earlier, and the different strings of the outermost groups."""
     held, opening, last = None, True, None
     for batch in batches:
         if not len(batch):
