@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import trim_all
+from wordloom.operators.containment import contained
 from wordloom.operators.lexicon import update_where
 from wordloom.operators.numbering import number_rows
 from wordloom.operators.records import first_per_key
+from wordloom.session import staged
 
 # The messages for a proverb that is not there, and for a first letter that is none.
 NOT_FOUND = "Proverb not found."
@@ -99,16 +101,42 @@ def run_stored(spark: SparkSession, catalog: DataFrame, position: int, now, **ta
     return run_query(spark, chosen["query"], **tables), stamped
 
 
-def append_numbered(existing: DataFrame, new: DataFrame, order: str) -> DataFrame:
-    """New entries the list lacks, numbered on from its length. ``new``: ``order, query``."""
-    unseen = first_per_key(new.select("query", order), "query", F.col(order)).join(
-        existing.select("query"), "query", "left_anti"
-    )
+def append_numbered(existing: DataFrame, new: DataFrame, order: str, seen: str = "equal") -> DataFrame:
+    """New entries the list lacks, numbered on from its length. ``new``: ``order, query``.
+
+    With ``seen="contains"`` an entry is there already if it stands inside a listed entry or inside
+    a new one before it. An entry inside a refused one also stands inside what holds that one, so all
+    new entries can be asked at once. The empty entry is then only taken into an empty list, as its first.
+    """
+    once = first_per_key(new.select("query", order), "query", F.col(order))
+    unseen = once.join(existing.select("query"), "query", "left_anti")
+    if seen == "contains":
+        unseen = _outside_others(existing, unseen, order)
+    elif seen != "equal":
+        raise ValueError("seen is 'equal' or 'contains'")
     return number_rows(unseen, order, "no", first=0).select(
         (F.col("no") + existing.agg(F.count(F.lit(1))).scalar()).alias("no"), "query"
     )
 
 
+def _outside_others(existing: DataFrame, new: DataFrame, order: str) -> DataFrame:
+    new = staged(new, "entries")
+    listed = existing.where(F.col("query").isNotNull()).select("query").distinct()
+    filled = not listed.isEmpty()
+    ahead = F.lit(None).cast(new.schema[order].dataType)
+    holders = listed.select(F.struct(F.lit(0).alias("kind"), F.xxhash64("query").alias("no")).alias("holder"),
+                            F.col("query").alias("text"), ahead.alias("held"))
+    keyed = new.where(F.col("query").isNotNull()).select(
+        F.col(order).alias("asked"), F.col("query").alias("text"))
+    others = keyed.select(F.struct(F.lit(1).alias("kind"), F.xxhash64("text").alias("no")).alias("holder"), "text", F.col("asked").alias("held"))
+    inside = contained(keyed, staged(holders.unionByName(others), "holders")).where(
+        F.col("held").isNull() | (F.col("held") < F.col("asked"))).select(F.col("asked").alias(order)).distinct()
+    rest = new.join(inside, order, "left_anti")
+    first = new.agg(F.min(F.struct(order, "query"))["query"]).scalar()
+    keep_empty = F.lit(False) if filled else F.coalesce(first == "", F.lit(False))
+    return rest.where((F.col("query") != "") | F.col("query").isNull() | keep_empty)
+
+
 def numbered_list(entries: DataFrame) -> DataFrame:
     """Entries by place; places close up where numbers were removed."""
     return number_rows(entries, "no", "place").select("place", "query")

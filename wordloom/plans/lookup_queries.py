@@ -13,6 +13,8 @@ from wordloom.plans import standins as si
 from wordloom.plans.oracle import NORMALIZED, with_ctes
 
 NOW = "2024-03-01 12:00:00"
+FIRST_TURN = 1_000_000_000
+TURN_CHARS = 16
 KEYWORDS = ("THE ", "DE ", "DER ")
 
 
@@ -83,6 +85,15 @@ def append_numbered(spark: SparkSession, sf: str) -> DataFrame:
     return lk.append_numbered(_entries(spark, sf), new, "doc_id")
 
 
+def append_contained(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark passages and the first words of turns as new entries, whole documents as the list."""
+    passages = si.table(spark, sf, "benchmark").select(F.col("item_id").cast("bigint").alias("ord"), F.col("text").alias("query"))
+    starts = si.table(spark, sf, "conversations").select(
+        (F.col("conv_id") * 1000 + F.col("turn") + FIRST_TURN).cast("bigint").alias("ord"), F.left("text", F.lit(TURN_CHARS)).alias("query"))
+    listed = si.table(spark, sf, "documents").select(F.col("text").alias("query"))
+    return lk.append_numbered(listed, passages.unionByName(starts), "ord", "contains")
+
+
 def numbered_list(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as the list, one entry removed by its number."""
     entries = si.table(spark, sf, "documents").select(
@@ -98,6 +109,7 @@ QUERIES = {
     "q_paginate": paginate,
     "q_recent_first": recent_first,
     "q_append_numbered": append_numbered,
+    "q_append_contained": append_contained,
     "q_numbered_list": numbered_list,
 }
 
@@ -142,6 +154,15 @@ ORACLES = {
         SELECT (SELECT count(*) FROM benchmark) + row_number() OVER (ORDER BY ord) - 1 AS no, query FROM (
           SELECT text AS query, min(doc_id) AS ord FROM documents
           WHERE text NOT IN (SELECT text FROM benchmark) GROUP BY text)""",
+    "q_append_contained": f"""
+        WITH new AS (
+          SELECT query, min(ord) AS ord FROM (
+            SELECT item_id AS ord, text AS query FROM benchmark
+            UNION ALL SELECT conv_id * 1000 + turn + {FIRST_TURN}, left(text, {TURN_CHARS}) FROM conversations)
+          GROUP BY query)
+        SELECT (SELECT count(*) FROM documents) + row_number() OVER (ORDER BY ord) - 1 AS no, query FROM new n
+        WHERE query <> '' AND NOT EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, n.query))
+          AND NOT EXISTS (SELECT 1 FROM new e WHERE e.ord < n.ord AND contains(e.query, n.query))""",
     "q_numbered_list": """
         SELECT row_number() OVER (ORDER BY doc_id) AS place, source AS query FROM documents WHERE doc_id <> 7""",
 }
