@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -54,6 +54,13 @@ NAMES = {
           "share sharing social related recommended widget toolbar pagination pager copyright legal disclaimer form",
     3.0: "article content story post entry main text body maintext articlebody",
 }
+#: Words that make a class name say what a page or layout has, not what the element is.
+LAYOUT = frozenset("has with without no is not show hide hidden layout page wrapper container grid row col columns site theme".split())
+#: Names and tags whose elements are boilerplate however much they hold: what readers write, and what lies above the page.
+ALWAYS = frozenset("comment comments reply replies disqus respond cookie cookies consent gdpr advert adverts advertisement "
+                   "ad ads adsense popup overlay".split())
+#: An element named like boilerplate is a wrapper if it has this share of the page's unlinked text, and content inside.
+WRAPPER_SHARE = 0.5
 NAME_WEIGHTS = {name: weight for weight, names in NAMES.items() for name in names.split()}
 #: Ties: between neighbours, and between neighbours under one parent.
 NEAR, SIBLINGS = 1.2, 1.0
@@ -68,6 +75,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in
 _UNQUOTED_END = re.compile(r"=\s*[^\s\"'>][^\s\"'>]*/\Z")
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
+_CAPITAL = re.compile(r"([a-z])([A-Z])")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _RIGHTS = re.compile(r"©|\(c\)\s*\d{4}|all rights reserved|copyright", re.I)
 
@@ -80,10 +88,14 @@ class Element:
     depth: int
     parent: Element | None
     content: float
-    boilerplate: float
+    own: float
+    always: bool
     links: int
     hidden: bool
     foreign: bool
+    boilerplate: float = 0.0
+    size: int = 0
+    holds: bool = False
 
 
 @dataclass(slots=True)
@@ -96,25 +108,54 @@ class Block:
     text: str = ""
 
 
-def _name_weight(tag: str, attributes: str, inside: Element) -> float:
-    weight = REGIONS.get(tag, 0.0)
+def _said(tag: str, value: str) -> list[str]:
+    """The words of the names of a class or id; names of what a layout has say nothing."""
+    words: list[str] = []
+    for name in _CAPITAL.sub(r"\1-\2", value).lower().split():
+        parts = _WORD.findall(name)
+        if tag not in ("body", "html") and not LAYOUT.intersection(parts):
+            words += [w for w in parts if w in NAME_WEIGHTS]
+    return words
+
+
+def _name_weight(tag: str, attributes: str, inside: Element) -> tuple[float, bool]:
+    """What an element's tag and names say, and whether it is boilerplate whatever it holds."""
+    weight, always = REGIONS.get(tag, 0.0), False
     if tag == "header" and inside.content > 0:
         weight = -1.0  # an article's own head
     for name, a, b, c in _NAMED.findall(attributes) if "=" in attributes else ():
-        value = (a or b or c).lower()
+        value = a or b or c
         if name.lower() == "role":
-            weight = min(weight, ROLES.get(value, weight)) if ROLES.get(value, 0.0) < 0 else weight + ROLES.get(value, 0.0)
+            role = ROLES.get(value.lower(), 0.0)
+            weight = min(weight, role) if role < 0 else weight + role
             continue
-        said = [NAME_WEIGHTS[w] for w in _WORD.findall(value) if w in NAME_WEIGHTS]
-        if said and tag not in ("body", "html"):
+        words = _said(tag, value)
+        said = [NAME_WEIGHTS[w] for w in words]
+        if said:
             weight = min(weight, min(said)) if min(said) < 0 else weight + max(said)
-    return weight
+            always = always or not ALWAYS.isdisjoint(words)
+    return weight, always
+
+
+def _weigh(elements: list[Element], blocks: list[Block]) -> None:
+    """What ancestors say, once it is known what they hold. ``elements``: parents before children."""
+    for block in blocks:
+        block.parent.size += max(0, len(block.text) - block.linked)
+        block.parent.holds = block.parent.holds or block.parent.tag == "h1"
+    for e in reversed(elements[1:]):
+        e.holds = not e.always and (e.holds or (e.own > 0 and e.size > 0))
+        e.parent.size += e.size
+        e.parent.holds = e.parent.holds or e.holds
+    for e in elements[1:]:
+        wraps = e.own < 0 and not e.always and e.holds and e.size > WRAPPER_SHARE * elements[0].size
+        e.boilerplate = e.parent.boilerplate if wraps else min(e.parent.boilerplate, e.own)
 
 
 def parse_blocks(source: str) -> list[Block]:
     """The blocks with text, in page order. Broken markup is read as far as it goes."""
-    top = Element("", 0, None, 0.0, 0.0, 0, False, False)
+    top = Element("", 0, None, 0.0, 0.0, False, 0, False, False)
     here, blocks, block = top, [], None
+    elements, open_tags = [top], Counter()
 
     def end() -> None:
         nonlocal block
@@ -126,13 +167,21 @@ def parse_blocks(source: str) -> list[Block]:
 
     def close(tags: tuple[str, ...], stop: frozenset[str] = frozenset()) -> None:
         nonlocal here
+        if not any(open_tags[t] for t in tags):
+            return
         found = here
         while found.parent is not None and found.tag not in tags:
             if found.tag in stop:
                 return
             found = found.parent
         if found.parent is not None:
-            here = found.parent
+            leave(found.parent)
+
+    def leave(parent: Element) -> None:
+        nonlocal here
+        while here is not parent:
+            open_tags[here.tag] -= 1
+            here = here.parent
 
     at = 0
     while at < len(source):
@@ -162,7 +211,7 @@ def parse_blocks(source: str) -> list[Block]:
         attributes = token[3] or token[6] or ""
         if here.foreign and tag in BREAKOUT:
             while here.foreign:
-                here = here.parent
+                leave(here.parent)
         closed = attributes.endswith("/") and (here.foreign or tag in FOREIGN) and not _UNQUOTED_END.search(attributes)
         if closed:
             continue
@@ -179,13 +228,16 @@ def parse_blocks(source: str) -> list[Block]:
         if tag in CLOSES:
             for ends in CLOSES[tag]:
                 close((ends,), (BLOCKS | SILENT) - {"p", ends})
-        weight = 0.0 if here.hidden else _name_weight(tag, attributes, here)
+        weight, always = (0.0, False) if here.hidden else _name_weight(tag, attributes, here)
         here = Element(
-            tag, here.depth + 1, here, max(here.content, weight), min(here.boilerplate, weight), here.links + (tag == "a"),
+            tag, here.depth + 1, here, max(here.content, weight), weight, always, here.links + (tag == "a"),
             here.hidden or tag in SILENT or bool(attributes and _HIDDEN.search(attributes)),
             tag in FOREIGN or (here.foreign and tag not in INTEGRATION),
         )
+        elements.append(here)
+        open_tags[tag] += 1
     end()
+    _weigh(elements, blocks)
     return blocks
 
 
@@ -236,7 +288,8 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
     """Which nodes are on the source's side of the cheapest cut.
 
     Cutting a node off from its terminal costs the log odds it has for it; what both terminals
-    would cost alike is left out beforehand. Flow goes along shortest paths until none is left.
+    would cost alike is left out beforehand. Flow goes in phases: distances from all nodes with flow to
+    give, then as much as goes along shortest paths, each arc looked at once a phase.
     """
     excess = list(odds)
     near: list[dict[int, float]] = [{} for _ in odds]
@@ -245,30 +298,45 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
         near[b][a] = near[b].get(a, 0.0) + weight
     tiny = 1e-9
     while True:
-        came: dict[int, int] = {i: -1 for i, e in enumerate(excess) if e > tiny}
-        queue, found = deque(came), -1
-        while queue and found < 0:
+        givers = [i for i, e in enumerate(excess) if e > tiny]
+        far, queue, reached = dict.fromkeys(givers, 0), deque(givers), False
+        while queue:
             a = queue.popleft()
             for b, room in near[a].items():
-                if room > tiny and b not in came:
-                    came[b] = a
-                    if excess[b] < -tiny:
-                        found = b
-                        break
+                if room > tiny and b not in far:
+                    far[b] = far[a] + 1
+                    reached = reached or excess[b] < -tiny
                     queue.append(b)
-        if found < 0:
-            return [i in came for i in range(len(odds))]
-        flow, b = -excess[found], found
-        while came[b] >= 0:
-            flow, b = min(flow, near[came[b]][b]), came[b]
-        flow = min(flow, excess[b])
-        excess[b] -= flow
-        excess[found] += flow
-        b = found
-        while came[b] >= 0:
-            near[came[b]][b] -= flow
-            near[b][came[b]] += flow
-            b = came[b]
+        if not reached:
+            return [i in far for i in range(len(odds))]
+        arcs: dict[int, tuple[int, ...]] = {}
+        looked: dict[int, int] = {}
+        for giver in givers:
+            path = [giver]
+            while path and excess[giver] > tiny:
+                a = path[-1]
+                if excess[a] < -tiny:
+                    flow = min(-excess[a], excess[giver], *(near[x][y] for x, y in zip(path, path[1:])))
+                    excess[a] += flow
+                    excess[giver] -= flow
+                    full = len(path)
+                    for i, (x, y) in enumerate(zip(path, path[1:]), 1):
+                        near[x][y] -= flow
+                        near[y][x] += flow
+                        if near[x][y] <= tiny:
+                            full = min(full, i)
+                    del path[full:]
+                    continue
+                ends = arcs.get(a) or arcs.setdefault(a, tuple(near[a]))
+                at = looked.get(a, 0)
+                while at < len(ends) and not (near[a][ends[at]] > tiny and far.get(ends[at]) == far[a] + 1):
+                    at += 1
+                looked[a] = at
+                if at < len(ends):
+                    path.append(ends[at])
+                else:
+                    far[a] = -1
+                    path.pop()
 
 
 def main_text(source: str | None) -> str:
