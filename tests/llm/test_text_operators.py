@@ -167,7 +167,6 @@ def test_packing_is_gapless_and_certified(spark):
     texts = [None, "", "<|endoftext|>", *[prose(i, 10 + 37 * i % 1700) for i in range(60)], prose(99, 9000)]
     rows = packing.pack_documents(documents(spark, texts), VOCABULARY).collect()
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
     for r in rows:
         by_doc[r["doc_id"]].append(r)
@@ -223,3 +222,15 @@ def test_rare_stretches_find_room_in_the_toxic_dictionary():
     # The passage lies at another offset in a larger dictionary, which may change a byte.
     assert toxicity.evidence(model, "nothing of the kind in here") <= 1
     assert all(toxicity.evidence(model, w) >= 5 for w in words[::400])
+
+
+def test_added_tokens_are_those_of_the_file(spark):
+    """Ids are the ones the tokenizer gives by default, also where a text holds the string of an added token."""
+    from tokenizers import Tokenizer
+
+    texts = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> x <|endoftext|><|endoftext|>", "<|endoftext", "plain text", "", None]
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    rows = packing.pack_documents(documents(spark, texts), VOCABULARY).collect()
+    for r in rows:
+        ids = tokenizer.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids + [0]
+        assert (r["length"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))

@@ -12,6 +12,8 @@ from __future__ import annotations
 import functools
 import math
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.pieces import splitter
+from wordloom.llm.shingles import slices
 from wordloom.llm.tables import narrow
 from wordloom.session import staged
 
@@ -41,25 +44,32 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    return tokenizer, {}
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    return tokenizer, re.compile("|".join(map(re.escape, added)) or r"(?!)").search, {}
 
 
 def _encode_batch(path: str, texts: list[str]) -> list[bytes]:
-    """The ids of each text; only pieces that this process has not met go to the tokenizer."""
-    tokenizer, known = _tokenizer(path)
+    """The ids of each text; only pieces that this process has not met go to the tokenizer.
+
+    Strings of added tokens are these tokens, as the file says; a text that holds one is encoded as a whole.
+    """
+    tokenizer, added, known = _tokenizer(path)
     split = splitter()
+    pieces = [None if added(text) else split(text) for text in texts]
+    new = set().union(*filter(None, pieces)).difference(known)
+    if len(known) + len(new) > KEPT_PIECES:
+        known.clear()
+        new = set().union(*filter(None, pieces))
+    listed = list(new)
+    for p, e in zip(listed, tokenizer.encode_batch_fast(listed, add_special_tokens=False)):
+        known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
     out = []
-    for text in texts:
-        pieces = split(text)
-        new = {p for p in pieces if p not in known}
-        if new:
-            if len(known) + len(new) > KEPT_PIECES:
-                known.clear()
-                new = set(pieces)
-            for p, e in zip(new, tokenizer.encode_batch_fast(list(new), add_special_tokens=False)):
-                known[p] = np.array(e.ids, "<u4").tobytes()
-        out.append(b"".join(map(known.__getitem__, pieces)))
+    for text, parts in zip(texts, pieces):
+        if parts is None:
+            ids = tokenizer.encode(text, add_special_tokens=False).ids
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        else:
+            out.append(b"".join(map(known.__getitem__, parts)))
     return out
 
 
@@ -79,7 +89,7 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, key:
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = END_ID.to_bytes(4, "little")
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             rows, numbers = [], []
             for row, ids in enumerate(_encode_batch(path, batch["text"].to_pylist())):
                 for number, (start, length, part) in enumerate(cut(ids + end, capacity)):
