@@ -9,6 +9,7 @@ from wordloom.operators import analytics as an
 from wordloom.operators import lexicon as lx
 from wordloom.operators import textprep as tp
 from wordloom.operators.tagging import vote_per_sentence
+from wordloom.operators import stemming as st
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
 
@@ -55,6 +56,16 @@ def morphology(spark: SparkSession, sf: str) -> DataFrame:
     return an.morphology(stems.select("word", F.col("base").alias("stem")))
 
 
+def base_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Base forms of the words of documents and turns; the words of documents are the dictionary."""
+    known = si.counts(spark, sf).select("word")
+    joined = si.table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("a"))
+    made = known.select(F.concat(F.lit("me"), "word", F.lit("kan")).alias("word")).unionByName(
+        si.counts(spark, sf, "conversations").select("word")).unionByName(
+        joined.where("a != ''").select(F.concat("a", F.lit("-"), "a", F.lit("nya")).alias("word")))
+    return st.base_forms(made, known)
+
+
 def prefix_freq(spark: SparkSession, sf: str) -> DataFrame:
     """Prefixes of the words whose stem is the word without its first two letters."""
     words = si.counts(spark, sf).select("word").where(F.length("word") > 2)
@@ -131,6 +142,7 @@ QUERIES = {
     "q_top_words": top_words,
     "q_top_words_nostop": top_words_nostop,
     "q_morphology": morphology,
+    "q_base_forms": base_forms,
     "q_prefix_freq": prefix_freq,
     "q_suffix_freq": suffix_freq,
     "q_length_pairs": length_pairs,
@@ -175,6 +187,36 @@ ORACLES = {
         SELECT word, word_count AS count FROM pool WHERE word NOT IN (SELECT word FROM stop)
         ORDER BY word_count DESC, word LIMIT 15""",
     "q_morphology": with_ctes("morph") + "SELECT word, stem, prefix, suffix, core_word FROM morph",
+    "q_base_forms": with_ctes("wc", "cwc") + f"""
+        , prefixes(prefix, "before", lost, kind, n) AS (VALUES {", ".join(map(str, st.prefix_rules()))})
+        , suffixes(suffix, forms, m) AS (VALUES {", ".join(map(str, st.suffix_rules()))})
+        , words AS (
+          SELECT 'me' || word || 'kan' AS word FROM wc UNION SELECT word FROM cwc
+          UNION SELECT a || '-' || a || 'nya'
+          FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS a FROM benchmark) WHERE a <> '')
+        , parts AS (
+          SELECT word, string_split(word, '-') AS h,
+                 len(string_split(word, '-')) = 2 AND word NOT LIKE '-%' AND word NOT LIKE '%-' AS twice FROM words)
+        , forms AS (
+          SELECT word, 0 AS half, word AS form, 0 AS halves FROM parts
+          UNION SELECT word, 1, h[1], CASE WHEN h[1] = h[2] THEN 1 ELSE 2 END FROM parts WHERE twice
+          UNION SELECT word, 2, h[2], 2 FROM parts WHERE twice AND h[1] <> h[2])
+        , cut AS (
+          SELECT word, half, halves, lost, "before", n + m AS affixes,
+                 substr(form, length(prefix) + 1, length(form) - length(prefix) - length(suffix)) AS bare
+          FROM forms JOIN prefixes ON starts_with(form, prefix) JOIN suffixes ON ends_with(form, suffix)
+          WHERE length(form) - length(prefix) - length(suffix) >= {st.SHORTEST}
+            AND (kind, forms) NOT IN ({", ".join(map(str, st.NEVER))}))
+        , stems AS (
+          SELECT word, half, halves, lost || bare AS stem, min(affixes) AS affixes FROM cut
+          WHERE "before" = '' OR contains("before", left(bare, 1)) GROUP BY ALL)
+        , ways AS (
+          SELECT word, stem, affixes FROM stems WHERE half = 0
+          UNION ALL SELECT word, stem, sum(affixes) + 1 FROM stems WHERE half > 0
+          GROUP BY word, stem, halves HAVING count(*) = halves)
+        SELECT w.word, b.base FROM words w LEFT JOIN (
+          SELECT word, arg_min(stem, (affixes, -length(stem), stem)) AS base FROM ways
+          WHERE stem IN (SELECT word FROM wc) GROUP BY word) b ON b.word = w.word""",
     "q_prefix_freq": with_ctes("wc", "dict") + """
         SELECT prefix, count(*) AS total_count FROM (
           SELECT left(word, instr(word, stem) - 1) AS prefix
