@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wordloom.functions.phrases import normalize_emotion, sentiment_code
 from wordloom.operators import analytics as an
 from wordloom.operators import bayes as nb
+from wordloom.operators.bayes_ledger import BayesLedger
 from wordloom.operators import evaluate as ev
 from wordloom.operators.features import binary_terms, fit_tfidf
 from wordloom.operators.tagging import vote_per_sentence
@@ -194,3 +195,35 @@ def test_report(spark):
     assert report["weighted avg"][1] == pytest.approx(5 / 8)
     matrix = [tuple(r) for r in ev.confusion_matrix(counts, ["a", "b", "c", "d"]).collect()]
     assert matrix == [("a", 3, 1, 0, 0), ("b", 0, 2, 0, 1), ("c", 1, 0, 0, 0), ("d", 0, 0, 0, 0)]
+
+
+def test_bayes_in_batches_is_bayes_on_all(spark, folder):
+    """Three folded batches give the model of all documents; a replaced or withdrawn batch changes exactly its part."""
+    rows = [(i, f"w{i % 7} w{i % 3} common", "abc"[i % 3] if i % 11 else "other") for i in range(60)]
+
+    def learned(docs):
+        return nb.train(docs, binary_terms(docs, "id", "text", "label"), "label", "abc")
+
+    def told(model):
+        table = {(r.term, r.label): (r.weight, round(r.log_prob, 9)) for r in nb.term_table(model).collect()}
+        return table, {r.label_no: (r.docs, r.weight, r.vocabulary) for r in model.classes.collect()}
+
+    frame = lambda keep: spark.createDataFrame([r for r in rows if keep(r[0])], "id INT, text STRING, label STRING")
+    ledger = BayesLedger(spark, folder, "abc")
+
+    def learn(batch, docs):
+        ledger.learn(batch, docs, binary_terms(docs, "id", "text", "label"), "label")
+
+    assert told(ledger.model()) == ({}, {})
+    for batch in (2, 0, 1):
+        learn(batch, frame(lambda i, b=batch: i % 3 == b))
+    assert told(ledger.model()) == told(learned(frame(lambda i: True)))
+    learn(1, frame(lambda i: i % 3 == 1 and i > 30))
+    assert told(ledger.model()) == told(learned(frame(lambda i: i % 3 != 1 or i > 30)))
+    ledger.withdraw(1)
+    ledger.withdraw("never")
+    want = learned(frame(lambda i: i % 3 != 1))
+    assert told(ledger.model()) == told(want)
+    docs = frame(lambda i: True)
+    got = nb.predict(ledger.model(), docs, binary_terms(docs, "id", "text"), "id").collect()
+    assert sorted(got) == sorted(nb.predict(want, docs, binary_terms(docs, "id", "text"), "id").collect())

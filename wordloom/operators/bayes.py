@@ -46,20 +46,24 @@ def train(docs: DataFrame, terms: DataFrame, label: str, labels: Sequence) -> Ba
         F.sum(F.when(F.col(label) == name, F.col("x")).otherwise(0.0)).alias(f"w{i}")
         for i, name in enumerate(labels)
     ]
-    known = staged(terms.where(F.col(label).isin(*labels)).groupBy("term").agg(
-        F.count(F.lit(1)).alias("hits"), *per_class
-    ), "terms")
+    known = terms.where(F.col(label).isin(*labels)).groupBy("term").agg(F.count(F.lit(1)).alias("hits"), *per_class)
     number = F.array_position(F.array(*[F.lit(n) for n in labels]), F.col(label)) - 1
     counted = docs.where(F.col(label).isin(*labels)).groupBy(number.cast("int").alias("label_no")).agg(
         F.count(F.lit(1)).alias("docs")
     )
+    return from_counts(labels, known, counted)
+
+
+def from_counts(labels: tuple, terms: DataFrame, docs: DataFrame) -> BayesModel:
+    """The model of counted terms ``term, hits, w0, w1 ...``, which are stored, and documents ``label_no, docs``."""
+    known = staged(terms, "terms")
     sums = known.agg(
         F.struct(
             F.array(*[F.sum(f"w{i}") for i in range(len(labels))]).alias("weight"),
             F.count(F.lit(1)).alias("vocabulary"),
         )
     ).scalar()
-    classes = counted.select("label_no", "docs", sums.alias("s")).select(
+    classes = docs.select("label_no", "docs", sums.alias("s")).select(
         "label_no", "docs", F.get("s.weight", F.col("label_no")).alias("weight"), "s.vocabulary"
     )
     return BayesModel(labels, known, classes)

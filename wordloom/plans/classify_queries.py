@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from wordloom.functions.phrases import TEST_EMOTIONS, normalize_emotion, sentiment_code
 from wordloom.operators import bayes as nb
 from wordloom.operators import evaluate as ev
+from wordloom.operators.bayes_ledger import BayesLedger
 from wordloom.operators.features import TfIdf, binary_terms, fit_tfidf
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
-from wordloom.session import staged
+from wordloom.session import staged, work_folder
 
 SENTIMENTS = ("negative", "neutral", "positive")
 LANGUAGES = ("de", "en", "es", "fr")
@@ -39,6 +40,18 @@ def nb_train(spark: SparkSession, sf: str) -> DataFrame:
     return terms.withColumn("log_prob", F.round("log_prob", 6))
 
 
+def nb_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The same model learned in three batches, one of them first in a wrong and then in its right version."""
+    docs = si.labelled_documents(spark, sf)
+    terms = binary_terms(docs, "doc_id", "text", "label")
+    ledger = BayesLedger(spark, work_folder(spark, "bayes"), SENTIMENTS)
+    part = F.pmod("doc_id", F.lit(3))
+    ledger.learn(1, docs, terms, "label")
+    for i in range(3):
+        ledger.learn(i, docs.where(part == i), terms.where(part == i), "label")
+    return nb.term_table(_stored(ledger.model())).withColumn("log_prob", F.round("log_prob", 6))
+
+
 def nb_predict(spark: SparkSession, sf: str) -> DataFrame:
     docs = si.table(spark, sf, "documents")
     terms = binary_terms(docs, "doc_id", "text")
@@ -117,6 +130,7 @@ def clean_evaluation(rows: DataFrame) -> DataFrame:
 
 QUERIES = {
     "q_nb_train": nb_train,
+    "q_nb_batches": nb_batches,
     "q_nb_predict": nb_predict,
     "q_label_encode": label_encode,
     "q_tfidf": tfidf,
@@ -225,3 +239,4 @@ ORACLES = {
                  CASE length(text) % 6 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN -1 WHEN 5 THEN 2 END AS sentiment_label
           FROM conversations) WHERE sentiment_label IS NOT NULL""",
 }
+ORACLES["q_nb_batches"] = ORACLES["q_nb_train"]
