@@ -250,3 +250,30 @@ def test_pages_of_ten(spark):
     empty = df.withColumn("id", F.when(F.col("id") < 8, F.col("id")))
     assert sorted(r.no for r in lk.list_pages(empty, "id").collect()) == list(range(1, 26))
     assert len(rows[10].query) == 100 and rows[11].query == "x" * 100 + "..."
+
+
+def test_a_stream_ends_by_itself(spark, folder):
+    """After so many messages, exactly, and after a time without any; each can be gone on from."""
+    def send(first, last):
+        rows = [("t", 0, i, datetime(2024, 1, 1), f"v{i}") for i in range(first, last)]
+        spark.createDataFrame(rows, MESSAGE).coalesce(1).write.mode("append").json(f"{folder}/log")
+
+    def offsets(records=None):
+        return [r.offset for r in jobs.read_consumed(spark, f"{folder}/rows", MESSAGE, records).orderBy("offset").collect()]
+
+    def take(**ends):
+        log = ms.stream_log(spark, "json", f"{folder}/log", maxFilesPerTrigger="1")
+        return jobs.consume(log, f"{folder}/rows", f"{folder}/checkpoint", every="0 seconds", **ends)
+
+    for first in (0, 10, 20, 30):
+        send(first, first + 10)
+    assert offsets() == []
+    assert take(records=15) == 15 and offsets(15) == list(range(15))
+    assert len(offsets()) >= 20  # the batch that was cut is kept whole
+    assert take(records=15) == 15  # nothing is left to do
+    assert take(records=33) == 33 and offsets(33) == list(range(33))
+    assert take(idle=2) == 40 and offsets() == list(range(40))
+    send(40, 45)
+    assert take(records=1000, idle=2) == 45 and offsets(1000) == list(range(45))
+    with pytest.raises(ValueError):
+        take()

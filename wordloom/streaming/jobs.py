@@ -7,12 +7,15 @@ is stored with its checkpoint. Readers fold the batches of the current stream.
 
 from __future__ import annotations
 
+import threading
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from wordloom.operators.lexicon import fold_ledger
 from wordloom.operators.records import first_per_key
@@ -116,6 +119,82 @@ def fold_latest(spark: SparkSession, table: str, schema: str) -> None:
     _fold(spark, table, schema, latest_per_topic)
 
 
+class _Ending(StreamingQueryListener):
+    """Ends a query when its sink has enough rows, or when no row came for a while."""
+
+    def __init__(self, clock=time.monotonic):
+        self.clock, self.run, self.last, self.enough = clock, None, clock(), threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.runId) == self.run and event.progress.numInputRows:
+            self.last = self.clock()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def consume(log: DataFrame, table: str, checkpoint: str, records: int | None = None, idle: float | None = None,
+            every: str = "1 second") -> int:
+    """Read a log until the table has ``records`` messages, or until none came for ``idle`` seconds.
+
+    Returns how many the table then has for a reader (``read_consumed``). Batches are written whole, and the
+    reader cuts inside the last one, so a later call that asks for more goes on exactly where this one ended.
+    """
+    if records is None and idle is None:
+        raise ValueError("say records or idle, or the stream never ends")
+    spark = log.sparkSession
+    folder, ending = _lineage(spark, table, checkpoint), _Ending()
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, f"{folder}/batches", batch_id)
+        if records is not None and _taken(spark, folder, batch.schema) >= records:
+            ending.enough.set()
+
+    if records is not None and _taken(spark, folder, log.schema) >= records:
+        return records
+    spark.streams.addListener(ending)
+    query = _start(log, "consume", sink, checkpoint, every)
+    ending.run = str(query.runId)
+    ending.last = ending.clock()
+    try:
+        while query.isActive and not ending.enough.wait(0.2):
+            if idle is not None and ending.clock() - ending.last > idle:
+                break
+        if query.isActive:
+            query.stop()
+        elif query.exception():
+            raise query.exception()
+    finally:
+        spark.streams.removeListener(ending)
+    taken = _taken(spark, folder, log.schema)
+    return taken if records is None else min(taken, records)
+
+
+def _taken(spark: SparkSession, folder: str, schema: StructType) -> int:
+    return read_batches(spark, f"{folder}/batches", _ddl(schema)).count()
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+
+
+def read_consumed(spark: SparkSession, table: str, schema: str, records: int | None = None) -> DataFrame:
+    """What ``consume`` has taken: all, or the first ``records`` by batch, topic, partition and offset."""
+    folder = _current(spark, table)
+    if folder is None:
+        return spark.createDataFrame([], schema)
+    rows = read_batches(spark, f"{folder}/batches", schema)
+    if records is not None:
+        rows = rows.orderBy(F.col("batch_id").cast("bigint"), "topic", "partition", "offset").limit(records)
+    return rows.drop("batch_id")
+
+
 COUNTS = "word STRING, count BIGINT"
 
 
