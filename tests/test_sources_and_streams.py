@@ -277,3 +277,18 @@ def test_a_stream_ends_by_itself(spark, folder):
     assert take(records=1000, idle=2) == 45 and offsets(1000) == list(range(45))
     with pytest.raises(ValueError):
         take()
+
+
+def test_stored_proverbs_are_read_by_half(spark, folder):
+    proverbs = spark.createDataFrame([("ada gula", "m1"), ("nasi", "m2"), ("9x", "m3"), ("Buah", "m4")], "peribahasa STRING, meaning STRING")
+    lk.store_proverbs(proverbs, f"{folder}/p")
+    ask = lambda *names: spark.createDataFrame([(n,) for n in names], "peribahasa STRING")
+    early = lk.stored_proverbs(spark, f"{folder}/p", ask("ada gula", "cuba", "9x"))
+    assert sorted(r.peribahasa for r in early.collect()) == ["Buah", "ada gula"]
+    plan = early._jdf.queryExecution().executedPlan().toString()
+    assert "A-M" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+    assert "N-Z" not in plan
+    for names in (("ada gula", "nasi", "zz", "9x"), ("zz",), ("9x",), ()):
+        asked = ask(*names)
+        got = lk.find_proverbs(asked, lk.stored_proverbs(spark, f"{folder}/p", asked)).collect()
+        assert sorted(got) == sorted(lk.find_proverbs(asked, proverbs).collect())

@@ -13,6 +13,7 @@ from wordloom.operators.lexicon import update_where
 from wordloom.operators.numbering import number_rows
 from wordloom.operators.records import first_per_key
 from wordloom.session import staged
+from wordloom.sources.schemas import PROVERB
 
 # The messages for a proverb that is not there, and for a first letter that is none.
 NOT_FOUND = "Proverb not found."
@@ -43,6 +44,17 @@ def with_initial(proverbs: DataFrame) -> DataFrame:
     )
 
 
+def store_proverbs(proverbs: DataFrame, path: str) -> None:
+    """The table by halves of the alphabet, a folder each."""
+    with_initial(proverbs).select("peribahasa", "meaning", "half").write.mode("overwrite").partitionBy("half").parquet(path)
+
+
+def stored_proverbs(spark: SparkSession, path: str, asked: DataFrame) -> DataFrame:
+    """The halves of a stored table that the asked proverbs belong to; the others are not read."""
+    halves = [r["half"] for r in with_initial(asked).select("half").distinct().collect() if r["half"]]  # two at most
+    return spark.read.schema(f"{PROVERB}, half STRING").parquet(path).where(F.col("half").isin(halves)).drop("half")
+
+
 def find_proverbs(asked: DataFrame, proverbs: DataFrame) -> DataFrame:
     """First meaning per asked proverb, or why there is none."""
     halves = with_initial(asked)
