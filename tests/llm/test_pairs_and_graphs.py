@@ -434,3 +434,14 @@ def test_long_and_deep_pages_take_linear_time():
     deep = "<div>" * 20_000 + "</b>" * 20_000 + "Some text, at last. It is content, one would say."
     assert html_cut.main_text(deep).startswith("Some text")
     assert time.perf_counter() - start < 10
+
+
+def test_links_of_a_sitemap_are_told_apart_in_linear_time(spark):
+    """40,000 links of one page, each twice; hosts that differ in case are one."""
+    links = "".join(f'<a href="http://H{i % 7}.org/p{i}?q">x</a>' for i in range(20_000)) * 2 + '<a href="https://h1.ORG">y</a>'
+    pages = spark.createDataFrame([(1, "http://a.org/x", links), (2, "b", ""), (3, None, None)], "page_id bigint, url string, html string")
+    start = time.perf_counter()
+    (row,) = host_trust.linked_urls(pages).collect()
+    assert time.perf_counter() - start < 60
+    assert row["source"] == "a.org" and len(row["urls"]) == 20_001
+    assert {(u.host, u.path) for u in row["urls"]} == {(f"h{i % 7}.org", f"/p{i}") for i in range(20_000)} | {("h1.org", "")}
