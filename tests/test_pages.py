@@ -1,7 +1,12 @@
 """Extraction from pages, times, senses and phrases."""
 
+import random
+import re
+import time
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from wordloom.functions import html as hx
@@ -154,6 +159,35 @@ def edits(a, b):
     return row[-1]
 
 
+def test_abbreviations_see_what_earlier_rules_wrote(spark):
+    table = {"a": "b c", "b": "c$1", "c": "é x", "x_1": ""}
+    made = random.Random(3)
+    parts = ["a", "B", "c", "x", "x_1", "  ", "-", "é", ".", "9"]
+    texts = ["".join(made.choices(parts, k=made.randint(0, 12))) for _ in range(500)] + [None]
+
+    def plain(text):
+        text = re.sub(r"\s+", " ", text.lower()).strip()
+        for short, full in table.items():
+            text = re.sub(rf"(?<!\w){short}(?!\w)", lambda _: full, text)
+        return text
+
+    df = spark.createDataFrame([(t,) for t in texts], "text STRING")
+    for row in df.select("text", expand_abbreviations(F.col("text"), table).alias("got")).collect():
+        assert row.got == (None if row.text is None else plain(row.text))
+    with pytest.raises(ValueError, match="not a word"):
+        expand_abbreviations(F.col("text"), {"k.p": "x"})
+
+
+def test_deep_elements_take_linear_time(spark):
+    n = 20_000
+    page = '<div class="m">x' + "<div>y" * n + "</div>" * n + "z</div>w"
+    df = spark.createDataFrame([(page,), ('<div class="m">a<div>b',), ("<p>",), (None,)], "html STRING")
+    start = time.monotonic()
+    got = [r[0] for r in df.select(hx.element(F.col("html"), "div", "m")).collect()]
+    assert got == ["x" + "<div>y" * n + "</div>" * n + "z", "a<div>b", "", ""]
+    assert time.monotonic() - start < 10
+
+
 def test_spelling_against_brute_force(spark):
     import random
 

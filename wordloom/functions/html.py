@@ -7,6 +7,7 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from wordloom.functions.arrays import after, bound
 from wordloom.functions.phrases import WIDE_SPACE, collapse_spaces, trim_all
 
 # The named character references of the HTML standard, from the table of Python's library.
@@ -98,26 +99,27 @@ def element(html: Column, tag: str, css_class: str | None = None) -> Column:
     """Inner HTML of the first such element, '' where there is none.
 
     Elements of the same name inside it are followed to their own end: the rest of the
-    page is cut before each opening and closing tag and folded with a depth counter.
+    page is cut before each opening and closing tag and folded with a depth counter, which
+    gives the number of pieces inside. The fold carries numbers only, so it is linear.
     """
     rest = F.get(F.split(html, opening(tag, css_class), 2), F.lit(1))
     pieces = F.split(rest, rf"(?i)(?=<{tag}[\s>]|</{tag}\s*>)")
-    start = F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"))
 
     def step(state: Column, piece: Column) -> Column:
         opens = F.rlike(piece, F.lit(rf"(?i)^<{tag}[\s>]")).cast("int")
         closes = F.rlike(piece, F.lit(rf"(?i)^</{tag}\s*>")).cast("int")
-        depth = state["depth"] + opens - closes
-        return F.when(
-            state["depth"] > 0,
-            F.struct(
-                depth.alias("depth"),
-                F.when(depth > 0, F.array_append(state["kept"], piece))
-                .otherwise(state["kept"]).alias("kept"),
-            ),
-        ).otherwise(state)
-
-    inner = F.aggregate(pieces, start, step, lambda state: F.array_join(state["kept"], ""))
+        depth, at = state["depth"] + opens - closes, state["at"] + 1
+        ended = F.struct(depth.alias("depth"), at.alias("at"), F.when(depth <= 0, at).otherwise(0).alias("end"))
+        return F.when(state["end"] > 0, state).otherwise(ended)
+
+    def inside(pieces: Column) -> Column:
+        return F.aggregate(
+            pieces, start, step,
+            lambda state: F.when(state["end"] > 0, state["end"] - 1).otherwise(state["at"]),
+        )
+
+    inner = bound(pieces, lambda p: F.array_join(F.slice(p, 1, inside(p)), ""))
     return F.coalesce(inner, F.lit(""))
 
 
@@ -129,7 +131,7 @@ def drop_elements(html: Column, tag: str, css_class: str) -> Column:
 def paragraphs(html: Column) -> Column:
     """Non-empty paragraph texts in order; unclosed paragraphs end where the next starts."""
     pieces = F.split(without_scripts(html), r"(?i)<p(?:\s[^>]*)?>")
-    bodies = F.slice(pieces, 2, F.size(pieces))
+    bodies = after(pieces, 1)
     texts = F.transform(bodies, lambda p: text_of(F.split(p, "(?i)</p>|</article>|</div>")[0]))
     return F.filter(texts, lambda t: t != "")
 
@@ -147,24 +149,24 @@ def link_texts(html: Column) -> Column:
 def links_after_heading(html: Column, heading: str) -> Column:
     """Link texts between each bold ``heading`` and the next bold text."""
     parts = F.split(html, rf"(?is)<b(?:\s[^>]*)?>\s*{heading}\s*</b>")
-    sections = F.slice(parts, 2, F.size(parts))
+    sections = after(parts, 1)
     return F.flatten(F.transform(sections, lambda s: link_texts(F.split(s, r"(?i)<b[\s>]")[0])))
 
 
 def list_after_heading(html: Column, words: str) -> Column:
     """Items of the first ordered list after the first ``h2`` whose text has ``words``."""
     pieces = F.split(html, r"(?i)<h2(?:\s[^>]*)?>")
-    sections = F.slice(pieces, 2, F.size(pieces))
+    sections = after(pieces, 1)
     hit = F.array_position(
         F.transform(
             sections, lambda s: F.contains(text_of(F.split(s, "(?i)</h2>")[0]), F.lit(words))
         ),
         F.lit(True),
     )
-    rest = F.array_join(F.slice(sections, F.greatest(hit, F.lit(1)).cast("int"), F.size(sections)), " ")
+    rest = F.array_join(after(sections, F.greatest(hit, F.lit(1)).cast("int") - 1), " ")
     ordered = F.regexp_extract(rest, r"(?is)<ol(?:\s[^>]*)?>(.*?)</ol>", 1)
     items = F.split(ordered, r"(?i)<li(?:\s[^>]*)?>")
-    texts = F.transform(F.slice(items, 2, F.size(items)), text_of)
+    texts = F.transform(after(items, 1), text_of)
     return F.when(hit > 0, texts).otherwise(F.array().cast("array<string>"))
 
 
@@ -174,10 +176,10 @@ def table_rows(html: Column) -> Column:
 
     def rows_of(table: Column) -> Column:
         rows = F.split(F.split(table, "(?i)</table>")[0], r"(?i)<tr(?:\s[^>]*)?>")
-        return F.transform(F.slice(rows, 3, F.size(rows)), cells_of)
+        return F.transform(after(rows, 2), cells_of)
 
     def cells_of(row: Column) -> Column:
         cells = F.split(F.split(row, "(?i)</tr>")[0], r"(?i)<td(?:\s[^>]*)?>")
-        return F.transform(F.slice(cells, 2, F.size(cells)), lambda c: F.split(c, "(?i)</td>|<th")[0])
+        return F.transform(after(cells, 1), lambda c: F.split(c, "(?i)</td>|<th")[0])
 
-    return F.flatten(F.transform(F.slice(tables, 2, F.size(tables)), rows_of))
+    return F.flatten(F.transform(after(tables, 1), rows_of))

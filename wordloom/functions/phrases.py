@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -54,17 +55,44 @@ def normalize_phrase(text: Column) -> Column:
     return F.lower(collapse_spaces(words_only))
 
 
+def _closed(table: Mapping[str, str]) -> dict[str, str]:
+    """What each short form becomes when the later rules have read what it was replaced with."""
+    rules = [(re.compile(rf"(?<!\w){short}(?!\w)"), full) for short, full in table.items()]
+    closed = {}
+    for i, short in enumerate(table):
+        out = table[short]
+        for pattern, full in rules[i + 1:]:
+            out = pattern.sub(lambda _, full=full: full, out)
+        closed[short] = out
+    return closed
+
+
 def expand_abbreviations(text: Column, table: Mapping[str, str] = ABBREVIATIONS) -> Column:
     """Lower, collapse, then expand whole words in table order.
 
-    A later rule sees what an earlier one wrote. Word edges are Unicode-aware.
+    A later rule sees what an earlier one wrote. Word edges are Unicode-aware. Short forms are
+    words (letters, digits, low lines; anything else is an error), so replacing one moves no edge
+    of another: the rules are closed beforehand, the text is cut before each short form in one
+    pass, and each piece is looked up by its head.
     """
+    for short in table:
+        if not re.fullmatch(r"\w+", short):
+            raise ValueError(f"not a word: {short!r}")
     out = collapse_spaces(F.lower(text))
-    for short, full in table.items():
-        out = F.regexp_replace(
-            out, rf"(?<![\p{{L}}\p{{N}}_]){short}(?![\p{{L}}\p{{N}}_])", full
-        )
-    return out
+    if not table:
+        return out
+    any_short = "|".join(sorted(table, key=lambda short: (-len(short), short)))
+    whole = rf"(?:{any_short})(?![\p{{L}}\p{{N}}_])"
+    initials = "".join(sorted({short[0] for short in table}))
+    pieces = F.split(out, rf"(?=[{initials}])(?<![\p{{L}}\p{{N}}_])(?={whole})")
+    full = F.create_map(*[F.lit(x) for pair in _closed(table).items() for x in pair])
+
+    def expanded(piece: Column) -> Column:
+        head = F.regexp_extract(piece, rf"^{whole}", 0)
+        longer = F.concat(F.try_element_at(full, head), F.substr(piece, F.length(head) + 1))
+        return F.coalesce(longer, piece)
+
+    return F.array_join(F.transform(pieces, expanded), "")
 
 
 def short_description(description: Column) -> Column:

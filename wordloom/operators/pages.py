@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import html as hx
+from wordloom.functions.arrays import after
 from wordloom.functions.phrases import expand_abbreviations, normalize_phrase, trim_all
 from wordloom.functions.senses import numbered_senses
 
@@ -89,7 +90,7 @@ def listing_items(pages: DataFrame, layout: ListingLayout = ListingLayout()) ->
     From page 1 to 19 the first teaser repeats the last one of the page before.
     """
     parts = F.split("html", layout.teaser)
-    teasers = F.slice(parts, 2, F.size(parts))
+    teasers = after(parts, 1)
     return (
         pages.select("page_no", F.posexplode(teasers).alias("pos", "teaser"))
         .where(~(F.col("page_no").between(1, 19) & (F.col("pos") == 0)))
@@ -108,7 +109,7 @@ def page_links(pages: DataFrame, key: str) -> DataFrame:
 def _tab_texts(html: Column) -> Column:
     tabs = F.split(html, r'(?i)<div\s[^>]*class="[^"]*\btab-pane\b[^"]*"[^>]*>')
     return F.transform(
-        F.slice(tabs, 2, F.size(tabs)),
+        after(tabs, 1),
         lambda tab: hx.decode_entities(F.regexp_replace(tab, hx.TAG, "")),
     )
 
