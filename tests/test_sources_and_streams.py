@@ -200,6 +200,44 @@ def test_quoted_line_breaks(spark, folder):
     assert got == {("a", "one\ntwo", "x"), ("b", "three", "x")}
 
 
+def test_many_csvs_are_one_scan_for_each_header(spark, folder):
+    os.makedirs(f"{folder}/csv")
+    for i in range(120):
+        with open(f"{folder}/csv/f +{i}{' [x]' * (i == 2)}.csv", "w") as out:
+            out.write(("a,b\n", "\n b,c\r\n", "a,b,d\n")[i % 3] + f"{i},1\n{i},1\n")
+    with open(f"{folder}/csv/wrapped.csv", "w") as out:
+        out.write('a,b\n7,"x ""y""\nz\n\n"\n8,w\n')
+    with open(f"{folder}/csv/header.csv", "w") as out:
+        out.write('a,"b\nc"\n5,6\n')
+    open(f"{folder}/csv/empty.csv", "w").close()
+    with open(f"{folder}/csv/broken.csv", "w") as out:
+        out.write("a,b\n1,2\n")
+    with open(f"{folder}/csv/.broken.csv.crc", "wb") as out:
+        out.write(b"crc\x00\x00\x00\x02\x00" + b"\x01" * 4)  # a check sum that does not fit
+    df = fs.read_labelled_csvs(spark, f"{folder}/csv")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 5
+    rows = df.collect()
+    assert len(rows) == 243 and len({r.node_label for r in rows}) == 122
+    assert {(r.a, r.b) for r in rows if r.node_label == "wrapped"} == {("7", 'x "y"\nz\n\n'), ("8", "w")}
+    assert [(r["a"], r["b\nc"]) for r in rows if r.node_label == "header"] == [("5", "6")]
+    assert [r["d"] for r in rows if r.node_label == "f +2 [x]"] == [None, None]
+    assert [path.rsplit("/", 1)[1] for path in fs.skipped_csvs(spark, f"{folder}/csv")] == ["broken.csv", "empty.csv"]
+
+
+def test_a_large_csv_is_split(spark, folder):
+    os.makedirs(f"{folder}/csv")
+    with open(f"{folder}/csv/x.csv", "w") as out:
+        out.write("word,note\n" + 'kata,"a ""b"", c"\n' * 20_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = fs.read_csv(spark, f"{folder}/csv", "word STRING, note STRING", ("word",))
+        assert df.rdd.getNumPartitions() > 3
+        assert [tuple(r) for r in df.groupBy("word", "note").count().collect()] == [("kata", 'a "b", c', 20_000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_search_and_proverbs(spark):
     lexicon = spark.createDataFrame([("kapal", ["d"], 3, "N", "p")],
                                     "word STRING, definitions ARRAY<STRING>, word_count BIGINT, POS STRING, Label STRING")

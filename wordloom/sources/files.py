@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.sources.schemas import ARTICLE, LABELLED_SENTENCE, require_columns
@@ -83,35 +85,89 @@ def write_word_counts(counts: DataFrame, path: str) -> None:
     ).text(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, required: tuple[str, ...]) -> DataFrame:
-    """CSV with a header; columns are found by name and the required ones must be there."""
-    raw = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    require_columns(raw, *required)
-    declared = spark.createDataFrame([], schema).schema
-    return raw.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared if f.name in raw.columns]
+def _plain(field: str) -> Column:
+    """A path or name of a row's file without the escapes of a URI, in which a plus sign is itself."""
+    return F.url_decode(F.replace(f"_metadata.{field}", F.lit("+"), F.lit("%2B")))
+
+
+def csv_headers(spark: SparkSession, path: str, pattern: str = "*", skip_unreadable: bool = False) -> DataFrame:
+    """``path``, ``header`` (the first line that is not blank) and ``wrapped`` of every CSV file.
+
+    ``wrapped`` files have quoted line breaks: a value that goes on in the next line leaves an odd
+    number of quotes in its first. Files are read as lines, in parts; a file without a line has no row.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).option("ignoreCorruptFiles", skip_unreadable).text(path)
+    numbered = lines.where(F.rlike("value", F.lit(r"\S"))).select(
+        _plain("file_path").alias("path"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("at"),
+        "value",
+        (F.length(F.regexp_replace("value", '[^"]+', "")) % 2 == 1).alias("odd"),
     )
+    return numbered.groupBy("path").agg(F.min_by("value", "at").alias("header"), F.max("odd").alias("wrapped"))
+
+
+def _csv_tables(spark: SparkSession, path: str, pattern: str = "*", skip_unreadable: bool = False) -> list[DataFrame]:
+    """One scan for each different header; only files with quoted line breaks are read whole by a task.
+
+    The driver holds the list of files, as it does for every scan.
+    """
+    headers = csv_headers(spark, path, pattern, skip_unreadable)
+    # A header that goes on in the next line is not known from its first one.
+    own = F.when(F.length(F.regexp_replace("header", '[^"]+', "")) % 2 == 1, F.col("path"))
+    groups = headers.groupBy("header", "wrapped", own.alias("own")).agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    reader = spark.read.option("header", True).option("escape", '"')
+    return [
+        reader.option("multiLine", group.wrapped).csv([re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in group.paths])
+        for group in groups.orderBy("paths").collect()
+    ]
+
+
+def _by_name(a: DataFrame, b: DataFrame) -> DataFrame:
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, required: tuple[str, ...]) -> DataFrame:
+    """CSV with a header; columns are found by name and every file must have the required ones."""
+    none = spark.createDataFrame([], schema)
+    tables = _csv_tables(spark, path)
+    if not tables:
+        raise ValueError(f"no header in {path}")
+    for table in tables:
+        require_columns(table, *required)
+    return reduce(_by_name, [
+        table.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in none.schema if f.name in table.columns])
+        for table in tables
+    ])
+
+
+def _listed(spark: SparkSession, folder: str, pattern: str) -> set[str]:
+    """Paths of the files of a folder as rows name them, empty files included."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).inputFiles()
+    return {re.sub("^file:/+", "file:/", unquote(path)) for path in files}
+
+
+def skipped_csvs(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the CSV files that ``read_labelled_csvs`` skips: unreadable ones and ones without a header."""
+    read = csv_headers(spark, folder, "*.csv", skip_unreadable=True).select("path").collect()
+    return sorted(_listed(spark, folder, "*.csv") - {row.path for row in read})
 
 
 def read_labelled_csvs(spark: SparkSession, folder: str, label: str | None = None) -> DataFrame:
     """Every CSV of a folder as labelled rows; the label is given or the file's stem.
 
     Files may differ in their columns: each file's columns are kept and missing ones are
-    null. Duplicate rows stay. A folder without CSV files is an error, and a file that
-    cannot be opened is skipped.
+    null. Duplicate rows stay. A folder without CSV files is an error. A file that cannot be
+    opened or has no header is skipped (``skipped_csvs`` names them); one that breaks off later
+    is an error, so that no rows are lost silently.
     """
-    paths = [r.path for r in part_files(spark, folder, "*.csv").orderBy("path").collect()]
-    if not paths:
+    if not _listed(spark, folder, "*.csv"):
         raise ValueError(f"no CSV files in {folder}")
-    tables = []
-    for path in paths:
-        try:
-            table = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-        except AnalysisException:
-            continue
-        stem = F.regexp_extract("_metadata.file_name", r"(.*)\.csv$", 1)
-        tables.append(table.select("*", (F.lit(label) if label else stem).alias("node_label")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+    stem = F.lit(label) if label else F.regexp_extract(_plain("file_name"), r"(.*)\.csv$", 1)
+    tables = [
+        table.select("*", stem.alias("node_label"))
+        for table in _csv_tables(spark, folder, "*.csv", skip_unreadable=True)
+    ]
+    return reduce(_by_name, tables) if tables else spark.createDataFrame([], "node_label STRING")
 
 
 def write_labelled_sentences(df: DataFrame, path: str) -> None:
