@@ -66,6 +66,24 @@ def test_near_duplicates_are_those_of_all_pairs(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values()))
 
 
+def test_a_shared_passage_does_not_become_all_pairs(spark):
+    rng = random.Random(5)
+    passage = prose(9, 150)
+    texts = [passage + " " + prose(1000 + i, rng.randint(20, 300)) for i in range(400)]
+    texts += [edited(t, rng, 2) for t in texts[:60]] + [passage]
+    docs = documents(spark, texts)
+    elements = dartminhash._elements(docs)
+    sought = elements.select("doc_id", F.col("doc_id").alias("class"), F.lit(True).alias("aside"), "elements")
+    met = {(r["a"], r["b"]) for r in dartminhash._meeting(sought).collect()}
+    held = {r["doc_id"]: set(r["elements"]) for r in elements.collect()}
+    similar = {(i, j) for i in held for j in held if i < j
+               and len(held[i] & held[j]) >= 0.8 * len(held[i] | held[j])}
+    assert similar and similar <= met
+    assert len(met) < 10 * len(texts)  # all pairs would be 106,030
+    got = {r["doc_id"]: r["class_id"] for r in dartminhash.near_duplicates(docs).collect()}
+    assert got == plain_classes(list(enumerate(texts)))
+
+
 def test_a_chain_of_edits_is_one_class(spark):
     rng, text, texts = random.Random(2), prose(1, 300), []
     for _ in range(15):

@@ -10,9 +10,9 @@ thrown for a document, however long it is.
 
 Documents that agree in all coordinates of a band are candidates. Within such a bucket all
 members are compared with one hub, the member that meets most others; members that are not
-in the hub's class then are compared with all members of other classes, so that no link
-between two classes is missed and a large group does not turn into all its pairs. Pairs whose
-signatures leave the outcome open are checked exactly on all their shingles.
+in the hub's class then are compared with the members of other classes that share one of their
+rarest shingles, as all similar ones do, so that no link between two classes is missed and neither
+a large group nor a passage that many texts share turns into all its pairs. Pairs whose signatures leave the outcome open are checked exactly on all their shingles.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,8 @@ SIMILAR = 0.8
 COORDINATES = BANDS * ROWS
 _MARGIN = 4.5 * math.sqrt(SIMILAR * (1 - SIMILAR) / COORDINATES)
 LIKELY, SURE = SIMILAR - _MARGIN, SIMILAR + _MARGIN
+#: Cells of the table that tells rare shingles from common ones.
+CELLS = 2**18
 #: The first interval of ranks and the longest one.
 FINEST, WIDEST = 2.0**-5, 32.0
 
@@ -190,6 +193,55 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _rarest(sought: DataFrame, held: np.ndarray) -> DataFrame:
+    """The rarest elements of each text: two similar texts have one of them in common.
+
+    At least four fifths of the elements of either text are in both, so of its elements, in any order
+    that is the same for all texts, one of the first ``n - 4n/5 + 1`` is. ``place`` is its number from 0.
+    """
+
+    def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch["elements"]
+            values = whole.flatten().to_numpy(zero_copy_only=False)
+            n = pc.list_value_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
+            rows = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((values, held[values.view(np.uint32) % np.uint32(CELLS)], rows))
+            place = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
+            first = place < (n - (4 * n + 4) // 5 + 1)[rows]
+            taken = pa.array(rows[first])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch[c].take(taken) for c in ("doc_id", "class", "aside")], pa.array(n[rows][first]),
+                 pa.array(place[first]), pa.array(values[order][first])],
+                ["doc_id", "class", "aside", "n", "place", "element"])
+
+    kind = sought.schema["doc_id"].dataType.simpleString()
+    columns = f"doc_id {kind}, class {kind}, aside boolean, n bigint, place bigint, element int"
+    return sought.select("doc_id", "class", "aside", "elements").mapInArrow(post, columns)
+
+
+def _meeting(sought: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes, one of them aside, that may be similar: no similar one is left out.
+
+    A passage that all texts of a bucket share is no rare part of any, so they do not meet by it. How many
+    texts hold an element is counted in a table of CELLS cells; a shared cell only changes the order.
+    """
+    sought = staged(sought, "sought")
+    cell = F.pmod(F.col("element").cast("bigint"), F.lit(CELLS)).alias("cell")
+    counts = sought.select(F.explode("elements").alias("element")).groupBy(cell).count().toPandas()
+    held = np.zeros(CELLS, np.int64)
+    held[counts["cell"].to_numpy(np.int64)] = counts["count"]
+    posted = staged(_rarest(sought, held), "posted")
+    x, y = (posted.select("element", *[F.col(c).alias(f"{c}_{e}") for c in ("doc_id", "class", "aside", "n", "place")])
+            for e in ("x", "y"))
+    # What can still be common, this element included, against the eight ninths of the mean that have to be.
+    left = F.least(F.col("n_x") - F.col("place_x"), F.col("n_y") - F.col("place_y"))
+    met = x.where("aside_x").join(y, "element").where(
+        (F.col("class_x") != F.col("class_y")) & (~F.col("aside_y") | (F.col("doc_id_x") < F.col("doc_id_y")))
+        & (9 * left >= 4 * (F.col("n_x") + F.col("n_y"))))
+    return met.select(*_pair("doc_id_x", "doc_id_y")).distinct()
+
+
 def similar_pairs(texts: DataFrame, docs: DataFrame) -> DataFrame:
     """Pairs (a, b) of different texts that are near-duplicates and connect all that are.
 
@@ -213,9 +265,11 @@ def similar_pairs(texts: DataFrame, docs: DataFrame) -> DataFrame:
     named = members.join(labels, "doc_id", "left").select("bucket", "doc_id", F.coalesce("label", "doc_id").alias("class"))
     named = staged(named, "named")
     mine = hubs.join(named.withColumnRenamed("doc_id", "hub"), ["bucket", "hub"]).select("bucket", F.col("class").alias("hub_class"))
-    apart = named.join(mine, "bucket").where("class != hub_class").select(
-        "bucket", F.col("doc_id").alias("x"), F.col("class").alias("x_class"))
-    swept = apart.join(named, "bucket").where("class != x_class").select(*_pair("x", "doc_id")).distinct()
+    aside = F.col("class") != F.col("hub_class")
+    told = staged(named.join(mine, "bucket").select("bucket", "doc_id", "class", aside.alias("aside")), "told")
+    mixed = told.where("aside").select("bucket").distinct()
+    sought = told.join(mixed, "bucket", "left_semi").groupBy("doc_id", "class").agg(F.max("aside").alias("aside"))
+    swept = _meeting(sought.join(elements, "doc_id"))
     swept = staged(swept.join(tried, ["a", "b"], "left_anti"), "swept")
     return similar.unionByName(_similar(swept, marks, elements))
 
