@@ -13,7 +13,7 @@ from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from wordloom.llm import components, dartminhash, hamming_index, host_trust, html_cut, line_dedup, queries, shingles
+from wordloom.llm import components, dartminhash, hamming_index, host_trust, html_cut, line_dedup, line_words, queries, shingles
 
 SF = "/root/testdata/sf0.001"
 
@@ -370,16 +370,64 @@ def test_links_are_those_of_all_pairs(spark, monkeypatch, block):
     assert got == {d: want[d] for d in range(len(texts))}
 
 
-def test_a_common_word_is_dealt_to_many_tasks(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "BLOCK", 20)
-    rows = [(1, d, 6, 0, 0, 0) for d in range(300)] + [(2, d, 6, 0, 0, 0) for d in range(5)]
-    posted = spark.createDataFrame(rows, "word bigint, digest bigint, n int, place int, high bigint, low bigint")
+def test_a_common_word_is_dealt_to_many_tasks():
+    digests = np.arange(305, dtype=np.int64)
+    words = np.array([1] * 300 + [2] * 5, np.uint64)
+    held = np.array([300] * 300 + [5] * 5)
     cells = collections.defaultdict(list)
-    for r in line_dedup._deal(posted).collect():
-        cells[r["word"], r["a"], r["b"]].append((r["block"], r["digest"]))
+    for e, cell, side in zip(*(x.tolist() for x in line_dedup._cells(words, digests, held, 20))):
+        cells[cell].append((side, e))
     assert max(map(len, cells.values())) < 4 * 20
-    met = {(w, *sorted((x[1], y[1]))) for (w, a, b), c in cells.items() for x in c for y in c if x[1] != y[1] and (a == b or x[0] != y[0])}
-    assert len(met) == 300 * 299 // 2 + 5 * 4 // 2
+    met = [tuple(sorted((x, y))) for c in cells.values() for i, (s, x) in enumerate(c) for t, y in c[:i] if s == 0 or s != t]
+    assert len(met) == len(set(met)) == 300 * 299 // 2 + 5 * 4 // 2
+
+
+def test_words_of_lines_are_those_of_split():
+    texts = ["", "a b\n\nb a\tc", "x", "\n", "é ü é\x0bz\n w ", "q" * 3000 + " " + "r" * 5]
+    row, number, size, hashes, line = line_words.line_words(pa.array(texts).slice(0), 1)
+    want = [(r, k, len(set(x.split()))) for r, t in enumerate(texts) for k, x in enumerate(t.split("\n")) if x.split()]
+    assert list(zip(row.tolist(), number.tolist(), size.tolist())) == want
+    words = [w for r, k, _ in want for w in sorted(set(texts[r].split("\n")[k].split()))]
+    assert len(set(hashes.tolist())) == len(set(words)) and len(hashes) == len(words)
+    assert set(hashes[line == 0].tolist()) < set(hashes[line == 1].tolist())
+    rare = np.zeros(8, np.int64)
+    rare[int(hashes[line == 0][0] % np.uint64(8))] = 5
+    again = line_words.line_words(pa.array(["-", *texts]).slice(1), 1, rare)
+    assert again[2].tolist() == size.tolist() and set(again[3].tolist()) == set(hashes.tolist())
+    for n in range(len(size)):
+        mine = rare[(again[3][again[4] == n] % np.uint64(8)).astype(int)]
+        assert (np.diff(mine) >= 0).all()
+
+
+def test_words_are_hashed_alike_in_spans(monkeypatch):
+    texts = pa.array([" ".join(f"w{i % 90}" for i in range(700)), "v" * 400])
+    whole = line_words.line_words(texts, 1)
+    monkeypatch.setattr(line_words, "SPAN", 64)
+    assert all(np.array_equal(x, y) for x, y in zip(whole, line_words.line_words(texts, 1)))
+
+
+def test_a_group_of_near_copies_does_not_meet_in_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    base = prose(3, 60).split()
+    texts = []
+    for i in range(150):
+        words = list(base)
+        words[rng.randrange(len(words))] = f"other{i}"
+        texts.append(" ".join(words))
+    met = []
+    meet = line_dedup._meet
+    monkeypatch.setattr(line_dedup, "_meet", lambda *a: met.append(meet(*a)) or met[-1])
+    got = {r["doc_id"]: r["n_links"] for r in line_dedup.find_similar_lines(documents(spark, texts)).collect()}
+    want = plain_links(texts)
+    assert got == {d: want[d] for d in range(150)} and sum(want.values()) > 10_000
+    assert met[0].count() < 500
+
+
+def test_rows_with_one_key_and_different_texts(spark):
+    line = prose(4, 20)
+    docs = spark.createDataFrame([(1, line), (1, prose(5, 20) + "\n" + line), (2, line)], "doc_id long, text string")
+    got = {r["doc_id"]: r["removed_lines"] for r in line_dedup.find_similar_lines(docs).collect()}
+    assert got == {1: [1], 2: [0]}
 
 
 def test_equal_lines_are_posted_once_by_a_task(spark):

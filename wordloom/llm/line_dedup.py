@@ -9,8 +9,10 @@ set the bits of a small map; bits in which two maps differ are words that only o
 which bounds what they have in common. Candidates are verified on their words.
 
 Lines with equal sets of words are one class and are joined once, however many they are. Classes
-come together by word; a word of very many is dealt out in pairs of blocks. All similar pairs of
-classes are found, and each line's earlier matches are counted over them, so no link is lost.
+come together by word; a word of very many is dealt out in pairs of blocks. A group of near copies does
+not turn into its pairs: Jaccard distance is a metric, so classes near enough to one hub are all similar
+to each other and are counted as one ball. Classes of different balls meet and are verified in pairs. Each
+line's earlier matches are counted over balls and similar classes, so no link is lost.
 """
 
 from __future__ import annotations
@@ -20,18 +22,20 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.llm.shingles import mix, slices, word_hashes
+from wordloom.llm.line_words import line_words
+from wordloom.llm.shingles import mix, slices
 from wordloom.llm.tables import narrow
 from wordloom.session import staged
 
 MIN_WORDS = 5
 #: Similarity as a fraction, so that the filters are exact.
 NUMERATOR, DENOMINATOR = 4, 5
+#: The similarity at half that distance, which two members of a ball have to its hub.
+NEAR_BY, NEAR_OF = 9, 10
 #: Counters for the rarity of words; words that share one are ordered by their joint count.
 COUNTERS = 1 << 18
 #: Rows of one word that are compared with each other in one task, rows that are worked on together.
@@ -39,64 +43,45 @@ BLOCK = 4000
 TOGETHER = 100_000
 #: Classes that a task keeps in mind to post them once.
 REMEMBERED = 500_000
+POSTED = ["cell", "at", "digest", "high", "low"]
 _SPACE = re.compile("[ \\t-\\r]+")
 
 
-def _line_sets(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, line number) of the lines long enough; (hash, line index) of their different words."""
-    listed = pc.split_pattern(part["text"].cast(pa.large_string()), "\n")
-    row = pc.list_parent_indices(listed).to_numpy().astype(np.int64)
-    starts = np.searchsorted(row, np.arange(part.num_rows))
-    number = np.arange(len(row)) - starts[row]
-    hashes, line = word_hashes(listed.flatten())
-    long_enough = np.bincount(line, minlength=len(row)) >= MIN_WORDS
-    kept = np.flatnonzero(long_enough)
-    index = np.cumsum(long_enough) - 1
-    mine = long_enough[line]
-    hashes, line = hashes[mine], index[line[mine]]
-    order = np.lexsort((hashes, line))
-    hashes, line = hashes[order], line[order]
-    new = np.ones(len(hashes), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
-    return row[kept], number[kept], hashes[new], line[new]
-
-
 def _digests(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
     """A number for each set of words, of the hashes of one line after another."""
     if not len(size):
         return np.zeros(0, np.int64)
-    return mix(np.add.reduceat(mix(hashes), np.cumsum(size) - size)).view(np.int64)
+    total = np.add.reduceat(mix(hashes), np.cumsum(size) - size)
+    return mix(mix(total) ^ size.astype(np.uint64)).view(np.int64)
 
 
 def describe_lines(docs: DataFrame) -> DataFrame:
-    """A row for each line: doc_id, line, n (different words) and digest; and rows of counters.
+    """A row for each line: doc_id, line and digest (of the set of words); and rows of counters.
 
-    ``digest`` is of the set of words. Every task adds up its own
-    COUNTERS numbers of how many lines have a word of each counter, in ``counter`` and ``seen``.
+    Every task adds up its own COUNTERS numbers of how many lines have a word of each counter, in
+    ``counter`` and ``seen``.
     """
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "line", "n", "digest", "counter", "seen"]
+        names = ["doc_id", "line", "digest", "counter", "seen"]
         kind = None
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for part in slices(batch):
-                row, number, hashes, line = _line_sets(part)
+                row, number, size, hashes, _ = line_words(part["text"], MIN_WORDS)
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-                size = np.bincount(line, minlength=len(row))
                 nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.int64())]
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()), pa.array(size, pa.int32()),
+                    [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()),
                      pa.array(_digests(hashes, size)), *nothing], names)
         used = np.flatnonzero(total)
         if len(used):
-            empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int32(), pa.int64())]
+            empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int64())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), pa.array(total[used])], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        describe, f"doc_id {kind}, line int, n int, digest bigint, counter int, seen bigint")
+    return docs.mapInArrow(describe, f"doc_id {kind}, line int, digest bigint, counter int, seen bigint")
 
 
 def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
@@ -105,129 +90,153 @@ def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), axis=1).reshape(lines, 16).view(np.int64)
 
 
+def _cells(word: np.ndarray, digest: np.ndarray, held: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(entry, cell, side): the cells that each entry goes to; every two entries of a word share one.
+
+    The entries of a word that more than ``size`` lines have are dealt to blocks by digest, and each
+    pair of blocks is a cell. ``side`` is 0 in the cell of one block, which has the pairs inside it, and
+    1 or 2 in a cell of two, which has the pairs between them.
+    """
+    blocks = np.maximum(-(-held // size), 1)
+    block = (mix(digest.view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+    entry = np.repeat(np.arange(len(word)), blocks)
+    other = np.arange(len(entry)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    mine = block[entry]
+    low, high = np.minimum(mine, other), np.maximum(mine, other)
+    pair = mix((low.astype(np.uint64) << np.uint64(32)) | high.astype(np.uint64))
+    side = np.where(low == high, 0, np.where(mine == low, 1, 2))
+    return entry, mix(word[entry] ^ pair).view(np.int64), side
+
+
 def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """word, digest, n, place, high and low for each of the rarest words of each class of equal lines.
+    """cell, at, digest, high and low for each of the rarest words of each class of equal lines.
 
+    ``at`` has the number of different words, the place of this one and the side in its cell.
     A task posts a class once for every REMEMBERED different classes that it comes by.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
+    block = BLOCK
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
-                row, _, hashes, line = _line_sets(part)
-                size = np.bincount(line, minlength=len(row))
+                _, _, size, hashes, line = line_words(part["text"], MIN_WORDS, counts)
                 digest = _digests(hashes, size)
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 _, first = np.unique(digest, return_index=True)
-                fresh = np.zeros(len(row), bool)
+                fresh = np.zeros(len(size), bool)
                 fresh[[k for k in first.tolist() if int(digest[k]) not in seen]] = True
                 seen.update(digest[fresh].tolist())
-                index = np.cumsum(fresh) - 1
-                mine = fresh[line]
-                hashes, line, size, digest = hashes[mine], index[line[mine]], size[fresh], digest[fresh]
                 maps = _bit_maps(hashes, line, len(size))
-                common = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
-                order = np.lexsort((hashes, common, line))
-                hashes, common = hashes[order], common[order]
+                held = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
                 place = np.arange(len(hashes)) - np.repeat(np.cumsum(size) - size, size)
                 prefix = size - -(-size * NUMERATOR // DENOMINATOR) + 1
                 # Words that no other line has cannot make a match.
-                use = (place < prefix[line]) & (common > 1)
-                mine = line[use]
+                use = fresh[line] & (place < prefix[line]) & (held > 1)
+                line, place = line[use], place[use]
+                entry, cell, side = _cells(hashes[use], digest[line], held[use], block)
+                line, place = line[entry], place[entry]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((hashes[use] >> np.uint64(1)).astype(np.int64)), pa.array(digest[mine]),
-                     pa.array(size[mine], pa.int32()), pa.array(place[use], pa.int32()),
-                     pa.array(maps[mine, 0]), pa.array(maps[mine, 1])],
-                    ["word", "digest", "n", "place", "high", "low"])
+                    [pa.array(cell), pa.array((size[line] << 32) | (place << 2) | side), pa.array(digest[line]),
+                     pa.array(maps[line, 0]), pa.array(maps[line, 1])], POSTED)
 
-    return docs.mapInArrow(post, "word bigint, digest bigint, n int, place int, high bigint, low bigint")
+    return docs.mapInArrow(post, ", ".join(f"{c} bigint" for c in POSTED))
 
 
-def _deal(posted: DataFrame) -> DataFrame:
-    """The rows with ``cell`` and ``block``: every two rows of a word meet in one of its cells.
+def _by_cell(rows: DataFrame) -> DataFrame:
+    return rows.repartition("cell").sortWithinPartitions("cell", "at", "digest")
 
-    The rows of a word with more than BLOCK are dealt to blocks by digest, and each pair of blocks
-    is a cell; a cell of one block has its pairs, one of two blocks the pairs between them.
+
+def _whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows sorted by cell in tables of about TOGETHER, none of which ends inside a cell."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.num_rows
+        if size < TOGETHER:
+            continue
+        rows = pa.Table.from_batches(waiting)
+        cell = rows["cell"].to_numpy()
+        same = np.flatnonzero(cell != cell[-1])
+        end = int(same[-1]) + 1 if len(same) else 0  # the last cell may go on
+        if end:
+            yield rows.slice(0, end)
+        waiting = rows.slice(end).to_batches()
+        size = rows.num_rows - end
+    if size:
+        yield pa.Table.from_batches(waiting)
+
+
+def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(x, y, words, differ): rows x of whole sorted cells and earlier rows y of them that may match.
+
+    ``words`` is the number of words of both together, ``differ`` a lower bound of those that one has alone.
     """
-    sizes = posted.groupBy("word").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > BLOCK)
-    sizes = staged(sizes.select("word", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "hot")
-    dealt = posted.join(sizes, "word", "left").withColumn(
-        "block", F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64("digest"), "blocks")).cast("int"))
-    others = F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    cell = F.struct(low.cast("int").alias("a"), high.cast("int").alias("b"))
-    dealt = dealt.select("*", F.explode(others).alias("other")).withColumn("cell", cell)
-    return dealt.select("word", "cell.a", "cell.b", "block", "digest", "n", "place", "high", "low")
-
-
-def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(x, y): for rows sorted by word, cell, n and digest, earlier rows y of the cell that x may match."""
-    word, a, b, block, digest, n, place = (
-        rows[c].to_numpy().astype(np.int64) for c in ("word", "a", "b", "block", "digest", "n", "place"))
-    maps = [rows[c].to_numpy() for c in ("high", "low")]
-    new = np.append(True, (word[1:] != word[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-    rank = np.arange(len(word)) - np.flatnonzero(new)[np.cumsum(new) - 1]
-    copy = np.append(False, ~new[1:] & (digest[1:] == digest[:-1]) & (n[1:] == n[:-1]))  # posted by several tasks
+    cell, at, digest, high, low = (rows[c].to_numpy() for c in POSTED)
+    n, place, side = at >> 32, (at & 0xFFFFFFFF) >> 2, at & 3
+    new = np.append(True, cell[1:] != cell[:-1])
+    rank = np.arange(len(cell)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    copy = np.append(False, ~new[1:] & (digest[1:] == digest[:-1]))  # posted by several tasks
     x, back = np.flatnonzero((rank > 0) & ~copy), 1
     while len(x):
         y = x - back
         near = n[y] * DENOMINATOR >= n[x] * NUMERATOR  # rows further back are no longer
         x, y = x[near], y[near]
-        p, i, j = n[x], place[x], place[y]
-        q = n[y]
-        total = (p + q) * NUMERATOR
-        ok = ~copy[y] & ((a[x] == b[x]) | (block[x] != block[y]))
-        ok &= (np.minimum(i, j) + 1 + np.minimum(p - i - 1, q - j - 1)) * (NUMERATOR + DENOMINATOR) >= total
-        u, v = x[ok], y[ok]
-        differ = sum(np.bitwise_count((m[u] ^ m[v]).view(np.uint64)).astype(np.int64) for m in maps)
-        ok = (n[u] + n[v] - differ) * (NUMERATOR + DENOMINATOR) >= 2 * (n[u] + n[v]) * NUMERATOR
-        yield u[ok], v[ok]
+        words, i, j = n[x] + n[y], place[x], place[y]
+        ok = ~copy[y] & ((side[x] == 0) | (side[x] != side[y]))
+        ok &= (np.minimum(i, j) + 1 + np.minimum(n[x] - i - 1, n[y] - j - 1)) * (NUMERATOR + DENOMINATOR) >= words * NUMERATOR
+        u, v, words = x[ok], y[ok], words[ok]
+        differ = sum(np.bitwise_count((m[u] ^ m[v]).view(np.uint64)).astype(np.int64) for m in (high, low))
+        ok = (words - differ) * (NUMERATOR + DENOMINATOR) >= 2 * words * NUMERATOR
+        yield u[ok], v[ok], words[ok], differ[ok]
         back += 1
         x = x[rank[x] >= back]
 
 
-def _meet(posted: DataFrame) -> DataFrame:
-    """Pairs of classes that may match, by digest and n, each once, stored.
+def _find_hubs(posted: DataFrame) -> DataFrame:
+    """The posted rows that have a possible match in their cell, with ``hub``, stored.
 
-    Cells are dealt out by hash and sorted, and each is worked on as it comes by.
+    The hub is the least digest of the cell's classes that may be within half the distance that
+    similar classes can have, itself included.
     """
-    names = ["digest_x", "n_x", "digest_y", "n_y"]
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches):
+            digest = rows["digest"].to_numpy()
+            hub, matched = digest.copy(), np.zeros(len(digest), bool)
+            for x, y, words, differ in _pairs_of(rows):
+                matched[x] = matched[y] = True
+                close = (words - differ) * (NEAR_BY + NEAR_OF) >= 2 * words * NEAR_BY
+                x, y = x[close], y[close]
+                np.minimum.at(hub, x, digest[y])
+                np.minimum.at(hub, y, digest[x])
+            found = rows.append_column("hub", pa.array(hub)).filter(pa.array(matched))
+            yield from found.combine_chunks().to_batches()
+
+    named = ", ".join(f"{c} bigint" for c in [*POSTED, "hub"])
+    return staged(_by_cell(posted).mapInArrow(find, named), "matched")
+
+
+def _meet(matched: DataFrame, balls: DataFrame) -> DataFrame:
+    """Pairs (x, y) of classes of different balls that may match, each once, stored."""
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            digest, n = rows["digest"].combine_chunks(), rows["n"].combine_chunks()
-            for x, y in _pairs_of(rows):
-                x, y = pa.array(x), pa.array(y)
-                yield pa.RecordBatch.from_arrays([digest.take(x), n.take(x), digest.take(y), n.take(y)], names)
+        for rows in _whole_cells(batches):
+            digest, ball = rows["digest"].to_numpy(), rows["ball"].to_numpy()
+            for x, y, _, _ in _pairs_of(rows):
+                apart = ball[x] != ball[y]
+                a, b = digest[x[apart]], digest[y[apart]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["x", "y"])
 
-        waiting, size = [], 0
-        for batch in batches:
-            waiting.append(batch)
-            size += batch.num_rows
-            if size < TOGETHER:
-                continue
-            rows = pa.Table.from_batches(waiting)
-            ends = [rows[c].to_numpy() for c in ("word", "a", "b")]
-            same = np.flatnonzero(np.any([e != e[-1] for e in ends], axis=0))
-            end = int(same[-1]) + 1 if len(same) else 0  # the last cell may go on
-            if end:
-                yield from pairs(rows.slice(0, end))
-            waiting = rows.slice(end).to_batches()
-            size = rows.num_rows - end
-        if size:
-            yield from pairs(pa.Table.from_batches(waiting))
-
-    dealt = _deal(posted).repartition("word", "a", "b").sortWithinPartitions("word", "a", "b", "n", "digest")
-    found = dealt.mapInArrow(meet, "digest_x bigint, n_x int, digest_y bigint, n_y int")
-    return staged(found.distinct(), "candidates")
+    placed = matched.drop("hub").join(balls, "digest", "left").select(*POSTED, F.coalesce("ball", "digest").alias("ball"))
+    return staged(_by_cell(placed).mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest, n and the different words of one line of each digest; texts travel compressed, stored."""
+    """digest and the different words of one line of each digest; texts travel compressed, stored."""
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3).compress
@@ -240,74 +249,95 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                digests, sizes, words = [], [], []
+                digests, found = [], []
                 for text, asked in zip(part["text"], part["asked"]):
                     lines = grow(text.as_py()).decode().split("\n")
                     for a in asked.as_py():
-                        digests.append(a["digest"])
-                        sizes.append(a["n"])
-                        words.append(list(dict.fromkeys(_SPACE.split(lines[a["line"]]))))
+                        if a["line"] < len(lines):
+                            digests.append(a["digest"])
+                            found.append(lines[a["line"]])
+                row, _, size, hashes, _ = line_words(pa.array(found, pa.large_string()), MIN_WORDS)
+                # Rows with one key may have different texts: only the line that was meant.
+                meant = row[_digests(hashes, size) == np.array(digests, np.int64)[row]].tolist()
+                words = [list(dict.fromkeys(_SPACE.split(found[k]))) for k in meant]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(digests, pa.int64()), pa.array(sizes, pa.int32()), pa.array(words, pa.list_(pa.string()))],
-                    ["digest", "n", "words"])
+                    [pa.array([digests[k] for k in meant], pa.int64()), pa.array(words, pa.list_(pa.string()))], ["digest", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     small = docs.mapInArrow(shrink, f"doc_id {kind}, text binary")
-    asked = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest", "n")).alias("asked"))
+    asked = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest")).alias("asked"))
     # The texts are many times the lines asked for; a merge join takes either at any size.
     found = small.join(asked.hint("merge"), "doc_id").select("text", "asked")
-    found = found.mapInArrow(read, "digest bigint, n int, words array<string>")
-    return staged(found.select("digest", "n", F.array_remove("words", "").alias("words")).dropDuplicates(["digest", "n"]), "words")
-
-
-def _similar_classes(pairs: DataFrame, lines: DataFrame, docs: DataFrame) -> DataFrame:
-    """(digest, n, digest_y, n_y): the similar ones of the pairs of classes, in both directions, stored."""
-    names = ["digest_x", "n_x", "digest_y", "n_y"]
-    ends = pairs.select(F.col("digest_x").alias("digest"), F.col("n_x").alias("n")).unionByName(
-        pairs.select(F.col("digest_y").alias("digest"), F.col("n_y").alias("n"))).distinct()
-    first = lines.join(ends, ["digest", "n"], "left_semi").groupBy("digest", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"))
-    words = _words_of(docs, first.select("at.doc_id", "at.line", "digest", "n"))
-    different = pairs
+    found = found.mapInArrow(read, "digest bigint, words array<string>")
+    return staged(found.select("digest", F.array_remove("words", "").alias("words")).dropDuplicates(["digest"]), "words")
+
+
+def _alike(pairs: DataFrame, words: DataFrame, part: int, of: int) -> DataFrame:
+    """The pairs (x, y) of classes whose Jaccard similarity is ``part / of`` or more."""
     for s in "xy":
-        named = words.select(F.col("digest").alias(f"digest_{s}"), F.col("n").alias(f"n_{s}"), F.col("words").alias(f"words_{s}"))
-        different = different.join(named, [f"digest_{s}", f"n_{s}"])
+        pairs = pairs.join(words.select(F.col("digest").alias(s), F.col("words").alias(f"words_{s}")), s)
     common = F.size(F.array_intersect("words_x", "words_y"))
     either = F.size("words_x") + F.size("words_y") - common
-    alike = staged(different.where(common * DENOMINATOR >= either * NUMERATOR).select(*names), "alike")
-    back = alike.select(*[F.col(c).alias(d) for c, d in zip(names, names[2:] + names[:2])])
-    return alike.unionByName(back.select(*names)).select(
-        F.col("digest_x").alias("digest"), F.col("n_x").alias("n"), "digest_y", "n_y")
+    return pairs.where(common * of >= either * part).select("x", "y")
+
+
+def _similar_classes(posted: DataFrame, lines: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The balls of classes (digest, ball), and the similar classes (x, y) of different balls, both stored.
+
+    Jaccard distance is a metric: classes within half the distance of one hub are similar to each
+    other and form a ball, whose pairs are neither met nor checked. Classes not listed are a ball each.
+    """
+    matched = _find_hubs(posted)
+    ends = matched.select("digest").distinct()
+    first = lines.join(ends, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("at"))
+    words = _words_of(docs, first.select("at.doc_id", "at.line", "digest"))
+    tried = matched.where("hub != digest").select(F.col("digest").alias("x"), F.col("hub").alias("y")).distinct()
+    balls = staged(_alike(tried, words, NEAR_BY, NEAR_OF).groupBy(F.col("x").alias("digest")).agg(F.min("y").alias("ball")), "balls")
+    return balls, staged(_alike(_meet(matched, balls), words, NUMERATOR, DENOMINATOR), "alike")
+
+
+def _earlier_in_ranges(per_range: DataFrame, group: str) -> DataFrame:
+    """``before``: the lines of the group in all earlier ranges, for each row (group, range, m, here) that is here."""
+    before = Window.partitionBy(group).orderBy("range").rangeBetween(Window.unboundedPreceding, -1)
+    summed = per_range.withColumn("before", F.coalesce(F.sum("m").over(before), F.lit(0)))
+    return summed.where("here").select(group, "range", "before")
 
 
-def _count_links(lines: DataFrame, similar: DataFrame) -> DataFrame:
-    """doc_id, line and links, the number of earlier lines of its and of similar classes, of each line with any.
+def _count_links(lines: DataFrame, balls: DataFrame, alike: DataFrame) -> DataFrame:
+    """doc_id, line and links, the number of earlier lines of its ball and of similar classes, of each line with any.
 
-    Lines are dealt to ranges of the order. A class's lines in earlier ranges are added up by range;
-    lines meet only within a range, so a class of any size is counted in as many tasks as there are.
+    Lines are dealt to ranges of the order. The lines of a ball or class in earlier ranges are added up by
+    range; lines meet only within a range, so a class of any size is counted in as many tasks as there are.
     """
-    of = ["digest", "n"]
-    several = lines.groupBy(*of).agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(*of)
-    linked = staged(several.unionByName(similar.select(*of)).distinct(), "linked")
-    placed = lines.join(linked, of, "left_semi").distinct().repartitionByRange("doc_id", "line")
+    near = staged(alike.select(F.col("x").alias("digest"), F.col("y").alias("other")).unionByName(
+        alike.select(F.col("y").alias("digest"), F.col("x").alias("other"))), "near")
+    several = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("digest")
+    hubs = balls.select(F.col("ball").alias("digest"))
+    linked = several.unionByName(hubs).unionByName(balls.select("digest")).unionByName(near.select("digest")).distinct()
+    linked = linked.join(balls, "digest", "left").select("digest", F.coalesce("ball", "digest").alias("ball"))
+    placed = lines.join(linked, "digest").distinct().repartitionByRange("doc_id", "line")
     placed = staged(placed.withColumn("range", F.spark_partition_id()), "placed")
-    per_range = staged(placed.groupBy(*of, "range").agg(F.count(F.lit(1)).alias("m")), "per_range")
-    # What each class has to look at: itself and the similar classes.
-    near = staged(linked.select(*of, F.col("digest").alias("digest_y"), F.col("n").alias("n_y")).unionByName(similar), "near")
-    theirs = per_range.select(F.col("digest").alias("digest_y"), F.col("n").alias("n_y"), "range", "m")
-    seen = near.join(theirs, ["digest_y", "n_y"]).groupBy(*of, "range").agg(F.sum("m").alias("m"))
-    mine = per_range.select(*of, "range", F.lit(0).cast("bigint").alias("m"), F.lit(True).alias("here"))
-    steps = seen.withColumn("here", F.lit(False)).unionByName(mine)
-    before = Window.partitionBy(*of).orderBy("range").rangeBetween(Window.unboundedPreceding, -1)
-    steps = steps.select(*of, "range", "here", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before")).where("here").drop("here")
-    # Within a range: the class's own lines, and as points all lines of the classes it looks at.
-    here = per_range.select(*of, "range")
-    points = near.join(here, of).join(
-        placed.select(F.col("digest").alias("digest_y"), F.col("n").alias("n_y"), "range", "doc_id", "line"),
-        ["digest_y", "n_y", "range"]).select(*of, "range", "doc_id", "line", F.lit(1).alias("point"))
-    events = placed.select(*of, "range", "doc_id", "line", F.lit(0).alias("point")).unionByName(points)
-    running = Window.partitionBy(*of, "range").orderBy("doc_id", "line", "point").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = events.withColumn("inside", F.sum("point").over(running)).where("point = 0").drop("point")
-    counted = ranked.join(steps, [*of, "range"]).select("doc_id", "line", (F.col("before") + F.col("inside")).alias("links"))
+    m = F.count(F.lit(1)).alias("m")
+    # Earlier lines of the same ball.
+    of_ball = placed.groupBy("ball", "range").agg(m).withColumn("here", F.lit(True))
+    inside = Window.partitionBy("ball", "range").orderBy("doc_id", "line")
+    own = placed.withColumn("inside", F.rank().over(inside) - 1).join(_earlier_in_ranges(of_ball, "ball"), ["ball", "range"])
+    own = own.select("doc_id", "line", "digest", (F.col("before") + F.col("inside")).alias("links"))
+    # Earlier lines of the similar classes of other balls.
+    met = placed.join(near.select("digest").distinct(), "digest", "left_semi")
+    per_range = staged(met.groupBy("digest", "range").agg(m), "per_range")
+    theirs = per_range.select(F.col("digest").alias("other"), "range", "m")
+    seen = near.join(theirs, "other").groupBy("digest", "range").agg(F.sum("m").alias("m"))
+    mine = per_range.select("digest", "range", F.lit(0).cast("bigint").alias("m"), F.lit(True).alias("here"))
+    steps = _earlier_in_ranges(seen.withColumn("here", F.lit(False)).unionByName(mine), "digest")
+    points = near.join(per_range.select("digest", "range"), "digest").join(
+        met.select(F.col("digest").alias("other"), "range", "doc_id", "line"), ["other", "range"])
+    points = points.select("digest", "range", "doc_id", "line", F.lit(1).alias("point"))
+    events = met.select("digest", "range", "doc_id", "line", F.lit(0).alias("point")).unionByName(points)
+    running = Window.partitionBy("digest", "range").orderBy("doc_id", "line", "point").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = events.withColumn("inside", F.sum("point").over(running)).where("point = 0").join(steps, ["digest", "range"])
+    others = ranked.select("doc_id", "line", "digest", (F.col("before") + F.col("inside")).alias("links"))
+    counted = own.unionByName(others).groupBy("doc_id", "line", "digest").agg(F.sum("links").alias("links"))
     return staged(counted.where("links > 0").groupBy("doc_id", "line").agg(F.max("links").alias("links")), "removed")
 
 
@@ -321,8 +351,7 @@ def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     counted = described.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen")).toPandas()
     counts = np.zeros(COUNTERS, np.int64)
     counts[counted["counter"].to_numpy(int)] = counted["seen"].to_numpy(int)
-    pairs = _meet(staged(post_prefixes(docs, counts), "posted"))
-    return lines, _count_links(lines, _similar_classes(pairs, lines, docs))
+    return lines, _count_links(lines, *_similar_classes(post_prefixes(docs, counts), lines, docs))
 
 
 def find_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
