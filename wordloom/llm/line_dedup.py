@@ -196,27 +196,41 @@ def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         x = x[rank[x] >= back]
 
 
+def _close_pairs(rows: pa.Table, matched: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs that may be within half the distance of similar classes; notes which rows may match any."""
+    for x, y, words, differ in _pairs_of(rows):
+        matched[x] = matched[y] = True
+        close = (words - differ) * (NEAR_BY + NEAR_OF) >= 2 * words * NEAR_BY
+        yield x[close], y[close]
+
+
 def _find_hubs(posted: DataFrame) -> DataFrame:
-    """The posted rows that have a possible match in their cell, with ``hub``, stored.
+    """The posted rows that have a possible match in their cell, with ``hub`` and ``degree``, stored.
 
-    The hub is the least digest of the cell's classes that may be within half the distance that
-    similar classes can have, itself included.
+    The hub is, of a class and the classes of the cell that may be within half the distance that similar ones
+    can have, the one with most of such neighbours: the text that a group of copies was made from, if it is there.
     """
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_cells(batches):
             digest = rows["digest"].to_numpy()
-            hub, matched = digest.copy(), np.zeros(len(digest), bool)
-            for x, y, words, differ in _pairs_of(rows):
-                matched[x] = matched[y] = True
-                close = (words - differ) * (NEAR_BY + NEAR_OF) >= 2 * words * NEAR_BY
-                x, y = x[close], y[close]
-                np.minimum.at(hub, x, digest[y])
-                np.minimum.at(hub, y, digest[x])
-            found = rows.append_column("hub", pa.array(hub)).filter(pa.array(matched))
-            yield from found.combine_chunks().to_batches()
-
-    named = ", ".join(f"{c} bigint" for c in [*POSTED, "hub"])
+            degree, matched = np.zeros(len(digest), np.int64), np.zeros(len(digest), bool)
+            for x, y in _close_pairs(rows, matched):
+                np.add.at(degree, x, 1)
+                np.add.at(degree, y, 1)
+            order = np.lexsort((digest, degree))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            best = rank.copy()
+            if degree.any():
+                for x, y in _close_pairs(rows, matched):
+                    np.maximum.at(best, x, rank[y])
+                    np.maximum.at(best, y, rank[x])
+            hub = order[best]
+            found = rows.append_column("hub", pa.array(digest[hub])).append_column("degree", pa.array(degree[hub]))
+            yield from found.filter(pa.array(matched)).combine_chunks().to_batches()
+
+    named = ", ".join(f"{c} bigint" for c in [*POSTED, "hub", "degree"])
     return staged(_by_cell(posted).mapInArrow(find, named), "matched")
 
 
@@ -231,7 +245,7 @@ def _meet(matched: DataFrame, balls: DataFrame) -> DataFrame:
                 a, b = digest[x[apart]], digest[y[apart]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["x", "y"])
 
-    placed = matched.drop("hub").join(balls, "digest", "left").select(*POSTED, F.coalesce("ball", "digest").alias("ball"))
+    placed = matched.drop("hub", "degree").join(balls, "digest", "left").select(*POSTED, F.coalesce("ball", "digest").alias("ball"))
     return staged(_by_cell(placed).mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
 
 
@@ -278,7 +292,7 @@ def _alike(pairs: DataFrame, words: DataFrame, part: int, of: int) -> DataFrame:
         pairs = pairs.join(words.select(F.col("digest").alias(s), F.col("words").alias(f"words_{s}")), s)
     common = F.size(F.array_intersect("words_x", "words_y"))
     either = F.size("words_x") + F.size("words_y") - common
-    return pairs.where(common * of >= either * part).select("x", "y")
+    return pairs.where(common * of >= either * part).drop("words_x", "words_y")
 
 
 def _similar_classes(posted: DataFrame, lines: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -291,8 +305,10 @@ def _similar_classes(posted: DataFrame, lines: DataFrame, docs: DataFrame) -> tu
     ends = matched.select("digest").distinct()
     first = lines.join(ends, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("at"))
     words = _words_of(docs, first.select("at.doc_id", "at.line", "digest"))
-    tried = matched.where("hub != digest").select(F.col("digest").alias("x"), F.col("hub").alias("y")).distinct()
-    balls = staged(_alike(tried, words, NEAR_BY, NEAR_OF).groupBy(F.col("x").alias("digest")).agg(F.min("y").alias("ball")), "balls")
+    tried = matched.where("hub != digest").groupBy(F.col("digest").alias("x"), F.col("hub").alias("y")).agg(
+        F.max("degree").alias("degree"))
+    within = _alike(tried, words, NEAR_BY, NEAR_OF).groupBy(F.col("x").alias("digest"))
+    balls = staged(within.agg(F.max_by("y", F.struct("degree", "y")).alias("ball")), "balls")
     return balls, staged(_alike(_meet(matched, balls), words, NUMERATOR, DENOMINATOR), "alike")
 
 
