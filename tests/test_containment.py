@@ -4,8 +4,10 @@ import random
 
 from pyspark.sql import functions as F
 
+from wordloom.operators import containment
 from wordloom.operators import lookup as lk
 from wordloom.operators.containment import contained
+from wordloom.session import staged
 
 
 def plain_append(listed, new):
@@ -59,3 +61,28 @@ def test_long_text_and_common_gram_stay_cheap(spark):
     holders = spark.createDataFrame(list(enumerate(listed)), "holder bigint, text string")
     pairs = contained(asked, holders)
     assert pairs.where(F.col("asked") == 2000).select("holder").collect() == [(0,)]
+
+
+def test_entries_with_common_grams_make_no_pairs(spark, monkeypatch):
+    """Entries whose every gram stands in all listed texts are found as wholes, not holder by holder."""
+    rng = random.Random(8)
+    listed = ["".join(rng.choice("ab") for _ in range(2000)) for _ in range(300)]
+    new = [(i, listed[i % 300][i % 1900: i % 1900 + 12 + i % 60] + ("" if i % 3 else "c")) for i in range(3000)]
+    posted = []
+    monkeypatch.setattr(containment, "staged", lambda df, name: posted.append((name, staged(df, name))) or posted[-1][1])
+    assert appended(spark, listed, new) == plain_append(listed, new)
+    assert max(df.count() for _, df in posted) <= 3000
+
+
+def test_asked_lengths_around_powers_of_two_and_stretches(spark, monkeypatch):
+    """Texts over the ends of stretches, of lengths about 2 ** n, in one holder, and the lowest of several holders."""
+    monkeypatch.setattr(containment, "STRETCH", 64)
+    rng = random.Random(9)
+    whole = "".join(rng.choice("xyzäö€😀") for _ in range(700))
+    texts = {whole[i: i + n] for i in range(0, 640, 7) for n in (1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33, 60)}
+    holders = [(whole, 5), (whole[100:300], 3), (whole[200:], None), (None, 1), ("", 0), ("y", 9)]
+    got = containment.first_holders(spark.createDataFrame([(t,) for t in [*texts, "q" * 9, None, ""]], "text string"),
+                                    spark.createDataFrame(holders, "text string, held bigint"))
+    found = {bytes(r["text"]).decode(): r["first"]["held"] for r in got.collect()}
+    low = lambda t: min((-1 if h is None else h) for w, h in holders if w and t in w)
+    assert {t: -1 if h is None else h for t, h in found.items()} == {t: low(t) for t in texts}

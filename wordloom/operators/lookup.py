@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.phrases import trim_all
-from wordloom.operators.containment import contained
+from wordloom.operators.containment import first_holders
 from wordloom.operators.lexicon import update_where
 from wordloom.operators.numbering import number_rows
 from wordloom.operators.records import first_per_key
@@ -121,10 +121,11 @@ def append_numbered(existing: DataFrame, new: DataFrame, order: str, seen: str =
     new entries can be asked at once. The empty entry is then only taken into an empty list, as its first.
     """
     once = first_per_key(new.select("query", order), "query", F.col(order))
-    unseen = once.join(existing.select("query"), "query", "left_anti")
-    if seen == "contains":
-        unseen = _outside_others(existing, unseen, order)
-    elif seen != "equal":
+    if seen == "equal":
+        unseen = once.join(existing.select("query"), "query", "left_anti")
+    elif seen == "contains":  # equal entries stand inside each other as well
+        unseen = _outside_others(existing, once, order)
+    else:
         raise ValueError("seen is 'equal' or 'contains'")
     return number_rows(unseen, order, "no", first=0).select(
         (F.col("no") + existing.agg(F.count(F.lit(1))).scalar()).alias("no"), "query"
@@ -133,17 +134,14 @@ def append_numbered(existing: DataFrame, new: DataFrame, order: str, seen: str =
 
 def _outside_others(existing: DataFrame, new: DataFrame, order: str) -> DataFrame:
     new = staged(new, "entries")
-    listed = existing.where(F.col("query").isNotNull()).select("query").distinct()
+    listed = existing.where(F.col("query").isNotNull())
     filled = not listed.isEmpty()
     ahead = F.lit(None).cast(new.schema[order].dataType)
-    holders = listed.select(F.struct(F.lit(0).alias("kind"), F.xxhash64("query").alias("no")).alias("holder"),
-                            F.col("query").alias("text"), ahead.alias("held"))
-    keyed = new.where(F.col("query").isNotNull()).select(
-        F.col(order).alias("asked"), F.col("query").alias("text"))
-    others = keyed.select(F.struct(F.lit(1).alias("kind"), F.xxhash64("text").alias("no")).alias("holder"), "text", F.col("asked").alias("held"))
-    inside = contained(keyed, staged(holders.unionByName(others), "holders")).where(
-        F.col("held").isNull() | (F.col("held") < F.col("asked"))).select(F.col("asked").alias(order)).distinct()
-    rest = new.join(inside, order, "left_anti")
+    keyed = new.where(F.col("query").isNotNull()).select(F.col("query").alias("text"), F.col(order).alias("held"))
+    holders = listed.select(F.col("query").alias("text"), ahead.alias("held")).unionByName(keyed)
+    found = first_holders(keyed, holders).select(F.col("text").cast("string").alias("text"), F.col("first.held").alias("first"))
+    inside = keyed.join(found, "text").where(F.col("first").isNull() | (F.col("first") < F.col("held")))
+    rest = new.join(inside.select(F.col("held").alias(order)), order, "left_anti")
     first = new.agg(F.min(F.struct(order, "query"))["query"]).scalar()
     keep_empty = F.lit(False) if filled else F.coalesce(first == "", F.lit(False))
     return rest.where((F.col("query") != "") | F.col("query").isNull() | keep_empty)
