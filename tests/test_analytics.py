@@ -12,6 +12,7 @@ from wordloom.operators import analytics as an
 from wordloom.operators import bayes as nb
 from wordloom.operators.bayes_ledger import BayesLedger
 from wordloom.operators import evaluate as ev
+from wordloom.operators import features
 from wordloom.operators.features import binary_terms, fit_tfidf
 from wordloom.operators.tagging import vote_per_sentence
 from wordloom.plans.classify_queries import clean_evaluation
@@ -227,3 +228,24 @@ def test_bayes_in_batches_is_bayes_on_all(spark, folder):
     docs = frame(lambda i: True)
     got = nb.predict(ledger.model(), docs, binary_terms(docs, "id", "text"), "id").collect()
     assert sorted(got) == sorted(nb.predict(want, docs, binary_terms(docs, "id", "text"), "id").collect())
+
+
+def test_tfidf_is_counted_by_the_slice_and_weighed_without_a_shuffle(spark, monkeypatch):
+    """Texts over the ends of slices give the counts of ``counted_terms``; nothing is gathered by document."""
+    monkeypatch.setattr(features, "SLICE", 5)
+    texts = ["aa bb aa bb cc", "bb", None, "", "x y", "cc dd " * 9, "Äö äö bb äö aa", "aa bb"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id INT, text STRING")
+    counted = [tuple(r) for r in features.counted_terms(docs, "text", "id").collect()]
+    n, df = Counter(), Counter()
+    for _, term, tf in counted:
+        n[term] += tf
+        df[term] += 1
+    top = sorted(n, key=lambda t: (-n[t], t))[:7]
+    idf = {t: math.log((1 + len(texts)) / (1 + df[t])) + 1 for t in top}
+    want = {(i, t): tf * idf[t] for i, t, tf in counted if t in idf}
+    weights = fit_tfidf(docs, "text", 7).weights(docs, "id", "text")
+    assert "Exchange" not in weights._jdf.queryExecution().executedPlan().toString()
+    got = {(r.id, r.term): r.x for r in weights.collect()}
+    assert got.keys() == want.keys()
+    for (i, t), x in got.items():
+        assert abs(x - want[i, t] / math.sqrt(sum(w * w for (j, _), w in want.items() if j == i))) < 1e-12
