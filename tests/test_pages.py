@@ -15,6 +15,7 @@ from wordloom.functions.senses import numbered_senses
 from wordloom.functions.times import parse_publish_time
 from wordloom.operators import pages as pg
 from wordloom.operators.records import newer_prefix
+from wordloom.operators import spelling
 from wordloom.operators.spelling import correct_texts, correct_words
 
 
@@ -226,3 +227,22 @@ def test_texts_are_corrected_word_by_word(spark):
     dictionary = spark.createDataFrame([("kapal", 9), ("besar", 5)], "word STRING, count BIGINT")
     got = {r.id: r.text for r in correct_texts(spark.createDataFrame(texts, "id INT, text STRING"), "id", "text", dictionary).collect()}
     assert got == {1: "Kapal kapal besar", 2: None, 3: "", 4: "zzzzzz kapal"}
+
+
+def test_skeletons_are_made_by_all_tasks_and_joined_without_sorting(spark):
+    """A stored dictionary is one small file, its skeletons are not; the asked ones are probed, not sorted."""
+    words = spark.createDataFrame([(f"w{i:03d}rd",) for i in range(200)], "word string").coalesce(1)
+    dictionary = words.withColumn("rank", F.lit(1).cast("bigint"))
+    met = spelling._nearest(words, dictionary, 2)
+    assert spelling._spread(words).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert met.count() == 200
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortAggregate" not in plan
+
+
+def test_nearest_words_by_distance_then_frequency_then_name(spark):
+    """Matches are numbers; they order words as distance, frequency and name do, words without a count first."""
+    dictionary = spark.createDataFrame([("abcde", 5), ("abcdf", 9), ("abcdg", 9), ("abxyf", 99), ("zzzzz", None), ("zzzzy", 7)], "word string, count bigint")
+    words = spark.createDataFrame([("abcdh",), ("abxdf",), ("zzzzx",), ("abcde",), ("qqqqqqq",)], "word string")
+    got = {r.word: (r.corrected, r.distance) for r in correct_words(words, dictionary).collect()}
+    assert got == {"abcdh": ("abcdf", 1), "abxdf": ("abxyf", 1), "zzzzx": ("zzzzz", 1), "abcde": ("abcde", 0), "qqqqqqq": ("qqqqqqq", None)}

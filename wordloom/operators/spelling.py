@@ -20,6 +20,8 @@ BLANK = "\u0001"
 MAX_EDITS = 2
 #: Letters of the longest dictionary word that is found by its skeletons.
 LONG = 24
+#: A match is one number: its distance times this, and the dictionary word's place by frequency.
+STEP = 1 << 60
 
 
 def _skeleton(dels: int, blanks: int, *parts: Column) -> Column:
@@ -63,25 +65,35 @@ def skeletons(words: DataFrame, edits: int, *keep: str) -> DataFrame:
     return placed.select("word", *keep, F.explode(shapes).alias("s")).select("word", *keep, "s.*")
 
 
+def _ranked(dictionary: DataFrame) -> DataFrame:
+    """``rank, word``: numbers that grow from the most frequent word on, equal ones in alphabetical order."""
+    ordered = dictionary.orderBy(F.desc_nulls_first("count"), "word")
+    return staged(ordered.select(F.monotonically_increasing_id().alias("rank"), "word"), "ranked")
+
+
+def _spread(words: DataFrame) -> DataFrame:
+    """The words dealt to all tasks: stored words are few bytes, so few files, and many times as many skeletons."""
+    return words.repartition(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word")
+
+
 def _nearest(asked: DataFrame, dictionary: DataFrame, edits: int) -> DataFrame:
-    """Best dictionary word per asked word that has one within ``edits``.
+    """``word, m``: the least match per asked word that has one within ``edits``.
 
-    Skeletons outgrow their words many times over, so the join is always sorted and
-    merged: size estimates made from the words must not turn it into a broadcast.
+    Skeletons outgrow their words many times over, so the join is never a broadcast, whatever the size
+    estimates made from the words. The dictionary has one row per skeleton, so its share of a task holds
+    no heavy key and is hashed; the many asked skeletons need no sorting then.
     """
-    term = F.struct((-F.col("count")).alias("rank"), F.col("word").alias("term"))
     dels = range(edits + 1)
-    best = skeletons(dictionary, edits, "count").groupBy("skeleton", "blanks").agg(
-        *[F.min(F.when(F.col("dels") == n, term)).alias(f"best{n}") for n in dels]
+    best = skeletons(_spread(dictionary), edits, "rank").groupBy("skeleton", "blanks").agg(
+        *[F.min(F.when(F.col("dels") == n, F.col("rank"))).alias(f"best{n}") for n in dels]
     )
 
     def reached(n: int) -> Column:
-        distance = F.col("dels") + F.col("blanks") + n
-        hit = F.col(f"best{n}").isNotNull() & (distance <= edits)
-        return F.when(hit, F.struct(distance.alias("distance"), F.col(f"best{n}").alias("best")))
+        distance = (F.col("dels") + F.col("blanks") + n).cast("bigint")
+        return F.when(distance <= edits, distance * STEP + F.col(f"best{n}"))
 
     return (
-        skeletons(asked, edits).hint("merge").join(best, ["skeleton", "blanks"])
+        skeletons(_spread(asked), edits).join(best.hint("shuffle_hash"), ["skeleton", "blanks"])
         .select("word", F.least(*[reached(n) for n in dels]).alias("m"))
         .where(F.col("m").isNotNull())
         .groupBy("word").agg(F.min("m").alias("m"))
@@ -103,17 +115,16 @@ def _nearest_long(asked: DataFrame, dictionary: DataFrame) -> DataFrame:
     upto = lambda low, high: F.explode(F.sequence(F.lit(low), F.lit(high)))
     start = _start(F.col("size"), F.col("part"))
     length = _start(F.col("size"), F.col("part") + 1) - start
-    listed = dictionary.select(F.col("word").alias("term"), "count", F.length("word").alias("size"), upto(0, 2).alias("part"))
-    listed = listed.select("term", "count", "size", "part", F.substr("term", start + 1, length).alias("text"))
+    listed = dictionary.select(F.col("word").alias("term"), "rank", F.length("word").alias("size"), upto(0, 2).alias("part"))
+    listed = listed.select("term", "rank", "size", "part", F.substr("term", start + 1, length).alias("text"))
     sized = asked.select("word", upto(-MAX_EDITS, MAX_EDITS).alias("longer"))
     sized = sized.select("word", (F.length("word") + F.col("longer")).alias("size"), upto(0, 2).alias("part"))
     places = sized.select("*", upto(-MAX_EDITS, MAX_EDITS).alias("moved")).where(start + F.col("moved") >= 0)
     places = places.select("word", "size", "part", F.substr("word", start + F.col("moved") + 1, length).alias("text"))
-    met = places.join(listed, ["size", "part", "text"]).select("word", "term", "count").distinct()
-    distance = F.levenshtein("word", "term", MAX_EDITS)
-    best = F.struct((-F.col("count")).alias("rank"), F.col("term"))
-    return met.select("word", F.struct(distance.alias("distance"), best.alias("best")).alias("m")).where(
-        "m.distance >= 0").groupBy("word").agg(F.min("m").alias("m"))
+    met = places.join(listed, ["size", "part", "text"]).select("word", "term", "rank").distinct()
+    distance = F.levenshtein("word", "term", MAX_EDITS).cast("bigint")
+    return met.select("word", F.when(distance >= 0, distance * STEP + F.col("rank")).alias("m")).where(
+        F.col("m").isNotNull()).groupBy("word").agg(F.min("m").alias("m"))
 
 
 def correct_words(words: DataFrame, dictionary: DataFrame, long: int = LONG) -> DataFrame:
@@ -128,17 +139,18 @@ def correct_words(words: DataFrame, dictionary: DataFrame, long: int = LONG) ->
     few skeletons of one edit.
     """
     asked = staged(words.select("word").distinct(), "asked")
-    brief = dictionary.where(F.length("word") <= long)
+    ranked = _ranked(dictionary)
+    brief = ranked.where(F.length("word") <= long)
     short = asked.where(F.length("word") <= long + MAX_EDITS)
     near = staged(_nearest(short, brief, 1), "near")
     rest = short.join(near.select("word"), "word", "left_anti")
     far = asked.where(F.length("word") > long - MAX_EDITS)
     found = near.unionByName(_nearest(rest, brief, MAX_EDITS)).unionByName(
-        _nearest_long(far, dictionary.where(F.length("word") > long)))
+        _nearest_long(far, ranked.where(F.length("word") > long)))
     best = found.groupBy("word").agg(F.min("m").alias("m"))
-    return asked.join(best, "word", "left").select(
-        "word", F.coalesce("m.best.term", F.col("word")).alias("corrected"), F.col("m.distance").alias("distance")
-    )
+    met = best.select("word", F.expr(f"m div {STEP}").cast("int").alias("distance"), F.pmod("m", F.lit(STEP)).alias("rank")).join(
+        ranked.select("rank", F.col("word").alias("term")), "rank")
+    return asked.join(met, "word", "left").select("word", F.coalesce("term", "word").alias("corrected"), "distance")
 
 
 def correct_texts(df: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
