@@ -12,7 +12,7 @@ from wordloom.operators import analytics as an
 from wordloom.operators import bayes as nb
 from wordloom.operators.bayes_ledger import BayesLedger
 from wordloom.operators import evaluate as ev
-from wordloom.operators import features
+from wordloom.operators import features, skew
 from wordloom.operators.features import binary_terms, fit_tfidf
 from wordloom.operators.tagging import vote_per_sentence
 from wordloom.plans.classify_queries import clean_evaluation
@@ -249,3 +249,18 @@ def test_tfidf_is_counted_by_the_slice_and_weighed_without_a_shuffle(spark, monk
     assert got.keys() == want.keys()
     for (i, t), x in got.items():
         assert abs(x - want[i, t] / math.sqrt(sum(w * w for (j, _), w in want.items() if j == i))) < 1e-12
+
+
+def test_join_with_many_keys_sorts_no_left_rows(spark, folder, monkeypatch):
+    """A right side of many keys is hashed; hot keys still meet all their rows, unknown ones none."""
+    rows = [(i, "hot" if i % 3 else f"k{i % 50}") for i in range(3000)] + [(9999, "unknown"), (9998, None)]
+    left = spark.createDataFrame(rows, "id INT, k STRING")
+    left.where("k like 'k%' or k = 'hot'").groupBy("k").count().write.parquet(f"{folder}/right")
+    right = spark.read.parquet(f"{folder}/right")
+    want = sorted((i, k, n) for i, k in rows for n in [Counter(k for _, k in rows)[k]] if k and k != "unknown")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" not in plan(skew.hot_join(left, right, "k", "count", "id"))
+    monkeypatch.setattr(skew, "MANY_KEYS", 10)
+    got = skew.hot_join(left, right, "k", "count", "id")
+    assert "ShuffledHashJoin" in plan(got) and "SortMergeJoin" not in plan(got)
+    assert sorted((r.id, r.k, r["count"]) for r in got.collect()) == want

@@ -16,6 +16,7 @@ from wordloom.operators import edges as eg
 from wordloom.operators import lexicon as lx
 from wordloom.operators import textprep as tp
 from wordloom.operators.pages import ArticleLayout, extract_articles
+from wordloom.operators.skew import hashed_if_many
 from wordloom.operators.tagging import describe_tags
 from wordloom.session import staged
 from wordloom.sources.files import read_texts
@@ -81,14 +82,14 @@ def external_definitions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents that have a label row, with their sentiment."""
+    """Documents that have a label row, with their sentiment. Many labels are hashed, so that no text is sorted."""
     labels = table(spark, sf, "labels")
     sentiment = (
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
         .otherwise("neutral")
     )
     return table(spark, sf, "documents").join(
-        labels.select("doc_id", sentiment.alias("label")), "doc_id"
+        hashed_if_many(labels.select("doc_id", sentiment.alias("label"))), "doc_id"
     )
 
 
