@@ -423,6 +423,53 @@ def test_a_group_of_near_copies_does_not_meet_in_pairs(spark, monkeypatch):
     assert met[0].count() < 500
 
 
+@pytest.mark.parametrize("star_block", [line_dedup.STAR_BLOCK, 7])
+def test_far_copies_of_a_text_are_counted_by_their_edits(spark, monkeypatch, star_block):
+    monkeypatch.setattr(line_dedup, "STAR_BLOCK", star_block)
+    rng = random.Random(11)
+    base, changes = [f"word{i}" for i in range(200)], [f"shared{i}" for i in range(40)]
+    texts = [" ".join(base)] * 3
+    for i in range(160):
+        words = list(base)
+        for at in rng.sample(range(len(words)), rng.randrange(1, 16)):
+            words[at] = rng.choice(changes) if rng.random() < 0.2 else f"other{i}x{at}"
+        texts += [" ".join(words)] * rng.choice([1, 1, 2])
+    rng.shuffle(texts)
+    alike = []
+    similar = line_dedup._similar_classes
+    monkeypatch.setattr(line_dedup, "_similar_classes", lambda *a: alike.append(similar(*a)) or alike[-1])
+    got = {r["doc_id"]: r["n_links"] for r in line_dedup.find_similar_lines(documents(spark, texts)).collect()}
+    want = plain_links(texts)
+    classes = len(set(texts))
+    assert got == {d: want[d] for d in range(len(texts))}
+    assert sum(want.values()) > len(texts) ** 2 // 4
+    assert alike[0][1].count() < classes ** 2 // 10  # pairs that are met; there are classes ** 2 // 2
+
+
+def test_short_copies_of_a_text_are_one_star(spark, monkeypatch):
+    base = prose(3, 60).split()[:10]
+    texts = [" ".join([*base[:i % 10], f"other{i}", *base[i % 10 + 1:]]) for i in range(90)] + [" ".join(base)]
+    met = []
+    meet = line_dedup._meet
+    monkeypatch.setattr(line_dedup, "_meet", lambda *a: met.append(meet(*a)) or met[-1])
+    got = {r["doc_id"]: r["n_links"] for r in line_dedup.find_similar_lines(documents(spark, texts)).collect()}
+    want = plain_links(texts)
+    assert got == {d: want[d] for d in range(len(texts))} and want[90] == 90
+    assert met[0].count() == 0
+
+
+def test_earlier_lines_of_a_star_are_those_of_all_pairs():
+    rng = np.random.default_rng(4)
+    star, place = np.sort(rng.integers(0, 9, 400)), np.zeros(400, np.int64)
+    for s in range(9):
+        place[star == s] = np.sort(rng.integers(0, 30, (star == s).sum()))
+    excess, weight = rng.integers(-40, 25, 400), rng.integers(1, 4, 400)
+    excess[star == 3] = -5
+    want = [sum(w for t, q, e, w in zip(star, place, excess, weight) if t == s and q < p and e + x <= 0)
+            for s, p, x in zip(star, place, excess)]
+    assert line_dedup._earlier_in_star(star, place, excess, weight).tolist() == want
+
+
 def test_rows_with_one_key_and_different_texts(spark):
     line = prose(4, 20)
     docs = spark.createDataFrame([(1, line), (1, prose(5, 20) + "\n" + line), (2, line)], "doc_id long, text string")

@@ -10,9 +10,12 @@ which bounds what they have in common. Candidates are verified on their words.
 
 Lines with equal sets of words are one class and are joined once, however many they are. Classes
 come together by word; a word of very many is dealt out in pairs of blocks. A group of near copies does
-not turn into its pairs: Jaccard distance is a metric, so classes near enough to one hub are all similar
-to each other and are counted as one ball. Classes of different balls meet and are verified in pairs. Each
-line's earlier matches are counted over balls and similar classes, so no link is lost.
+not turn into its pairs: each class is told by its edits, the words that only it or only its hub has, and the
+classes of one hub are a star. Two classes differ in the edits that not both have. If they share none, their similarity
+follows from one number each, the excess, so earlier matches are counted by excess without pairs. Only classes that the
+edits they share make similar, and classes of different stars, meet and are verified in pairs. No link is lost. Any set of words can be
+what a star's edits are told from: a hub joins the star of its own hub with its members, and edits that most members have are
+taken into it, so that few pairs share any.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,13 +38,19 @@ from wordloom.session import staged
 MIN_WORDS = 5
 #: Similarity as a fraction, so that the filters are exact.
 NUMERATOR, DENOMINATOR = 4, 5
-#: The similarity at half that distance, which two members of a ball have to its hub.
-NEAR_BY, NEAR_OF = 9, 10
+#: Two sets of n and m words of which d are in one only are similar if d * APART <= (n + m) * TOTAL.
+APART, TOTAL = DENOMINATOR + NUMERATOR, DENOMINATOR - NUMERATOR
 #: Counters for the rarity of words; words that share one are ordered by their joint count.
 COUNTERS = 1 << 18
+#: Counters that are handed on as one row.
+CHUNK = 1 << 14
 #: Rows of one word that are compared with each other in one task, rows that are worked on together.
 BLOCK = 4000
 TOGETHER = 100_000
+#: Classes of a star that are compared by their edits in one task.
+STAR_BLOCK = 1500
+#: Times that the classes of a hub follow it into the star of its own hub.
+HOPS = 2
 #: Classes that a task keeps in mind to post them once.
 REMEMBERED = 500_000
 POSTED = ["cell", "at", "digest", "high", "low"]
@@ -58,30 +68,50 @@ def _digests(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
 def describe_lines(docs: DataFrame) -> DataFrame:
     """A row for each line: doc_id, line and digest (of the set of words); and rows of counters.
 
-    Every task adds up its own COUNTERS numbers of how many lines have a word of each counter, in
-    ``counter`` and ``seen``.
+    Every task adds up its own COUNTERS numbers of how many lines have a word of each counter; ``seen`` has CHUNK of
+    them, little-endian, and ``chunk`` says which.
     """
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "line", "digest", "counter", "seen"]
+        names = ["doc_id", "line", "digest", "chunk", "seen"]
         kind = None
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for part in slices(batch):
                 row, number, size, hashes, _ = line_words(part["text"], MIN_WORDS)
                 total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-                nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.int64())]
+                nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())]
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()),
                      pa.array(_digests(hashes, size)), *nothing], names)
-        used = np.flatnonzero(total)
+        chunks = total.reshape(-1, CHUNK)
+        used = np.flatnonzero(chunks.any(1))
         if len(used):
             empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), pa.array(total[used])], names)
+            seen = pa.array([chunks[c].tobytes() for c in used.tolist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), seen], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(describe, f"doc_id {kind}, line int, digest bigint, counter int, seen bigint")
+    return docs.mapInArrow(describe, f"doc_id {kind}, line int, digest bigint, chunk int, seen binary")
+
+
+def _summed(counted: DataFrame) -> np.ndarray:
+    """The COUNTERS numbers of all tasks added up."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, seen in zip(batch["chunk"].to_pylist(), batch["seen"]):
+                total[chunk] = total.get(chunk, 0) + np.frombuffer(seen.as_buffer(), np.int64)
+        if total:
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], ["chunk", "seen"])
+
+    counts = np.zeros((COUNTERS // CHUNK, CHUNK), np.int64)
+    for row in counted.repartition("chunk").mapInArrow(add, "chunk int, seen binary").collect():
+        counts[row["chunk"]] = np.frombuffer(row["seen"], np.int64)
+    return counts.reshape(-1)
 
 
 def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
@@ -147,19 +177,25 @@ def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def _by_cell(rows: DataFrame) -> DataFrame:
-    return rows.repartition("cell").sortWithinPartitions("cell", "at", "digest")
+    return rows.repartition("cell").sortWithinPartitions("cell")
 
 
-def _whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows sorted by cell in tables of about TOGETHER, none of which ends inside a cell."""
+def _cells_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Whole cells, their rows in order."""
+    for rows in _whole_cells(batches):
+        yield rows.take(pa.array(np.lexsort([rows[c].to_numpy() for c in ("digest", "at", "cell")]))).combine_chunks()
+
+
+def _whole_cells(batches: Iterable[pa.RecordBatch], key: str = "cell", together: int | None = None) -> Iterator[pa.Table]:
+    """Rows sorted by ``key`` in tables of about ``together`` (or TOGETHER), none of which ends inside a key."""
     waiting, size = [], 0
     for batch in batches:
         waiting.append(batch)
         size += batch.num_rows
-        if size < TOGETHER:
+        if size < (together or TOGETHER):
             continue
         rows = pa.Table.from_batches(waiting)
-        cell = rows["cell"].to_numpy()
+        cell = rows[key].to_numpy()
         same = np.flatnonzero(cell != cell[-1])
         end = int(same[-1]) + 1 if len(same) else 0  # the last cell may go on
         if end:
@@ -173,7 +209,8 @@ def _whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(x, y, words, differ): rows x of whole sorted cells and earlier rows y of them that may match.
 
-    ``words`` is the number of words of both together, ``differ`` a lower bound of those that one has alone.
+    No row is twice among the rows x or y that come at once. ``words`` is the number of words of both together,
+    ``differ`` a lower bound of those that one has alone.
     """
     cell, at, digest, high, low = (rows[c].to_numpy() for c in POSTED)
     n, place, side = at >> 32, (at & 0xFFFFFFFF) >> 2, at & 3
@@ -196,56 +233,59 @@ def _pairs_of(rows: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarr
         x = x[rank[x] >= back]
 
 
-def _close_pairs(rows: pa.Table, matched: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs that may be within half the distance of similar classes; notes which rows may match any."""
-    for x, y, words, differ in _pairs_of(rows):
-        matched[x] = matched[y] = True
-        close = (words - differ) * (NEAR_BY + NEAR_OF) >= 2 * words * NEAR_BY
-        yield x[close], y[close]
+def _note_degrees(posted: DataFrame) -> DataFrame:
+    """The posted rows that have a possible match in their cell, with ``degree``, which grows with their number and nearness, stored.
+
+    That of the text that a group of copies was made from is the highest, as copies are further from each other.
+    """
 
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _cells_in_order(batches):
+            degree = np.zeros(len(rows), np.int64)
+            for x, y, words, differ in _pairs_of(rows):
+                nearness = words * TOTAL - differ * APART + 1  # above 0 for possible matches
+                degree[x] += nearness
+                degree[y] += nearness
+            yield from rows.append_column("degree", pa.array(degree)).filter(pa.array(degree > 0)).combine_chunks().to_batches()
+
+    named = ", ".join(f"{c} bigint" for c in [*POSTED, "degree"])
+    return staged(_by_cell(posted).mapInArrow(find, named), "matched")
 
-def _find_hubs(posted: DataFrame) -> DataFrame:
-    """The posted rows that have a possible match in their cell, with ``hub`` and ``degree``, stored.
 
-    The hub is, of a class and the classes of the cell that may be within half the distance that similar ones
-    can have, the one with most of such neighbours: the text that a group of copies was made from, if it is there.
-    """
+def _find_hubs(matched: DataFrame) -> DataFrame:
+    """Classes (x) and, for each of their cells, the possible match (y) whose degree in any cell (``most``) is the highest, if above theirs."""
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_cells(batches):
-            digest = rows["digest"].to_numpy()
-            degree, matched = np.zeros(len(digest), np.int64), np.zeros(len(digest), bool)
-            for x, y in _close_pairs(rows, matched):
-                np.add.at(degree, x, 1)
-                np.add.at(degree, y, 1)
-            order = np.lexsort((digest, degree))
+        for rows in _cells_in_order(batches):
+            digest, most = rows["digest"].to_numpy(), rows["most"].to_numpy()
+            order = np.lexsort((digest, most))
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             best = rank.copy()
-            if degree.any():
-                for x, y in _close_pairs(rows, matched):
-                    np.maximum.at(best, x, rank[y])
-                    np.maximum.at(best, y, rank[x])
+            for x, y, _, _ in _pairs_of(rows):
+                best[x] = np.maximum(best[x], rank[y])
+                best[y] = np.maximum(best[y], rank[x])
             hub = order[best]
-            found = rows.append_column("hub", pa.array(digest[hub])).append_column("degree", pa.array(degree[hub]))
-            yield from found.filter(pa.array(matched)).combine_chunks().to_batches()
+            other = best > rank
+            yield pa.RecordBatch.from_arrays([pa.array(c[other]) for c in (digest, digest[hub], most[hub])], ["x", "y", "most"])
 
-    named = ", ".join(f"{c} bigint" for c in [*POSTED, "hub", "degree"])
-    return staged(_by_cell(posted).mapInArrow(find, named), "matched")
+    degrees = matched.groupBy("digest").agg(F.max("degree").alias("most"))
+    ranked = matched.drop("degree").join(degrees, "digest").select(*POSTED, "most")
+    return _by_cell(ranked).mapInArrow(find, "x bigint, y bigint, most bigint").distinct()
 
 
-def _meet(matched: DataFrame, balls: DataFrame) -> DataFrame:
-    """Pairs (x, y) of classes of different balls that may match, each once, stored."""
+def _meet(matched: DataFrame, stars: DataFrame) -> DataFrame:
+    """Pairs (x, y) of classes of different stars that may match, each once, stored."""
 
     def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _whole_cells(batches):
-            digest, ball = rows["digest"].to_numpy(), rows["ball"].to_numpy()
+        for rows in _cells_in_order(batches):
+            digest, star = rows["digest"].to_numpy(), rows["star"].to_numpy()
             for x, y, _, _ in _pairs_of(rows):
-                apart = ball[x] != ball[y]
+                apart = star[x] != star[y]
                 a, b = digest[x[apart]], digest[y[apart]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["x", "y"])
 
-    placed = matched.drop("hub", "degree").join(balls, "digest", "left").select(*POSTED, F.coalesce("ball", "digest").alias("ball"))
+    placed = matched.join(stars.select("digest", "star"), "digest").select(*POSTED, "star")
     return staged(_by_cell(placed).mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
 
 
@@ -286,30 +326,129 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return staged(found.select("digest", F.array_remove("words", "").alias("words")).dropDuplicates(["digest"]), "words")
 
 
-def _alike(pairs: DataFrame, words: DataFrame, part: int, of: int) -> DataFrame:
-    """The pairs (x, y) of classes whose Jaccard similarity is ``part / of`` or more."""
+def _with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Pairs (x, y) of classes with their words, and ``common`` and ``total``, the number of words of both and the sum of theirs."""
     for s in "xy":
         pairs = pairs.join(words.select(F.col("digest").alias(s), F.col("words").alias(f"words_{s}")), s)
-    common = F.size(F.array_intersect("words_x", "words_y"))
-    either = F.size("words_x") + F.size("words_y") - common
-    return pairs.where(common * of >= either * part).drop("words_x", "words_y")
+    pairs = pairs.withColumn("common", F.size(F.array_intersect("words_x", "words_y")))
+    return pairs.withColumn("total", F.size("words_x") + F.size("words_y"))
+
+
+def _similar(pairs: DataFrame, times: int = 1) -> DataFrame:
+    """Those of similar classes, or within ``times`` the distance that they may have."""
+    return pairs.where((F.col("total") - 2 * F.col("common")) * APART <= F.col("total") * TOTAL * times)
+
+
+def _moved(stars: DataFrame, way: str) -> DataFrame:
+    """The stars with their edits told from another set of words, which differs from the one before by the words of ``way``."""
+    edits = F.concat(F.array_except("edits", way), F.array_except(way, "edits"))
+    return stars.withColumn("told", edits).select(
+        "digest", "star", (F.col("excess") + (F.size("told") - F.size("edits")) * APART).alias("excess"), F.col("told").alias("edits"))
+
+
+def _stars(matched: DataFrame, words: DataFrame) -> DataFrame:
+    """digest, ``star``, ``excess`` and ``edits`` of each class with possible matches, stored.
+
+    ``edits`` has a hash of each word that only the class or only the star's set of words has. The words that two classes of
+    a star do not share are the edits that only one of them has, so they are similar if the sum of
+    their excess is at most 2 * APART for each edit that both have.
+    """
+    tried = _similar(_with_words(_find_hubs(matched), words), 2)  # any distance will do, near ones have fewer edits
+    edits = F.concat(F.array_except("words_x", "words_y"), F.array_except("words_y", "words_x"))
+    excess = (F.col("total") - 2 * F.col("common")) * APART - F.size("words_x") * TOTAL
+    tried = tried.select(F.col("x").alias("digest"), F.struct(
+        "most", F.col("y").alias("star"), excess.cast("bigint").alias("excess"),
+        F.transform(edits, lambda w: F.xxhash64(w)).alias("edits")).alias("to"))
+    best = tried.groupBy("digest").agg(F.max("to").alias("to"))
+    alone = (F.size("words") * -TOTAL).cast("bigint")
+    stars = staged(words.select("digest", alone.alias("alone")).join(best, "digest", "left").select(
+        "digest", F.coalesce("to.star", "digest").alias("star"), F.coalesce("to.excess", "alone").alias("excess"),
+        F.coalesce("to.edits", F.array().cast("array<bigint>")).alias("edits")), "hubs")
+    for _ in range(HOPS):
+        up = stars.where("star != digest").select(F.col("digest").alias("star"), F.col("star").alias("hub"), F.col("edits").alias("way"))
+        hop = stars.join(up, "star", "left").withColumn("star", F.coalesce("hub", "star"))
+        stars = staged(_moved(hop.withColumn("way", F.coalesce("way", F.array().cast("array<bigint>"))), "way"), "hubs")
+    members = stars.groupBy("star").agg(F.count(F.lit(1)).alias("members")).where("members > 2")
+    held = stars.select("star", F.explode("edits").alias("edit")).groupBy("star", "edit").agg(F.count(F.lit(1)).alias("held"))
+    most = held.join(members, "star").where("2 * held > members").groupBy("star").agg(F.collect_list("edit").alias("way"))
+    told = stars.join(most, "star", "left").withColumn("way", F.coalesce("way", F.array().cast("array<bigint>")))
+    return staged(_moved(told, "way"), "stars")
+
+
+def _sharing_edits(stars: DataFrame) -> DataFrame:
+    """Pairs (x, y) of classes of one star that only the edits which both have make similar.
+
+    A star of more than STAR_BLOCK such classes is dealt out in pairs of blocks.
+    """
+
+    def share(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches, together=TOGETHER // 10):
+            cell, digest, excess, side = (rows[c].to_numpy() for c in ("cell", "digest", "excess", "side"))
+            edits = rows["edits"].combine_chunks()
+            row = np.repeat(np.arange(len(edits)), pc.list_value_length(edits).to_numpy())
+            edit = edits.flatten().to_numpy()
+            order = np.lexsort((row, edit, cell[row]))
+            row, edit = row[order], edit[order]
+            new = np.append(True, (edit[1:] != edit[:-1]) | (cell[row[1:]] != cell[row[:-1]]))
+            rank = np.arange(len(row)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+            at, back, found = np.flatnonzero(rank > 0), 1, [np.zeros(0, np.int64)]
+            while len(at):
+                u, v = row[at], row[at - back]
+                ok = (excess[u] + excess[v] > 0) & ((side[u] == 0) | (side[u] != side[v]))
+                found.append(u[ok] * len(cell) + v[ok])
+                back += 1
+                at = at[rank[at] >= back]
+            pairs, both = np.unique(np.concatenate(found), return_counts=True)
+            u, v = pairs // len(cell), pairs % len(cell)
+            ok = excess[u] + excess[v] <= 2 * APART * both
+            yield pa.RecordBatch.from_arrays([pa.array(digest[u[ok]]), pa.array(digest[v[ok]])], ["x", "y"])
+
+    # Sums of two above 0 need one above 0.
+    top = stars.groupBy("star").agg(F.max("excess").alias("top")).where("top > 0")
+    far = staged(stars.join(top, "star").where("excess + top > 0 AND size(edits) > 0").drop("top"), "far")
+    sizes = far.groupBy("star").agg(F.ceil(F.count(F.lit(1)) / STAR_BLOCK).cast("int").alias("blocks"))
+    dealt = far.join(sizes, "star").withColumn("mine", F.pmod(F.xxhash64("digest"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("mine") == F.col("other"), 0).when(F.col("mine") < F.col("other"), 1).otherwise(2)
+    dealt = dealt.select(F.xxhash64("star", F.least("mine", "other"), F.greatest("mine", "other")).alias("cell"),
+                         "digest", "excess", side.alias("side"), "edits")
+    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(share, "x bigint, y bigint")
 
 
 def _similar_classes(posted: DataFrame, lines: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The balls of classes (digest, ball), and the similar classes (x, y) of different balls, both stored.
+    """The stars, and the similar classes (x, y) that are of different stars or share edits, both stored.
 
-    Jaccard distance is a metric: classes within half the distance of one hub are similar to each
-    other and form a ball, whose pairs are neither met nor checked. Classes not listed are a ball each.
+    Classes not listed are a star each.
     """
-    matched = _find_hubs(posted)
+    matched = _note_degrees(posted)
     ends = matched.select("digest").distinct()
     first = lines.join(ends, "digest", "left_semi").groupBy("digest").agg(F.min(F.struct("doc_id", "line")).alias("at"))
     words = _words_of(docs, first.select("at.doc_id", "at.line", "digest"))
-    tried = matched.where("hub != digest").groupBy(F.col("digest").alias("x"), F.col("hub").alias("y")).agg(
-        F.max("degree").alias("degree"))
-    within = _alike(tried, words, NEAR_BY, NEAR_OF).groupBy(F.col("x").alias("digest"))
-    balls = staged(within.agg(F.max_by("y", F.struct("degree", "y")).alias("ball")), "balls")
-    return balls, staged(_alike(_meet(matched, balls), words, NUMERATOR, DENOMINATOR), "alike")
+    stars = _stars(matched, words)
+    apart = _similar(_with_words(_meet(matched, stars), words)).select("x", "y")
+    return stars, staged(apart.unionByName(_sharing_edits(stars)), "alike")
+
+
+def _earlier_in_star(star: np.ndarray, place: np.ndarray, excess: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """For rows sorted by star and place: the weight of the star's rows of lower place that are similar without shared edits."""
+    n = len(star)
+    if not n:
+        return np.zeros(0, np.int64)
+    new = np.append(True, star[1:] != star[:-1])
+    fresh = new | np.append(True, place[1:] != place[:-1])
+    starts, ends = np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], n)
+    start, tie = starts[np.cumsum(new) - 1], np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+    total = np.append(0, np.cumsum(weight))
+    out = total[tie] - total[start]
+    top = np.maximum.reduceat(excess, starts)
+    for s in np.flatnonzero((top > 0) & (ends - starts > 1)).tolist():
+        a, b = starts[s], ends[s]
+        mine = excess[a:b]
+        for e in np.unique(mine[mine + top[s] > 0]).tolist():
+            at = np.flatnonzero(mine == e)
+            near = np.append(0, np.cumsum(np.where(mine + e <= 0, weight[a:b], 0)))
+            out[a + at] = near[tie[a + at] - a]
+    return out
 
 
 def _earlier_in_ranges(per_range: DataFrame, group: str) -> DataFrame:
@@ -319,27 +458,56 @@ def _earlier_in_ranges(per_range: DataFrame, group: str) -> DataFrame:
     return summed.where("here").select(group, "range", "before")
 
 
-def _count_links(lines: DataFrame, balls: DataFrame, alike: DataFrame) -> DataFrame:
-    """doc_id, line and links, the number of earlier lines of its ball and of similar classes, of each line with any.
+def _place_lines(lines: DataFrame) -> DataFrame:
+    """The lines with ``range``, a stretch of the order, and ``inside``, the earlier matches in it by excess, stored."""
+
+    def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches, "star"):
+            doc = rows["doc_id"].combine_chunks().dictionary_encode().indices.to_numpy()
+            line, star = rows["line"].to_numpy(), rows["star"].to_numpy()
+            at = np.cumsum(np.append(True, (doc[1:] != doc[:-1]) | (line[1:] != line[:-1])))
+            inside = _earlier_in_star(star, at, rows["excess"].to_numpy(), np.ones(len(rows), np.int64))
+            yield from rows.append_column("inside", pa.array(inside)).combine_chunks().to_batches()
+
+    ranges = lines.repartitionByRange("doc_id", "line").withColumn("range", F.spark_partition_id())
+    ranges = ranges.select("doc_id", "line", "digest", "star", "excess", "range").sortWithinPartitions("star", "doc_id", "line")
+    named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ranges.schema)
+    return staged(ranges.mapInArrow(place, f"{named}, inside bigint"), "placed")
+
+
+def _before_ranges(placed: DataFrame) -> DataFrame:
+    """star, range, excess and ``before``, the matches by excess in all earlier ranges."""
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches, "star"):
+            before = _earlier_in_star(*(rows[c].to_numpy() for c in ("star", "range", "excess", "m")))
+            yield pa.RecordBatch.from_arrays(
+                [*(rows[c].combine_chunks() for c in ("star", "range", "excess")), pa.array(before)], ["star", "range", "excess", "before"])
+
+    counted = placed.groupBy("star", "range", "excess").agg(F.count(F.lit(1)).alias("m"))
+    ordered = counted.repartition("star").sortWithinPartitions("star", "range")
+    return ordered.mapInArrow(count, "star bigint, range int, excess bigint, before bigint")
+
+
+def _count_links(lines: DataFrame, stars: DataFrame, alike: DataFrame) -> DataFrame:
+    """doc_id, line and links, the number of earlier lines that it matches, of each line with any.
 
-    Lines are dealt to ranges of the order. The lines of a ball or class in earlier ranges are added up by
+    Lines are dealt to ranges of the order. The lines of a star or class in earlier ranges are added up by
     range; lines meet only within a range, so a class of any size is counted in as many tasks as there are.
     """
+    # Equal lines share all edits.
+    equal = stars.where("excess > 0").select("digest", F.col("digest").alias("other"))
     near = staged(alike.select(F.col("x").alias("digest"), F.col("y").alias("other")).unionByName(
-        alike.select(F.col("y").alias("digest"), F.col("x").alias("other"))), "near")
+        alike.select(F.col("y").alias("digest"), F.col("x").alias("other"))).unionByName(equal), "near")
     several = lines.groupBy("digest").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("digest")
-    hubs = balls.select(F.col("ball").alias("digest"))
-    linked = several.unionByName(hubs).unionByName(balls.select("digest")).unionByName(near.select("digest")).distinct()
-    linked = linked.join(balls, "digest", "left").select("digest", F.coalesce("ball", "digest").alias("ball"))
-    placed = lines.join(linked, "digest").distinct().repartitionByRange("doc_id", "line")
-    placed = staged(placed.withColumn("range", F.spark_partition_id()), "placed")
+    linked = several.unionByName(stars.select("digest")).distinct().join(stars.drop("edits"), "digest", "left")
+    linked = linked.select("digest", F.coalesce("star", "digest").alias("star"), F.coalesce("excess", F.lit(0)).alias("excess"))
+    placed = _place_lines(lines.join(linked, "digest").distinct())
     m = F.count(F.lit(1)).alias("m")
-    # Earlier lines of the same ball.
-    of_ball = placed.groupBy("ball", "range").agg(m).withColumn("here", F.lit(True))
-    inside = Window.partitionBy("ball", "range").orderBy("doc_id", "line")
-    own = placed.withColumn("inside", F.rank().over(inside) - 1).join(_earlier_in_ranges(of_ball, "ball"), ["ball", "range"])
+    # Earlier lines of the same star.
+    own = placed.join(_before_ranges(placed), ["star", "range", "excess"])
     own = own.select("doc_id", "line", "digest", (F.col("before") + F.col("inside")).alias("links"))
-    # Earlier lines of the similar classes of other balls.
+    # Earlier lines of the similar classes of other stars, or by shared edits.
     met = placed.join(near.select("digest").distinct(), "digest", "left_semi")
     per_range = staged(met.groupBy("digest", "range").agg(m), "per_range")
     theirs = per_range.select(F.col("digest").alias("other"), "range", "m")
@@ -363,10 +531,8 @@ def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``docs`` has doc_id and text; ``links`` counts all earlier lines that a line matches.
     """
     described = staged(describe_lines(docs), "lines")
-    lines = described.where("line IS NOT NULL").drop("counter", "seen")
-    counted = described.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("seen").alias("seen")).toPandas()
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[counted["counter"].to_numpy(int)] = counted["seen"].to_numpy(int)
+    lines = described.where("line IS NOT NULL").drop("chunk", "seen")
+    counts = _summed(described.where("chunk IS NOT NULL").select("chunk", "seen"))
     return lines, _count_links(lines, *_similar_classes(post_prefixes(docs, counts), lines, docs))
 
 

@@ -83,13 +83,16 @@ def line_words(texts: pa.Array, least: int, held: np.ndarray | None = None):
     mine = long_enough[line]
     start, end, line = start[mine], end[mine], (np.cumsum(long_enough) - 1)[line[mine]]
     row, number = row[long_enough], number[long_enough]
-    table, codes = np.unique(hash_spans(data, start, end), return_inverse=True)
+    coded = pa.array(hash_spans(data, start, end)).dictionary_encode()
+    table, codes = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(table)
     if held is not None:
-        order = np.argsort(held[(table % np.uint64(len(held))).astype(np.int64)], kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        table, codes = table[order], rank[codes]
+        order = order[np.argsort(held[(table[order] % np.uint64(len(held))).astype(np.int64)], kind="stable")]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    table, codes = table[order], rank[codes]
     bits = max(len(table), 1).bit_length()
-    key = np.unique((line << bits) | codes)
+    key = np.sort((line << bits) | codes)  # faster here than np.unique
+    key = key[np.append(True, key[1:] != key[:-1])] if len(key) else key
     line = key >> bits
     return row, number, np.bincount(line, minlength=len(row)), table[key & ((1 << bits) - 1)], line
