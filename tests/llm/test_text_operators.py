@@ -163,6 +163,25 @@ def test_pieces_cover_the_text():
     assert all("".join(splitter()(t)) == t for t in (random_text(rng) for _ in range(500)))
 
 
+def test_pieces_just_met_outlive_a_full_cache(monkeypatch):
+    tokenizer, added, _ = packing._tokenizer(VOCABULARY)
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    kept = Counting(), added, {}
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: kept)
+    monkeypatch.setattr(packing, "KEPT_PIECES", 6)
+    for text in ("one two three four", "one two five six seven", "one two " + "x" * 300, "one three"):
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert packing._encode_batch(VOCABULARY, [text]) == [np.array(ids, "<u4").tobytes()]
+    assert asked.count(" two") == asked.count("one") == 1
+    assert asked.count(" three") == 2 and len(kept[2]) <= 6
+
+
 def test_packing_is_gapless_and_certified(spark):
     texts = [None, "", "<|endoftext|>", *[prose(i, 10 + 37 * i % 1700) for i in range(60)], prose(99, 9000)]
     rows = packing.pack_documents(documents(spark, texts), VOCABULARY).collect()

@@ -34,6 +34,7 @@ END_ID = 0
 PER_TASK = 200_000
 ROUNDS = 4
 KEPT_PIECES = 400_000
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(16)]
 
 PIECES = "doc_id {key}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -56,13 +57,16 @@ def _encode_batch(path: str, texts: list[str]) -> list[bytes]:
     tokenizer, added, known = _tokenizer(path)
     split = splitter()
     pieces = [None if added(text) else split(text) for text in texts]
-    new = set().union(*filter(None, pieces)).difference(known)
+    met = set().union(*filter(None, pieces))
+    new = met.difference(known)
     if len(known) + len(new) > KEPT_PIECES:
+        kept = {p: known[p] for p in met.difference(new)}  # the frequent ones are among them
         known.clear()
-        new = set().union(*filter(None, pieces))
+        known.update(kept)
     listed = list(new)
-    for p, e in zip(listed, tokenizer.encode_batch_fast(listed, add_special_tokens=False)):
-        known[p] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+    encoded = tokenizer.encode_batch_fast(listed, add_special_tokens=False)
+    known.update(zip(listed, [_PACKED[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
+                              for ids in (e.ids for e in encoded)]))
     out = []
     for text, parts in zip(texts, pieces):
         if parts is None:
