@@ -1,11 +1,13 @@
 """Lexical search, hard negatives and repeated bytes against brute force."""
 
+import collections
 import hashlib
 import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import documents, edges, prose
 from oracle_check import compare, connect
@@ -89,6 +91,20 @@ def test_repeated_bytes_with_small_batches(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_only_strings_that_may_cross_a_boundary_are_handed_on():
+    rng = np.random.default_rng(3)
+    n, span = 60, repeated_bytes.SPAN
+    rights = sorted(b"z" * repeated_bytes.LEAD + rng.bytes(span - repeated_bytes.LEAD) for _ in range(n))
+    rights[1] = rights[0][:50] + rights[1][50:]
+    rows = pa.RecordBatch.from_pydict({
+        "lead": [1] * n, "next": [2] * n, "left": [rng.bytes(repeated_bytes.BEFORE) for _ in range(n)], "right": sorted(rights),
+        "doc": list(range(n)), "text_id": list(range(n)), "at": pa.array([500] * n, pa.int32())})
+    said = pa.Table.from_batches(repeated_bytes._second_sort(iter([rows])))
+    found = collections.Counter(said["doc"].to_pylist())
+    assert found[0] == found[n - 1] == repeated_bytes.BEFORE + 1 and found[1] >= repeated_bytes.BEFORE + 1 - 50
+    assert sum(found.values()) < 5 * n  # 85 * n strings in all
+
+
 def test_repeated_bytes_of_odd_rows(spark):
     """Null keys come first, equal keys by a digest of the text, equal rows are one document."""
     got = [(r.doc_id, sum(s.end - s.begin for s in r.spans)) for r in repeated_bytes.remove_repeated(edges(spark)).collect()]

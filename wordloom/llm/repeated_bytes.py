@@ -28,6 +28,7 @@ and get the same result each. Columns of other names are ignored.
 
 from __future__ import annotations
 
+import os.path
 from collections.abc import Iterator
 
 import numpy as np
@@ -290,8 +291,12 @@ def _inner(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield spans
 
 
-def _outer(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The same for contexts whose group may go on across a boundary, and a digest of each string that is new here."""
+def _outer(table: pa.Table, edges: list[bytes] | None = None) -> Iterator[pa.RecordBatch]:
+    """The same for contexts whose group may go on across a boundary, and a digest of each string that is new here.
+
+    ``edges`` has the suffixes of a whole group at the partition's boundaries. Rows are sorted by suffix, so a string that also
+    stands beyond a boundary has the bytes from the picked position on in common with the row there; the others are left out.
+    """
     table = table.filter(pa.array(~_repeats(table)))
     later, spans = _later(table)
     if spans is not None:
@@ -299,7 +304,8 @@ def _outer(table: pa.Table) -> Iterator[pa.RecordBatch]:
     digests, rows, begins = [], [], []
     for i, (a, b, at) in enumerate(zip(table["left"].to_pylist(), table["right"].to_pylist(), table["at"].to_pylist())):
         text = a + b
-        for o in range(max(0, SPAN - len(b)), len(a) + 1):
+        reach = len(b) if edges is None else max(len(os.path.commonprefix([b, edge])) for edge in edges)
+        for o in range(max(0, SPAN - reach), len(a) + 1):
             if not later[i, o]:
                 digests.append(xxhash.xxh3_128_digest(text[len(a) - o : len(a) - o + SPAN]))
                 rows.append(i)
@@ -317,21 +323,24 @@ def _group_starts(table: pa.Table) -> np.ndarray:
 def _second_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted contexts: the spans whose strings start earlier, and the different strings of the outermost groups."""
     held, opening, last = None, True, None
+    first = None  # the suffix of the partition's first row, as long as no row of its group was given on
     for batch in batches:
         if not len(batch):
             continue
         key = (batch["lead"][0].as_py(), batch["next"][0].as_py())
         if held is None and last is not None and key != last:
             opening = False
+        if last is None:
+            first = batch["right"][0].as_py()
         last = (batch["lead"][-1].as_py(), batch["next"][-1].as_py())
         held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
         starts = _group_starts(held)
         if opening and len(starts):
-            yield from _outer(held.slice(0, int(starts[0])))
+            yield from _outer(held.slice(0, int(starts[0])), None if first is None else [first])
             held, starts, opening = held.slice(int(starts[0])), starts[1:] - starts[0], False
         if opening and len(held) >= TOGETHER:
             yield from _outer(held)
-            held = None
+            held = first = None
         elif len(starts) and starts[-1] >= TOGETHER:
             yield from _inner(held.slice(0, int(starts[-1])))
             held = held.slice(int(starts[-1]))
@@ -340,7 +349,9 @@ def _second_sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = int(starts[-1]) if len(starts) else 0
         if end:
             yield from _inner(held.slice(0, end))
-        yield from _outer(held.slice(end))
+        whole = end or not opening
+        edge = held["right"][-1].as_py()
+        yield from _outer(held.slice(end), [edge] if whole else None if first is None else [first, edge])
 
 
 # -- the operator ---------------------------------------------------------------------------
