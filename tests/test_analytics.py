@@ -14,7 +14,9 @@ from wordloom.operators.bayes_ledger import BayesLedger
 from wordloom.operators import evaluate as ev
 from wordloom.operators import features, skew
 from wordloom.operators.features import binary_terms, fit_tfidf
-from wordloom.operators.tagging import vote_per_sentence
+from wordloom.operators import tagging
+from wordloom.operators import textprep as tp
+from wordloom.operators.tagging import vote_in_texts, vote_per_sentence
 from wordloom.plans.classify_queries import clean_evaluation
 from wordloom.sources.schemas import LEXICON
 
@@ -111,6 +113,42 @@ def test_sentence_votes(spark):
     assert {(r.id, r.label) for r in got.collect()} == {(1, "fear"), (2, "fear"), (3, "neutral")}
 
 
+VOTED = [
+    (1, "Sad glad sad. glad!  -GLAD-sad? so-so"), (2, ""), (3, None), (4, " . a. - x. \u212aid \u00e9glad\u0130sad. --sad-- --"),
+    (5, "glad glad... sad sad\nsad.\u00a0glad"), (7, ". ! ?  x"), (8, "kid kid kid glad"),
+]
+REPEATED = [(6, "glad glad. kid"), (6, "sad sad sad. glad glad"), (None, "glad"), (None, "kid. sad")]
+MOODS = [("sad", "Low"), ("glad", "High"), ("kid", "high"), ("so-so", "Low"), ("glad-sad", "odd"), ("-sad-", "odd"), (None, "odd")]
+
+
+def by_tokens(texts, table):
+    keys = ["id", "sent_pos"]
+    sentences = tp.sentence_rows(texts, "text", ["id"])
+    return vote_per_sentence(tp.sentence_tokens(sentences, keys), table, keys, sentences)
+
+
+@pytest.mark.parametrize("more", [[], [("sad", "High"), ("sad", None)]])  # one label for each word, or several
+@pytest.mark.parametrize("rows", [VOTED, VOTED + REPEATED, []])
+def test_votes_in_texts_are_those_of_tokens(spark, monkeypatch, rows, more):
+    monkeypatch.setattr(tagging, "STRETCH", 40)
+    texts = spark.createDataFrame(rows, "id INT, text STRING").coalesce(2)
+    table = spark.createDataFrame(MOODS + more, "word STRING, label STRING")
+    want = sorted(map(str, by_tokens(texts, table).collect()))
+    got = vote_in_texts(texts, "text", "id", table)
+    assert sorted(map(str, got.collect())) == want and bool(want) == bool(rows)
+    assert got.columns == ["id", "sent_pos", "label"]
+    monkeypatch.setattr(tagging, "TASK_WORDS", 2)
+    assert sorted(map(str, vote_in_texts(texts, "text", "id", table).collect())) == want
+
+
+def test_votes_in_texts_shuffle_nothing(spark):
+    """Tokens of all texts went through two exchanges to be voted on."""
+    texts = spark.createDataFrame(VOTED, "id INT, text STRING")
+    table = spark.createDataFrame(MOODS, "word STRING, label STRING")
+    plan = vote_in_texts(texts, "text", "id", table)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def test_labels(spark):
     df = spark.createDataFrame([("positive",), ("negative",), ("neutral",), ("x",), (None,)], "v STRING")
     assert [r[0] for r in df.select(sentiment_code(F.col("v"))).collect()] == [1, -1, 0, None, None]

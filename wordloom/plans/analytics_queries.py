@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.operators import analytics as an
 from wordloom.operators import lexicon as lx
-from wordloom.operators import textprep as tp
-from wordloom.operators.tagging import vote_per_sentence
+from wordloom.operators.tagging import vote_in_texts
 from wordloom.operators import stemming as st
 from wordloom.plans import standins as si
 from wordloom.plans.oracle import with_ctes
@@ -95,10 +94,7 @@ def label_share(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sentence_emotion(spark: SparkSession, sf: str) -> DataFrame:
-    keys = ["doc_id", "sent_pos"]
-    sentences = tp.sentence_rows(si.table(spark, sf, "documents"), "text", ["doc_id"])
-    words = tp.sentence_tokens(sentences, keys)
-    return vote_per_sentence(words, si.emotion_table(spark, sf), keys, sentences)
+    return vote_in_texts(si.table(spark, sf, "documents"), "text", "doc_id", si.emotion_table(spark, sf))
 
 
 def emotion_dist(spark: SparkSession, sf: str) -> DataFrame:
