@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wordloom.llm import byte_bpe, packing, quality_qda, quality_rules, text_stats, toxicity
-from wordloom.llm.pieces import splitter
+from wordloom.llm.pieces import piece_starts, splitter
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -163,6 +163,37 @@ def test_pieces_cover_the_text():
     assert all("".join(splitter()(t)) == t for t in (random_text(rng) for _ in range(500)))
 
 
+def test_pieces_of_many_texts_are_those_of_each():
+    rng = random.Random(4)
+    signs = [*"abstremvlldS''''", *"  \n\t \x85\x1c", *"é1२.,!?中́", "\U0001f600", "\U0001d49c", "\U0001d7d8", "'s", "'re", "'ll", " '"]
+    for _ in range(3000):
+        texts = ["".join(rng.choices(signs, k=rng.randrange(14))) for _ in range(4)]
+        starts = [sum(map(len, texts[:i])) for i in range(4)]
+        points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+        found = piece_starts(points, np.array([a for a, t in zip(starts, texts) if t], int))
+        for a, text in zip(starts, texts):
+            at = [*np.flatnonzero(found[a : a + len(text)]), len(text)]
+            assert [text[x:y] for x, y in zip(at, at[1:])] == splitter()(text)
+
+
+def test_a_piece_is_looked_up_once_for_all_texts(monkeypatch):
+    """Each place of a piece had its own look-up, and a string of its own."""
+    asked = []
+
+    class Known(dict):
+        def __getitem__(self, piece):
+            asked.append(piece)
+            return super().__getitem__(piece)
+
+    tokenizer, added, _ = packing._tokenizer(VOCABULARY)
+    kept = tokenizer, added, Known()
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: kept)
+    texts = ["one two two one's", "", "<|endoftext|> two", " two one's" * 500, "\U0001f600 two\n\n two"]
+    ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert packing._encode_batch(VOCABULARY, texts) == [np.array(i, "<u4").tobytes() for i in ids]
+    assert len(asked) == len(set(asked))
+
+
 def test_pieces_just_met_outlive_a_full_cache(monkeypatch):
     tokenizer, added, _ = packing._tokenizer(VOCABULARY)
     asked = []

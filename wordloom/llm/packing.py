@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.pieces import splitter
+from wordloom.llm.pieces import piece_starts
 from wordloom.llm.shingles import slices
 from wordloom.llm.tables import narrow
 from wordloom.session import staged
@@ -49,32 +49,51 @@ def _tokenizer(path: str):
     return tokenizer, re.compile("|".join(map(re.escape, added)) or r"(?!)").search, {}
 
 
+def _distinct_pieces(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different pieces of some texts, each piece by its number among them, and the pieces of each text."""
+    whole = "".join(texts)
+    points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    at = np.cumsum(sizes) - sizes
+    start = piece_starts(points, at[sizes > 0])
+    data = whole.encode()
+    first = np.flatnonzero(start)
+    if len(data) > len(points):
+        width = 1 + sum((points >= least).astype(np.int8) for least in (0x80, 0x800, 0x10000))
+        first = (np.cumsum(width, dtype=np.int64) - width)[first]
+    offsets = np.append(first, len(data))
+    pieces = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+    passed = np.append(0, np.cumsum(start))
+    return pieces.dictionary.to_numpy(zero_copy_only=False).tolist(), pieces.indices.to_numpy(), passed[at + sizes] - passed[at]
+
+
 def _encode_batch(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text; only pieces that this process has not met go to the tokenizer.
 
+    Pieces are found, told apart and put together again for all texts at once; each different one is looked up once.
     Strings of added tokens are these tokens, as the file says; a text that holds one is encoded as a whole.
     """
     tokenizer, added, known = _tokenizer(path)
-    split = splitter()
-    pieces = [None if added(text) else split(text) for text in texts]
-    met = set().union(*filter(None, pieces))
-    new = met.difference(known)
+    wholes = {row: tokenizer.encode(text, add_special_tokens=False).ids for row, text in enumerate(texts) if added(text)}
+    met, codes, sizes = _distinct_pieces(["" if row in wholes else text for row, text in enumerate(texts)])
+    new = [p for p in met if p not in known]
     if len(known) + len(new) > KEPT_PIECES:
-        kept = {p: known[p] for p in met.difference(new)}  # the frequent ones are among them
+        kept = {p: known[p] for p in met if p in known}  # the frequent ones are among them
         known.clear()
         known.update(kept)
-    listed = list(new)
-    encoded = tokenizer.encode_batch_fast(listed, add_special_tokens=False)
-    known.update(zip(listed, [_PACKED[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
-                              for ids in (e.ids for e in encoded)]))
-    out = []
-    for text, parts in zip(texts, pieces):
-        if parts is None:
-            ids = tokenizer.encode(text, add_special_tokens=False).ids
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
-        else:
-            out.append(b"".join(map(known.__getitem__, parts)))
-    return out
+    encoded = tokenizer.encode_batch_fast(new, add_special_tokens=False)
+    known.update(zip(new, [_PACKED[len(ids)](*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
+                           for ids in (e.ids for e in encoded)]))
+    parts = list(map(known.__getitem__, met))
+    length = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+    ids, long = np.frombuffer(b"".join(parts), np.uint32), length[codes]
+    end = np.append(0, np.cumsum(long))
+    place = np.repeat((np.cumsum(length) - length)[codes] - end[:-1], long) + np.arange(end[-1])
+    out, ends = ids[place].tobytes(), (4 * end[np.append(0, np.cumsum(sizes))]).tolist()
+    found = [out[a:b] for a, b in zip(ends, ends[1:])]
+    for row, ids in wholes.items():
+        found[row] = struct.pack(f"<{len(ids)}I", *ids)
+    return found
 
 
 def cut(ids: bytes, capacity: int) -> Iterator[tuple[int, int, bytes]]:
