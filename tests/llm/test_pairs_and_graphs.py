@@ -382,6 +382,18 @@ def test_a_common_word_is_dealt_to_many_tasks():
     assert len(met) == len(set(met)) == 300 * 299 // 2 + 5 * 4 // 2
 
 
+def test_words_of_classes_are_numbers(spark):
+    """They were lists of strings, which joins carried and compared for every pair."""
+    text = "one two  three\tfour five five\nshort\nsix one two eight nine"
+    docs = documents(spark, [text, "", text]).select("doc_id", "text")
+    described = line_dedup.describe_lines(docs).where("line IS NOT NULL").select("doc_id", "line", "digest")
+    wanted = described.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("line").alias("line"))
+    words = line_dedup._words_of(docs.unionByName(docs), wanted)
+    assert words.dtypes == [("digest", "bigint"), ("words", "array<bigint>")]
+    found = [set(r["words"]) for r in words.collect()]
+    assert [len(w) for w in found] == [5, 5] and len(found[0] & found[1]) == 2
+
+
 def test_words_of_lines_are_those_of_split():
     texts = ["", "a b\n\nb a\tc", "x", "\n", "é ü é\x0bz\n w ", "q" * 3000 + " " + "r" * 5]
     row, number, size, hashes, line = line_words.line_words(pa.array(texts).slice(0), 1)

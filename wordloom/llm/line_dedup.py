@@ -6,7 +6,7 @@ The words of a line are put in order of rarity, counted over the whole corpus; s
 share one of the rarest few (prefix filter), are about as long (length filter), and have it at
 places that leave enough common words possible (positional filter). Each line's words also
 set the bits of a small map; bits in which two maps differ are words that only one line has,
-which bounds what they have in common. Candidates are verified on their words.
+which bounds what they have in common. Candidates are verified on their words, each a 64-bit hash, which tells classes too.
 
 Lines with equal sets of words are one class and are joined once, however many they are. Classes
 come together by word; a word of very many is dealt out in pairs of blocks. A group of near copies does
@@ -20,7 +20,6 @@ taken into it, so that few pairs share any.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -54,7 +53,6 @@ HOPS = 2
 #: Classes that a task keeps in mind to post them once.
 REMEMBERED = 500_000
 POSTED = ["cell", "at", "digest", "high", "low"]
-_SPACE = re.compile("[ \\t-\\r]+")
 
 
 def _digests(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -290,7 +288,7 @@ def _meet(matched: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest and the different words of one line of each digest; texts travel compressed, stored."""
+    """digest and the different words, as the hashes that digests are made of, of one line of each digest; texts travel compressed, stored."""
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         small = zstandard.ZstdCompressor(level=3).compress
@@ -310,20 +308,21 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                         if a["line"] < len(lines):
                             digests.append(a["digest"])
                             found.append(lines[a["line"]])
-                row, _, size, hashes, _ = line_words(pa.array(found, pa.large_string()), MIN_WORDS)
+                row, _, size, hashes, line = line_words(pa.array(found, pa.large_string()), MIN_WORDS)
                 # Rows with one key may have different texts: only the line that was meant.
-                meant = row[_digests(hashes, size) == np.array(digests, np.int64)[row]].tolist()
-                words = [list(dict.fromkeys(_SPACE.split(found[k]))) for k in meant]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([digests[k] for k in meant], pa.int64()), pa.array(words, pa.list_(pa.string()))], ["digest", "words"])
+                own = _digests(hashes, size)
+                meant = own == np.array(digests, np.int64)[row]
+                ends = np.append(0, np.cumsum(size[meant])).astype(np.int32)
+                words = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[meant[line]].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(own[meant]), words], ["digest", "words"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     small = docs.mapInArrow(shrink, f"doc_id {kind}, text binary")
     asked = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest")).alias("asked"))
     # The texts are many times the lines asked for; a merge join takes either at any size.
     found = small.join(asked.hint("merge"), "doc_id").select("text", "asked")
-    found = found.mapInArrow(read, "digest bigint, words array<string>")
-    return staged(found.select("digest", F.array_remove("words", "").alias("words")).dropDuplicates(["digest"]), "words")
+    found = found.mapInArrow(read, "digest bigint, words array<bigint>")
+    return staged(found.dropDuplicates(["digest"]), "words")
 
 
 def _with_words(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -358,7 +357,7 @@ def _stars(matched: DataFrame, words: DataFrame) -> DataFrame:
     excess = (F.col("total") - 2 * F.col("common")) * APART - F.size("words_x") * TOTAL
     tried = tried.select(F.col("x").alias("digest"), F.struct(
         "most", F.col("y").alias("star"), excess.cast("bigint").alias("excess"),
-        F.transform(edits, lambda w: F.xxhash64(w)).alias("edits")).alias("to"))
+        edits.alias("edits")).alias("to"))
     best = tried.groupBy("digest").agg(F.max("to").alias("to"))
     alone = (F.size("words") * -TOTAL).cast("bigint")
     stars = staged(words.select("digest", alone.alias("alone")).join(best, "digest", "left").select(
