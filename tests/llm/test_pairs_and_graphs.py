@@ -495,6 +495,47 @@ def test_equal_lines_are_posted_once_by_a_task(spark):
     assert posted.count() == 2  # the rarest two words of one set of five
 
 
+def test_posted_rows_of_a_group_are_handed_on_as_one(spark):
+    """They were a row each in the exchange, 22.7 million of them over 0.5 GB."""
+    lines = [" ".join(f"w{k}x{i}" for i in range(15)) for k in range(6000)]
+    docs = documents(spark, ["\n".join(lines[k : k + 20]) for k in range(0, 6000, 20)]).coalesce(1)
+    posted = line_dedup.post_prefixes(docs.select("doc_id", "text"), np.full(line_dedup.COUNTERS, 9)).toArrow()
+    assert posted.num_rows <= line_dedup.GROUPS < 6000 * 4
+    rows = pa.Table.from_batches(line_dedup._ungrouped(posted.to_batches()))
+    assert len(rows) == 6000 * 4  # the rarest four words of 15
+    assert sorted(np.unique(rows["digest"].to_numpy(), return_counts=True)[1].tolist()) == [4] * 6000
+    groups = (rows["cell"].to_numpy().view(np.uint64) % np.uint64(line_dedup.GROUPS)).astype(np.int64)
+    assert np.array_equal(groups, rows["group"].to_numpy())
+
+
+def test_lines_are_stored_by_text(spark):
+    """They were a row each, and were dealt out by document and line to be counted."""
+    texts = ["a b c d e\nshort\nf g h i j", "", "a b c d e", None, "k l m n o\n" * 3]
+    docs = documents(spark, texts)
+    again = docs.where("doc_id = 0").selectExpr("doc_id", "'x\ny\np q r s t\nu v w x y' AS text")  # lines 2 and 3
+    docs = docs.select("doc_id", "text").unionByName(again)
+    described = line_dedup.describe_texts(docs.fillna("")).where("numbers IS NOT NULL")
+    assert described.count() == 6
+    assert {r["doc_id"]: r["n_lines"] for r in line_dedup._count_lines(described).collect()} == {0: 3, 1: 0, 2: 1, 3: 0, 4: 3}
+    assert {r["doc_id"]: r["n_lines"] for r in line_dedup.find_similar_lines(docs).collect()} == {0: 3, 1: 0, 2: 1, 3: 0, 4: 3}
+
+
+def test_texts_nothing_is_asked_of_stay_where_they_are(spark):
+    """All texts were compressed and shuffled."""
+    docs = documents(spark, [prose(k, 40) for k in range(200)]).select("doc_id", "text")
+    wanted = line_dedup.describe_lines(docs.where("doc_id < 3")).groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.min("line").alias("line"))
+    assert line_dedup._asked_texts(docs, wanted).count() == 3
+    assert line_dedup._words_of(docs, wanted).count() == wanted.count() == 3
+
+
+def test_words_of_any_length_have_hashes_of_their_own():
+    words = [c * n + e for n in (*range(1, 75), 200) for c in ("a", "b", "\0") for e in ("", "\0", "z")]
+    words = list(dict.fromkeys(words))
+    _, _, size, hashes, line = line_words.line_words(pa.array([" ".join(words), "\n".join(words), words[0]]), 1)
+    assert size.tolist() == [len(words)] + [1] * (len(words) + 1)
+    assert len(set(hashes[line > 0].tolist())) == len(words) and set(hashes[line > 0].tolist()) == set(hashes[line == 0].tolist())
+
+
 ARTICLE = "<h1>A title, said.</h1><p>One sentence, and another. More of it here, of course.</p><p>The second part, which ends the text.</p>"
 EXPECTED = "A title, said.\nOne sentence, and another. More of it here, of course.\nThe second part, which ends the text."
 MENU = '<nav><ul><li><a href="/">Home</a></li><li><a href="/x">All news</a></li></ul></nav>'

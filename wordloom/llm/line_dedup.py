@@ -52,6 +52,12 @@ STAR_BLOCK = 1500
 HOPS = 2
 #: Classes that a task keeps in mind to post them once.
 REMEMBERED = 500_000
+#: Groups that cells are dealt to, and posted rows that a task gathers to hand on those of a group as one row.
+GROUPS = 1 << 13
+GATHERED = 300_000
+#: Bits of the map of the documents whose texts are asked for, and of a stretch of it.
+PLACES = 1 << 25
+STRETCH = 1 << 15
 POSTED = ["cell", "at", "digest", "high", "low"]
 
 
@@ -63,8 +69,12 @@ def _digests(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
     return mix(mix(total) ^ size.astype(np.uint64)).view(np.int64)
 
 
-def describe_lines(docs: DataFrame) -> DataFrame:
-    """A row for each line: doc_id, line and digest (of the set of words); and rows of counters.
+def _counters(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64(COUNTERS - 1)).view(np.int64)
+
+
+def describe_texts(docs: DataFrame) -> DataFrame:
+    """A row for each text: doc_id, and numbers and digests (of the sets of words) of its lines; and rows of counters.
 
     Every task adds up its own COUNTERS numbers of how many lines have a word of each counter; ``seen`` has CHUNK of
     them, little-endian, and ``chunk`` says which.
@@ -72,26 +82,36 @@ def describe_lines(docs: DataFrame) -> DataFrame:
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "line", "digest", "chunk", "seen"]
+        names = ["doc_id", "numbers", "digests", "chunk", "seen"]
         kind = None
         for batch in batches:
             kind = batch.schema.field("doc_id").type
             for part in slices(batch):
                 row, number, size, hashes, _ = line_words(part["text"], MIN_WORDS)
-                total += np.bincount((hashes % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
-                nothing = [pa.nulls(len(row), pa.int32()), pa.nulls(len(row), pa.binary())]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"].take(pa.array(row)), pa.array(number, pa.int32()),
-                     pa.array(_digests(hashes, size)), *nothing], names)
+                total += np.bincount(_counters(hashes), minlength=COUNTERS)
+                ends = pa.array(np.searchsorted(row, np.arange(len(part["text"]) + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (pa.array(number, pa.int32()), pa.array(_digests(hashes, size)))]
+                nothing = [pa.nulls(part.num_rows, pa.int32()), pa.nulls(part.num_rows, pa.binary())]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *lists, *nothing], names)
         chunks = total.reshape(-1, CHUNK)
         used = np.flatnonzero(chunks.any(1))
         if len(used):
-            empty = [pa.nulls(len(used), t) for t in (kind, pa.int32(), pa.int64())]
+            empty = [pa.nulls(len(used), t) for t in (kind, pa.list_(pa.int32()), pa.list_(pa.int64()))]
             seen = pa.array([chunks[c].tobytes() for c in used.tolist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*empty, pa.array(used, pa.int32()), seen], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(describe, f"doc_id {kind}, line int, digest bigint, chunk int, seen binary")
+    return docs.mapInArrow(describe, f"doc_id {kind}, numbers array<int>, digests array<bigint>, chunk int, seen binary")
+
+
+def _lines_of(texts: DataFrame) -> DataFrame:
+    lines = texts.select("doc_id", "numbers", F.posexplode("digests").alias("k", "digest"))
+    return lines.select("doc_id", F.col("numbers")[F.col("k")].alias("line"), "digest")
+
+
+def describe_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, line and digest (of the set of words) of each line."""
+    return _lines_of(describe_texts(docs).where("numbers IS NOT NULL"))
 
 
 def _summed(counted: DataFrame) -> np.ndarray:
@@ -112,10 +132,15 @@ def _summed(counted: DataFrame) -> np.ndarray:
     return counts.reshape(-1)
 
 
-def _bit_maps(hashes: np.ndarray, line: np.ndarray, lines: int) -> np.ndarray:
+def _bit_maps(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
     """For each line 128 bits, each set if an odd number of its words falls on it, as two integers."""
-    odd = np.bincount(line * 128 + (hashes >> np.uint64(57)).astype(np.int64), minlength=128 * lines).reshape(lines, 128) & 1
-    return np.packbits(odd.astype(np.uint8), axis=1).reshape(lines, 16).view(np.int64)
+    if not len(size):
+        return np.zeros((0, 2), np.int64)
+    bit = np.uint64(1) << ((hashes >> np.uint64(57)) & np.uint64(63))
+    upper = hashes >> np.uint64(63)
+    start = np.cumsum(size) - size
+    maps = [np.bitwise_xor.reduceat(bit * half, start) for half in (upper, np.uint64(1) - upper)]
+    return np.stack(maps, axis=1).view(np.int64)
 
 
 def _cells(word: np.ndarray, digest: np.ndarray, held: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,18 +161,30 @@ def _cells(word: np.ndarray, digest: np.ndarray, held: np.ndarray, size: int) ->
     return entry, mix(word[entry] ^ pair).view(np.int64), side
 
 
+def _by_group(rows: np.ndarray) -> pa.RecordBatch:
+    """group and rows: the posted rows of each group of cells one after another, as little-endian 64-bit integers."""
+    group = (rows[:, 0].view(np.uint64) % np.uint64(GROUPS)).astype(np.uint16)
+    held = np.bincount(group, minlength=GROUPS)
+    used = np.flatnonzero(held)
+    ends = np.append(0, np.cumsum(held[used]) * rows.itemsize * len(POSTED)).astype(np.int32)
+    data = rows[np.argsort(group, kind="stable")]
+    packed = pa.Array.from_buffers(pa.binary(), len(used), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), packed], ["group", "rows"])
+
+
 def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
-    """cell, at, digest, high and low for each of the rarest words of each class of equal lines.
+    """cell, at, digest, high and low for each of the rarest words of each class of equal lines, by group of cells.
 
     ``at`` has the number of different words, the place of this one and the side in its cell.
     A task posts a class once for every REMEMBERED different classes that it comes by.
     """
     shared = docs.sparkSession.sparkContext.broadcast(counts)  # COUNTERS numbers
-    block = BLOCK
+    block, most = BLOCK, GATHERED
 
     def post(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         seen: set[int] = set()
+        gathered, waiting = [], 0
         for batch in batches:
             for part in slices(batch):
                 _, _, size, hashes, line = line_words(part["text"], MIN_WORDS, counts)
@@ -158,30 +195,56 @@ def post_prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 fresh = np.zeros(len(size), bool)
                 fresh[[k for k in first.tolist() if int(digest[k]) not in seen]] = True
                 seen.update(digest[fresh].tolist())
-                maps = _bit_maps(hashes, line, len(size))
-                held = counts[(hashes % np.uint64(COUNTERS)).astype(np.int64)]
+                maps = _bit_maps(hashes, size)
                 place = np.arange(len(hashes)) - np.repeat(np.cumsum(size) - size, size)
-                prefix = size - -(-size * NUMERATOR // DENOMINATOR) + 1
+                prefix = np.where(fresh, size - -(-size * NUMERATOR // DENOMINATOR) + 1, 0)
+                use = np.flatnonzero(place < np.repeat(prefix, size))
+                held = counts[_counters(hashes[use])]
                 # Words that no other line has cannot make a match.
-                use = fresh[line] & (place < prefix[line]) & (held > 1)
+                use, held = use[held > 1], held[held > 1]
                 line, place = line[use], place[use]
-                entry, cell, side = _cells(hashes[use], digest[line], held[use], block)
+                entry, cell, side = _cells(hashes[use], digest[line], held, block)
                 line, place = line[entry], place[entry]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell), pa.array((size[line] << 32) | (place << 2) | side), pa.array(digest[line]),
-                     pa.array(maps[line, 0]), pa.array(maps[line, 1])], POSTED)
+                gathered.append(np.stack([cell, (size[line] << 32) | (place << 2) | side, digest[line],
+                                          maps[line, 0], maps[line, 1]], axis=1))
+                waiting += len(cell)
+                if waiting >= most:
+                    yield _by_group(np.concatenate(gathered))
+                    gathered, waiting = [], 0
+        if waiting:
+            yield _by_group(np.concatenate(gathered))
 
-    return docs.mapInArrow(post, ", ".join(f"{c} bigint" for c in POSTED))
+    return docs.mapInArrow(post, "group int, rows binary")
+
+
+def _ungrouped(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The posted rows, one by one again, with their group."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 1000):
+            part = batch.slice(k, 1000)
+            packed = part["rows"]
+            _, ends, data = packed.buffers()
+            ends = np.frombuffer(ends, np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            rows = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(np.int64).reshape(-1, len(POSTED))
+            group = np.repeat(part["group"].to_numpy(), np.diff(ends) // rows.strides[0])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(np.ascontiguousarray(c)) for c in rows.T), pa.array(group)], [*POSTED, "group"])
 
 
 def _by_cell(rows: DataFrame) -> DataFrame:
     return rows.repartition("cell").sortWithinPartitions("cell")
 
 
-def _cells_in_order(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Whole cells, their rows in order."""
-    for rows in _whole_cells(batches):
-        yield rows.take(pa.array(np.lexsort([rows[c].to_numpy() for c in ("digest", "at", "cell")]))).combine_chunks()
+def _cells_in_order(batches: Iterable[pa.RecordBatch], key: str = "cell") -> Iterator[pa.Table]:
+    """Whole cells of two rows or more, their rows in order, of rows sorted by ``key``, which all rows of a cell share."""
+    for rows in _whole_cells(batches, key):
+        cell = rows["cell"].to_numpy()
+        order = np.argsort(cell)
+        same = cell[order[1:]] == cell[order[:-1]]
+        order = order[np.append(same, False) | np.append(False, same)]
+        if len(order):
+            digest, at, cell = (rows[c].to_numpy()[order] for c in ("digest", "at", "cell"))
+            yield rows.select([c for c in rows.column_names if c != "group"]).take(pa.array(order[np.lexsort((digest, at, cell))])).combine_chunks()
 
 
 def _whole_cells(batches: Iterable[pa.RecordBatch], key: str = "cell", together: int | None = None) -> Iterator[pa.Table]:
@@ -238,7 +301,7 @@ def _note_degrees(posted: DataFrame) -> DataFrame:
     """
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _cells_in_order(batches):
+        for rows in _cells_in_order(_ungrouped(batches), "group"):
             degree = np.zeros(len(rows), np.int64)
             for x, y, words, differ in _pairs_of(rows):
                 nearness = words * TOTAL - differ * APART + 1  # above 0 for possible matches
@@ -247,7 +310,7 @@ def _note_degrees(posted: DataFrame) -> DataFrame:
             yield from rows.append_column("degree", pa.array(degree)).filter(pa.array(degree > 0)).combine_chunks().to_batches()
 
     named = ", ".join(f"{c} bigint" for c in [*POSTED, "degree"])
-    return staged(_by_cell(posted).mapInArrow(find, named), "matched")
+    return staged(posted.repartition("group").sortWithinPartitions("group").mapInArrow(find, named), "matched")
 
 
 def _find_hubs(matched: DataFrame) -> DataFrame:
@@ -287,15 +350,30 @@ def _meet(matched: DataFrame, stars: DataFrame) -> DataFrame:
     return staged(_by_cell(placed).mapInArrow(meet, "x bigint, y bigint").distinct(), "candidates")
 
 
-def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """digest and the different words, as the hashes that digests are made of, of one line of each digest; texts travel compressed, stored."""
+def _asked_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and the compressed text of all documents of ``wanted`` and few others, by a map of bounded size."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(PLACES))
+    stretch, bit = (place / STRETCH).cast("int"), place % STRETCH
+    bits = np.zeros((PLACES // STRETCH, STRETCH // 8), np.uint8)
+    for r in wanted.groupBy(stretch.alias("stretch")).agg(F.bitmap_construct_agg(bit).alias("bits")).collect():
+        bits[r["stretch"]] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bits.reshape(-1))  # PLACES bits
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        small = zstandard.ZstdCompressor(level=3).compress
+        small = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            texts = pa.array((small(t.as_py().encode()) for t in batch["text"]), pa.large_binary())
+            place = batch["place"].to_numpy()
+            batch = batch.filter(pa.array((shared.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+            texts = pa.array((small(t.as_buffer()) for t in batch["text"]), pa.large_binary())
             yield pa.RecordBatch.from_arrays([batch["doc_id"], texts], ["doc_id", "text"])
 
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", place.alias("place")).mapInArrow(shrink, f"doc_id {kind}, text binary")
+
+
+def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """digest and the different words, as the hashes that digests are made of, of one line of each digest; texts travel compressed, stored."""
+
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grow = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -316,8 +394,8 @@ def _words_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 words = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[meant[line]].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(own[meant]), words], ["digest", "words"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    small = docs.mapInArrow(shrink, f"doc_id {kind}, text binary")
+    wanted = staged(wanted, "wanted")
+    small = _asked_texts(docs, wanted)
     asked = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("line", "digest")).alias("asked"))
     # The texts are many times the lines asked for; a merge join takes either at any size.
     found = small.join(asked.hint("merge"), "doc_id").select("text", "asked")
@@ -525,14 +603,24 @@ def _count_links(lines: DataFrame, stars: DataFrame, alike: DataFrame) -> DataFr
 
 
 def similar_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All lines that take part, and those to remove (doc_id, line, links), stored.
+    """The texts with the numbers of their lines that take part, and the lines to remove (doc_id, line, links), stored.
 
     ``docs`` has doc_id and text; ``links`` counts all earlier lines that a line matches.
     """
-    described = staged(describe_lines(docs), "lines")
-    lines = described.where("line IS NOT NULL").drop("chunk", "seen")
+    described = staged(describe_texts(docs), "lines")
+    texts = described.where("numbers IS NOT NULL").drop("chunk", "seen")
+    lines = _lines_of(texts)
     counts = _summed(described.where("chunk IS NOT NULL").select("chunk", "seen"))
-    return lines, _count_links(lines, *_similar_classes(post_prefixes(docs, counts), lines, docs))
+    return texts, _count_links(lines, *_similar_classes(post_prefixes(docs, counts), lines, docs))
+
+
+def _count_lines(texts: DataFrame) -> DataFrame:
+    """doc_id and n_lines; of the texts of one key, lines of one number are one."""
+    counted = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("texts"), F.sum(F.size("numbers")).alias("n"))
+    several = texts.join(counted.where("texts > 1").select("doc_id"), "doc_id", "left_semi")
+    several = several.select("doc_id", F.explode("numbers").alias("line")).distinct()
+    several = several.groupBy("doc_id").agg(F.count(F.lit(1)).alias("different"))
+    return counted.join(several, "doc_id", "left").select("doc_id", F.coalesce("different", "n").alias("n_lines"))
 
 
 def find_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -543,14 +631,13 @@ def find_similar_lines(docs: DataFrame, key: str = "doc_id", text: str = "text")
     are not read.
     """
     df = narrow(docs, key, text).where("doc_id IS NOT NULL")
-    lines, removed = similar_lines(df)
+    texts, removed = similar_lines(df)
     gone = removed.distinct().groupBy("doc_id").agg(
         F.sort_array(F.collect_list("line")).alias("removed_lines"), F.sum("links").alias("n_links"))
-    counted = lines.select("doc_id", "line").distinct().groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"))
-    every = df.select("doc_id").distinct().join(counted, "doc_id", "left").join(gone, "doc_id", "left")
+    every = _count_lines(texts).join(gone, "doc_id", "left")
     empty = F.array().cast("array<int>")
     return every.select(
-        "doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"),
+        "doc_id", "n_lines",
         F.coalesce(F.size("removed_lines"), F.lit(0)).alias("n_removed"),
         F.coalesce("removed_lines", empty).alias("removed_lines"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

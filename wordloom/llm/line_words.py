@@ -1,8 +1,8 @@
 """The different words of each line of many texts at once, as 64-bit hashes.
 
 Lines end at ``\\n``; words are maximal runs of anything but ASCII white space. Words are hashed
-where they lie in the texts' bytes: a word's hash is the difference of two running sums of its
-bytes times the powers of an odd number, moved to the start of the word.
+where they lie in the texts' bytes, eight bytes at a time; those over LONG bytes by the difference of two
+running sums of their bytes times the powers of an odd number, moved to the start of the word.
 """
 
 from __future__ import annotations
@@ -16,10 +16,13 @@ from wordloom.llm.shingles import mix
 
 #: Bytes that are hashed together, to bound a task's memory.
 SPAN = 1 << 20
+#: Bytes of the longest word that is hashed by eights.
+LONG = 64
 _BASE = 0x9E3779B97F4A7C15
-_SPACES = np.zeros(256, bool)
-_SPACES[[9, 10, 11, 12, 13, 32]] = True
 _BYTES = mix(np.arange(256, dtype=np.uint64))
+#: For a word of n bytes: those of its last eight that count, and its first term.
+_KEPT = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], np.uint64)
+_LENGTHS = mix(mix(np.arange(LONG + 1, dtype=np.uint64)))
 
 
 @functools.lru_cache(maxsize=1)
@@ -33,7 +36,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def _hash_long(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each stretch of bytes; stretches are in order and do not overlap."""
     out = np.zeros(len(start), np.uint64)
     a = 0
@@ -49,6 +52,24 @@ def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return out
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of bytes; stretches are in order and do not overlap."""
+    size = end - start
+    padded = np.append(data, np.zeros(8, np.uint8))
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))  # those that start at each byte
+    out = mix((eights[start] & _KEPT[np.minimum(size, 8)]) + _LENGTHS[np.minimum(size, LONG)])
+    more = np.flatnonzero((size > 8) & (size <= LONG))
+    done = 8
+    while len(more):
+        left = np.minimum(size[more] - done, 8)
+        out[more] = mix(out[more] ^ mix(eights[start[more] + done] & _KEPT[left]))
+        done += 8
+        more = more[size[more] > done]
+    long = np.flatnonzero(size > LONG)
+    out[long] = _hash_long(data, start[long], end[long])
+    return out
+
+
 def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts one after another, and where each starts (and the last ends)."""
     texts = texts.cast(pa.large_string())
@@ -58,6 +79,18 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole, at - at[0]
 
 
+def _words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word starts and ends; words do not go on from one text into the next."""
+    solid = np.zeros(len(data) + 2, bool)
+    solid[1:-1] = (data != 32) & ((data - np.uint8(9)) > 4)  # 9 to 13, as smaller bytes turn to large ones
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    inner = np.unique(at)
+    joined = inner[solid[inner] & solid[inner + 1]]
+    if len(joined):
+        edges = np.insert(edges, np.repeat(np.searchsorted(edges, joined), 2), np.repeat(joined, 2))
+    return edges[::2], edges[1::2]
+
+
 def line_words(texts: pa.Array, least: int, held: np.ndarray | None = None):
     """(row, number, size) of each line of ``least`` or more words, and (hash, line) of its different words.
 
@@ -68,20 +101,16 @@ def line_words(texts: pa.Array, least: int, held: np.ndarray | None = None):
         none = np.zeros(0, np.int64)
         return none, none, none, np.zeros(0, np.uint64), none
     data, at = _bytes_of(texts)
-    solid = ~_SPACES[data]
-    fresh = np.zeros(len(data) + 1, bool)  # a text starts here, or all end
-    fresh[at] = True
-    before = np.append(False, solid[:-1])[: len(data)] & ~fresh[:-1]
-    after = np.append(solid[1:], False)[: len(data)] & ~fresh[1:]
-    start, end = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    start, end = _words(data, at)
     breaks = np.flatnonzero(data == 10)
-    row_breaks = np.diff(np.searchsorted(breaks, at))
-    row = np.repeat(np.arange(len(texts)), row_breaks + 1)
+    row = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(breaks, at)) + 1)
     number = np.arange(len(row)) - np.searchsorted(row, row)
-    line = np.searchsorted(at, start, side="right") - 1 + np.searchsorted(breaks, start)
-    long_enough = np.bincount(line, minlength=len(row)) >= least
-    mine = long_enough[line]
-    start, end, line = start[mine], end[mine], (np.cumsum(long_enough) - 1)[line[mine]]
+    line_start = np.empty(len(row), np.int64)
+    line_start[number == 0], line_start[number > 0] = at[:-1], breaks + 1
+    words = np.diff(np.append(np.searchsorted(start, line_start), len(start)))
+    long_enough = words >= least
+    mine = np.repeat(long_enough, words)
+    start, end, line = start[mine], end[mine], np.repeat(np.arange(long_enough.sum()), words[long_enough])
     row, number = row[long_enough], number[long_enough]
     coded = pa.array(hash_spans(data, start, end)).dictionary_encode()
     table, codes = coded.dictionary.to_numpy(), coded.indices.to_numpy()
